@@ -113,12 +113,11 @@ def fixed_decimals(col: Column, digits: int = 1) -> Column:
 
 
 def utilisation_class(applicants: Column, seats: Column) -> Column:
-    """Over above 1.1, Under below 0.9, else Balanced; null without seats."""
-    ratio = F.try_divide(applicants, seats)
+    """Demand above 1.1 or below 0.9 of the seats; the rest is balanced."""
     return (
-        F.when(ratio > 1.1, "Over")
-        .when(ratio < 0.9, "Under")
-        .when(ratio.isNotNull(), "Balanced")
+        F.when(applicants > seats * 1.1, "Overutilized")
+        .when(applicants < seats * 0.9, "Underutilized")
+        .otherwise("Balanced")
     )
 
 

@@ -25,18 +25,20 @@ def names_missing(left: DataFrame, right: DataFrame, column: str) -> DataFrame:
     return bare(left).subtract(bare(right))
 
 
-def institute_mix(govt: Column, pvt: Column) -> Column:
-    """Govt, Pvt or Mix from the numbers of listed options of each kind; else null."""
+def institute_mix(govt: Column, pvt: Column, listed: Column) -> Column:
+    """Govt or Pvt when all listed institutes are of that kind, Mix for both kinds, else null."""
     return (
-        F.when((govt > 0) & (pvt > 0), "Mix").when(govt > 0, "Govt").when(pvt > 0, "Pvt")
+        F.when(listed == 0, F.lit(None).cast("string"))
+        .when(govt == listed, "Govt").when(pvt == listed, "Pvt").when((govt > 0) & (pvt > 0), "Mix")
     )
 
 
-def mix_by(df: DataFrame, keys: list[str], kind: str, govt: str = "Govt.", pvt: str = "Pvt.") -> DataFrame:
-    """The institute mix of each applicant's options, null when one is of neither kind."""
+def mix_by(df: DataFrame, keys: list[str], name: str, kind: str, govt: str = "Govt.", pvt: str = "Pvt.") -> DataFrame:
+    """The institute mix of each applicant's named options."""
+    named = F.col(name).isNotNull()
     counts = df.groupBy(*keys).agg(
-        F.count_if(F.col(kind) == govt).alias("_g"), F.count_if(F.col(kind) == pvt).alias("_p"),
-        F.count(F.lit(1)).alias("_n"),
+        F.count_if(named & F.coalesce(F.col(kind) == govt, F.lit(False))).alias("_g"),
+        F.count_if(named & F.coalesce(F.col(kind) == pvt, F.lit(False))).alias("_p"),
+        F.count_if(named).alias("_n"),
     )
-    known = F.col("_g") + F.col("_p") == F.col("_n")
-    return counts.select(*keys, F.when(known, institute_mix(F.col("_g"), F.col("_p"))).alias("mix"))
+    return counts.select(*keys, institute_mix(F.col("_g"), F.col("_p"), F.col("_n")).alias("mix"))

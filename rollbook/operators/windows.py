@@ -59,20 +59,23 @@ def change_on_previous(df: DataFrame, by: list[str], order: str, value: str, nam
 
 
 def sequence_class(df: DataFrame, keys: list[str], number: str) -> DataFrame:
-    """Whether a group's numbers are exactly 1..max.
+    """Whether a group's numbers run from 1 to their maximum.
 
-    Classes: "Complete", "Gap", and "Ends with null" when some number is missing.
+    ``status`` looks at the set of numbers and at missing ones; ``exact`` also
+    wants every number only once.
     """
     n = F.col(number).try_cast("int")
-    return with_keys(df, keys).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("rows"), F.count(n).alias("filled"), F.min(n).alias("low"),
-        F.max(n).alias("high"), F.count_distinct(n).alias("distinct"),
-    ).withColumn(
-        "sequence",
-        F.when(F.col("filled") < F.col("rows"), "Ends with null")
-        .when((F.col("low") == 1) & (F.col("distinct") == F.col("high")) & (F.col("filled") == F.col("distinct")), "Complete")
-        .otherwise("Gap"),
+    sums = with_keys(df, keys).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("rows"), F.count(n).alias("filled"), F.max(n).alias("high"),
+        F.count_distinct(F.when(n >= 1, n)).alias("distinct"),
     )
+    gap = F.coalesce(F.col("distinct") < F.col("high"), F.lit(False))
+    null = F.col("filled") < F.col("rows")
+    status = (
+        F.when(gap & ~null, "Gap in sequence").when(null & ~gap, "Ends with NaN").otherwise("Complete sequence")
+    )
+    exact = (F.col("filled") == F.coalesce("high", F.lit(0))) & (F.col("distinct") == F.col("filled"))
+    return sums.withColumns({"status": status, "exact": exact})
 
 
 def duplicated_groups(df: DataFrame, keys: list[str], distinct: str) -> DataFrame:
