@@ -46,7 +46,8 @@ def pivot_first(df, index, column, value: str, order: list[str], values=None) ->
     first = with_keys(df, [*index, column]).groupBy(*index, column).agg(
         F.min_by(value, F.struct(*order)).alias("_first")
     )
-    return first.groupBy(*index).pivot(column, values).agg(F.any_value("_first"))
+    # Each cell has one value by now; max only picks it up.
+    return first.groupBy(*index).pivot(column, values).agg(F.max("_first"))
 
 
 def pivot_measures(df, index, column, measures: dict[str, Column], values=None) -> DataFrame:
