@@ -35,23 +35,17 @@ def key_list(df: DataFrame, mapping: Column) -> DataFrame:
     return df.select(F.explode(F.map_keys(mapping)).alias("_k")).distinct()
 
 
-def map_to_long(
-    df: DataFrame, column: str, keep: list[str], name: str, value: str, pieces: int | None = None
-) -> DataFrame:
-    """One row per row and key of the union of all keys; absent keys give null.
+def _spread_keys(parsed: DataFrame, keep: list[str], name: str, value: str, skip: list[str], pieces: int | None) -> DataFrame:
+    """One row per row and key of the union of all keys of the map ``_m``; absent keys give null.
 
     The key list is the payload's field list. Its size is checked: a short one
     is inlined as a literal, a long one is joined in pieces of limited length.
     """
-    parsed = df.select(*keep, P.json_object(F.col(column)).alias("_m"))
-    keys = key_list(parsed, F.col("_m"))
+    keys = key_list(parsed, F.col("_m")).where(~F.col("_k").isin(skip) if skip else F.lit(True))
     found = [] if pieces else [r[0] for r in keys.limit(INLINE_KEYS + 1).collect()]
     if not pieces and len(found) <= INLINE_KEYS:
-        if not found:
-            return parsed.select(
-                *keep, F.lit(None).cast("string").alias(name), F.lit(None).cast("string").alias(value)
-            ).limit(0)
-        rows = parsed.withColumn(name, F.explode(F.array(*[F.lit(k) for k in sorted(found)])))
+        literal = F.array(*[F.lit(k) for k in sorted(found)]).cast("array<string>")
+        rows = parsed.withColumn(name, F.explode(literal))
     else:
         n = pieces or -(-keys.count() // INLINE_KEYS) * 4
         piece = F.pmod(F.xxhash64("_k"), F.lit(n))
@@ -63,15 +57,19 @@ def map_to_long(
     return rows.select(*keep, name, F.try_element_at("_m", F.col(name)).alias(value))
 
 
+def map_to_long(df: DataFrame, column: str, keep: list[str], name: str, value: str, pieces: int | None = None) -> DataFrame:
+    """One JSON object per row to one row per row and key of any object."""
+    parsed = df.select(*keep, P.json_object(F.col(column)).alias("_m"))
+    return _spread_keys(parsed, keep, name, value, [], pieces)
+
+
 def list_to_long(
-    df: DataFrame, column: str, keep: list[str], stage_key: str, stage: str, name: str, value: str
+    df: DataFrame, column: str, keep: list[str], stage_key: str, stage: str, name: str, value: str, pieces: int | None = None
 ) -> DataFrame:
-    """Each list element unpivoted: one row per key other than the stage key."""
+    """Each element of a JSON list to one row per key of any element, the stage kept beside it."""
     rows = df.select(*keep, F.explode(P.json_maps(F.col(column))).alias("_m"))
-    others = F.map_filter("_m", lambda k, _: k != stage_key)
-    return rows.select(
-        *keep, F.try_element_at("_m", F.lit(stage_key)).alias(stage), F.explode(others).alias(name, value)
-    )
+    staged = rows.withColumn(stage, F.try_element_at("_m", F.lit(stage_key)))
+    return _spread_keys(staged, [*keep, stage], name, value, [stage_key], pieces)
 
 
 def option_sizes(df: DataFrame, column: str, by: list[str]) -> DataFrame:

@@ -102,35 +102,37 @@ def barcode_problem(col: Column) -> Column:
 def split_new(
     batch: DataFrame, key: list[str], required: list[str], order: str, existing: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """(accepted, rejected with ``reason``) for an append under a unique key.
+    """(accepted, rejected) for an append under a unique key.
 
     A row with a null in the key never collides, as in SQL unique constraints.
-    Among equal keys the row with the lowest ``order`` (a unique column) wins.
-    First rows come from a plain aggregate, so a key that makes up much of the
-    batch is reduced before it is shuffled.
+    Among equal keys the row with the lowest ``order`` wins, then the lowest
+    other values. Rejected rows carry ``reason`` and, for equal rows, how many
+    ``copies`` there were. Equal rows are counted before they are shuffled, so
+    a record that makes up much of the batch costs one row.
     """
+    columns = batch.columns
     lacking = F.concat_ws(", ", *[F.when(F.col(c).isNull(), c) for c in required])
-    checked = batch.withColumn(
-        "reason", F.when(lacking != "", F.concat(F.lit("missing "), lacking))
-    )
+    checked = batch.withColumn("reason", F.when(lacking != "", F.concat(F.lit("missing "), lacking)))
     whole = all_of(F.col(k).isNotNull() for k in key)
-    valid = checked.where(F.col("reason").isNull())
-    keyed, loose = valid.where(whole), valid.where(~whole)
-    first = keyed.groupBy(*key).agg(F.min(order).alias("_first"))
-    ranked = keyed.join(first, key).withColumn(
-        "reason", F.when(F.col(order) != F.col("_first"), "duplicate in batch")
-    ).drop("_first")
+    valid = checked.where(F.col("reason").isNull()).drop("reason")
+    loose = valid.where(~whole)
+
+    row = F.struct(order, *[c for c in columns if c != order and c not in key])
+    counted = valid.where(whole).groupBy(*columns).agg(F.count(F.lit(1)).alias("copies"))
+    first = counted.groupBy(*key).agg(F.min(row).alias("_first"))
+    ranked = counted.join(first, key).withColumn("_wins", row == F.col("_first"))
+    known = F.lit(False)
     if existing is not None:
-        known = existing.select(*key).where(whole).distinct().withColumn("_known", F.lit(True))
-        ranked = ranked.join(known, key, "left").withColumn(
-            "reason", F.when(F.col("_known"), "already loaded").otherwise(F.col("reason"))
-        ).drop("_known")
-    columns = batch.columns
-    accepted = ranked.where(F.col("reason").isNull()).select(*columns).unionByName(loose.select(*columns))
-    rejected = checked.where(F.col("reason").isNotNull()).unionByName(
-        ranked.where(F.col("reason").isNotNull()).select(*columns, "reason")
-    )
-    return accepted, rejected
+        loaded = existing.select(*key).where(whole).distinct().withColumn("_known", F.lit(True))
+        ranked = ranked.join(loaded, key, "left")
+        known = F.col("_known").isNotNull()
+    spare = F.when(known | ~F.col("_wins"), F.col("copies")).otherwise(F.col("copies") - 1)
+    accepted = ranked.where(F.col("_wins") & ~known).select(*columns).unionByName(loose.select(*columns))
+    repeated = ranked.select(
+        *columns, F.when(known, "already loaded").otherwise("duplicate in batch").alias("reason"), spare.alias("copies")
+    ).where("copies > 0")
+    missing = checked.where(F.col("reason").isNotNull()).withColumn("copies", F.lit(1).cast("long"))
+    return accepted, missing.unionByName(repeated)
 
 
 def completeness(actual: DataFrame, expected: DataFrame, keys: list[str], type_key: str | None = None) -> DataFrame:
