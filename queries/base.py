@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,21 +12,50 @@ SQL: dict[str, str] = {}
 
 
 class Tables:
-    """The given tables as attributes: ``t.orders``, ``t.customer`` and so on."""
+    """The given tables as attributes: ``t.orders``, ``t.customer`` and so on.
+
+    Frames are plans, not data: each is described once per session and folder
+    and shared by the queries, nothing is cached.
+    """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self.frames: dict = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self.frames:
+            self.frames[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.frames[name]
+
+
+_OPENED: dict[tuple[int, str], Tables] = {}
+
+
+def tables(spark: SparkSession, folder: str) -> Tables:
+    opened = _OPENED.get((id(spark), folder))
+    if opened is None:
+        opened = _OPENED[(id(spark), folder)] = Tables(spark, folder)
+    return opened
+
+
+def described_once(function: Callable[..., DataFrame]):
+    """Share the plan of a derived frame between the queries of a session."""
+    @functools.wraps(function)
+    def shared(t: Tables, *args) -> DataFrame:
+        key = (function.__module__, function.__name__, args)
+        if key not in t.frames:
+            t.frames[key] = function(t, *args)
+        return t.frames[key]
+
+    return shared
 
 
 def query(name: str, sql: str | None = None):
     """Register a function of ``Tables`` under a name, with its SQL when there is one."""
     def keep(function: Callable[[Tables], DataFrame]):
-        RUN[name] = lambda spark, folder: function(Tables(spark, folder))
+        RUN[name] = lambda spark, folder: function(tables(spark, folder))
         if sql is not None:
             SQL[name] = sql
         return function

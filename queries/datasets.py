@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from queries import standins as S
-from queries.base import query
+from queries.base import described_once, query
 from rollbook.functions import categories as C, identity as I, payload as Y, text as X, values as V
 from rollbook.functions.geo import distance_km
 from rollbook.operators import aggregate as A, payloads as PL
@@ -116,6 +116,7 @@ def raw_addresses(t):
     return places.select(F.concat(F.lit("N"), "s_suppkey").alias("ITI Code"), F.col("s_name").alias("Address"), F.col("r_name").alias("State"), F.col("n_name").alias("District"))
 
 
+@described_once
 def known_places(t):
     """Coordinates per address, derived from balances and nations."""
     home = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
@@ -141,6 +142,7 @@ def iti_addresses(t):
     return VO.institute_addresses(raw_addresses(t))
 
 
+@described_once
 def coded(t):
     return VO.geocodes([S.enrolled(t, "ITI"), S.enrolled(t, "Diploma"), VO.institute_addresses(raw_addresses(t))], ["address"] * 3, known_places(t))
 
@@ -159,6 +161,7 @@ def geocode_success(t):
     return VO.geocoded_count(coded(t))
 
 
+@described_once
 def placed_institutes(t):
     known = known_places(t)
     addresses = VO.institute_addresses(raw_addresses(t))
@@ -172,6 +175,7 @@ def geocoded_iti_institutes(t):
     return placed_institutes(t).withColumns({c: F.round(c, 6) for c in ["longitude", "latitude"]})
 
 
+@described_once
 def located(t):
     """ITI enrolments with both points and the distance."""
     people_rows = S.enrolled(t, "ITI")
@@ -222,6 +226,7 @@ above AS (SELECT s.*, c.cutoff, c.institute_name FROM scored s JOIN cutoffs c ON
  QUALIFY ROW_NUMBER() OVER (PARTITION BY s.aadhar_no, s.academic_year, s.sams_code, s.trade, s.social_category, s.gender, s.local, s.exam_name ORDER BY cutoff NULLS FIRST, percentage, roll_no)=1)"""
 
 
+@described_once
 def matched(t):
     return VO.marks_and_cutoffs(S.enrolled(t, "ITI"), S.mark_rows(t, "ITI"), S.cutoff_rows(t))
 
@@ -495,6 +500,7 @@ OVERLAP = """overlap AS (SELECT aadhar_no AS unique_key, CAST(MAX(CASE WHEN modu
  CAST(MAX(CASE WHEN module='HSS' THEN 1 ELSE 0 END) AS INTEGER) AS applied_hss, CAST(MAX(CASE WHEN module='DEG' THEN 1 ELSE 0 END) AS INTEGER) AS applied_degree FROM people GROUP BY 1)"""
 
 
+@described_once
 def overlap(t):
     return ID.module_overlap(S.people(t).withColumnRenamed("aadhar_no", "unique_key"))
 
@@ -511,6 +517,7 @@ def overlap_count(t):
 
 # --- trainees ----------------------------------------------------------------------
 
+@described_once
 def trainees(t):
     """Line items as trainees: the order's year of admission, shipping results as examination results."""
     rows = S.lines(t).join(t.orders.select(F.col("o_orderkey").alias("l_orderkey"), F.year("o_orderdate").alias("o_year")), "l_orderkey")

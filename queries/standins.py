@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from queries.base import Tables
+from queries.base import Tables, described_once
 
 MODULES = {"1-URGENT": "ITI", "2-HIGH": "Diploma", "3-MEDIUM": "HSS", "4-NOT SPECIFIED": "DEG", "5-LOW": "PDIS"}
 CATEGORIES = {"BUILDING": "General", "AUTOMOBILE": "SC", "MACHINERY": "ST", "HOUSEHOLD": "OBC/SEBC", "FURNITURE": "Other"}
@@ -26,6 +26,7 @@ def _case(col, table: dict[str, str]):
     return out
 
 
+@described_once
 def lines(t: Tables) -> DataFrame:
     """Line items with their institute and trade."""
     places = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
@@ -38,6 +39,7 @@ def lines(t: Tables) -> DataFrame:
     )
 
 
+@described_once
 def people(t: Tables) -> DataFrame:
     """One row per application without its payloads."""
     home = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
@@ -65,6 +67,7 @@ def people(t: Tables) -> DataFrame:
     )
 
 
+@described_once
 def students(t: Tables) -> DataFrame:
     """The raw student table: text columns, and JSON lists built from the line items."""
     item = F.struct(
@@ -108,6 +111,7 @@ def students(t: Tables) -> DataFrame:
     )
 
 
+@described_once
 def institutes(t: Tables) -> DataFrame:
     """The raw institute table: one row per institute, trade and year."""
     years = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), (F.year("o_orderdate") + 22).alias("academic_year"))
@@ -193,42 +197,49 @@ def sql(body: str) -> str:
 
 # --- cleaned datasets used by many queries ----------------------------------------
 
+@described_once
 def enrolled(t: Tables, module: str) -> DataFrame:
     from rollbook.plans.vocational import enrollments
 
     return enrollments(of_module(students(t), module), module, sort=False)
 
 
+@described_once
 def mark_rows(t: Tables, module: str) -> DataFrame:
     from rollbook.plans.vocational import marks
 
     return marks(enrolled(t, module))
 
 
+@described_once
 def strength(t: Tables, module: str) -> DataFrame:
     from rollbook.plans.vocational import institutes_strength
 
     return institutes_strength(of_module(institutes(t), module))
 
 
+@described_once
 def cutoff_rows(t: Tables, module: str = "ITI") -> DataFrame:
     from rollbook.plans.vocational import institutes_cutoffs
 
     return institutes_cutoffs(of_module(institutes(t), module))
 
 
+@described_once
 def vacancy_rows(t: Tables) -> DataFrame:
     from rollbook.plans.vocational import vacancies
 
     return vacancies(enrolled(t, "ITI"), strength(t, "ITI"))
 
 
+@described_once
 def hss_options(t: Tables) -> DataFrame:
     from rollbook.plans.higher import hss_applications
 
     return hss_applications(of_module(students(t), "HSS"))
 
 
+@described_once
 def hss_mark_rows(t: Tables) -> DataFrame:
     """HSS results with numbers for marks."""
     from rollbook.functions.values import number
@@ -238,6 +249,7 @@ def hss_mark_rows(t: Tables) -> DataFrame:
     return rows.withColumns({c: number(F.col(c)) for c in ["percentage", "secured_marks", "comp_fail_mark", "comp_pass_mark"]})
 
 
+@described_once
 def itemised(t: Tables) -> DataFrame:
     """ITI applications with the person's enrolment columns and the option's institute type."""
     from rollbook.plans.vocational import applications

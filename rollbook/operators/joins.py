@@ -42,7 +42,8 @@ def outer_fill(frames: list[DataFrame], keys: list[str], fill=0) -> DataFrame:
     out = frames[0]
     for frame in frames[1:]:
         out = out.join(frame, keys, "full_outer")
-    return out.fillna(fill, subset=[c for c in out.columns if c not in keys])
+    gaps = [F.coalesce(F.col(f"`{c}`"), F.lit(fill)).alias(c) for c in out.columns if c not in keys]
+    return out.select(*keys, *gaps)
 
 
 def rows_of_groups(df: DataFrame, flagged: DataFrame, keys: list[str], keep: bool = True) -> DataFrame:

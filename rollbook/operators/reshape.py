@@ -10,23 +10,31 @@ from rollbook.functions.values import round_half_even
 from rollbook.operators.aggregate import with_keys
 
 
+def fill(df: DataFrame, keep: list[str], value=0) -> DataFrame:
+    """A value for nulls in all columns but the kept ones; names may hold dots."""
+    return df.select(
+        *[
+            F.col(f"`{c}`") if c in keep else F.coalesce(F.col(f"`{c}`"), F.lit(value)).alias(c)
+            for c in df.columns
+        ]
+    )
+
+
 def pivot(
-    df: DataFrame, index: list[str], column: str, measure: Column, values: list | None = None, fill=None
+    df: DataFrame, index: list[str], column: str, measure: Column, values: list | None = None, empty=None
 ) -> DataFrame:
     """One column per value of ``column``; pass the values when the domain is fixed."""
     table = with_keys(df, [*index, column]).groupBy(*index).pivot(column, values).agg(measure)
-    if fill is None:
-        return table
-    return table.fillna(fill, subset=[c for c in table.columns if c not in index])
+    return table if empty is None else fill(table, index, empty)
 
 
 def pivot_count(df, index, column, values=None, counted: str | None = None) -> DataFrame:
     measure = F.count(counted) if counted else F.count(F.lit(1))
-    return pivot(df, index, column, measure, values, fill=0)
+    return pivot(df, index, column, measure, values, empty=0)
 
 
 def pivot_distinct(df, index, column, counted: str, values=None) -> DataFrame:
-    return pivot(df, index, column, F.count_distinct(counted), values, fill=0)
+    return pivot(df, index, column, F.count_distinct(counted), values, empty=0)
 
 
 def pivot_mean(df, index, column, value: str, values=None, digits: int | None = 1) -> DataFrame:
@@ -38,7 +46,7 @@ def pivot_sum(df, index, column, value: str, values=None) -> DataFrame:
     """Sums per cell; booleans count as 0 and 1."""
     kind = dict(df.dtypes)[value]
     measure = F.sum(F.col(value).cast("int") if kind == "boolean" else F.col(value))
-    return pivot(df, index, column, measure, values, fill=0)
+    return pivot(df, index, column, measure, values, empty=0)
 
 
 def pivot_first(df, index, column, value: str, order: list[str], values=None) -> DataFrame:
@@ -54,7 +62,7 @@ def pivot_measures(df, index, column, measures: dict[str, Column], values=None)
     """Several measures per value, named "<value>_<measure>"; missing cells are 0."""
     named = [m.alias(n) for n, m in measures.items()]
     table = with_keys(df, [*index, column]).groupBy(*index).pivot(column, values).agg(*named)
-    return table.fillna(0, subset=[c for c in table.columns if c not in index])
+    return fill(table, index)
 
 
 def dash_zero(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -97,4 +105,4 @@ def row_percentages(
 
 
 def wide_to_long(df: DataFrame, ids: list[str], columns: list[str], name: str, value: str) -> DataFrame:
-    return df.unpivot(ids, columns, name, value)
+    return df.unpivot(ids, [F.col(f"`{c}`") for c in columns], name, value)
