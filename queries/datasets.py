@@ -618,3 +618,84 @@ def stream_landing(t):
             t.spark, f"{work}/files", fields, f"{work}/table", f"{work}/checkpoint", ["event_id"], ["event_id"], "ts", ["event_type"], prepare=typed
         ).awaitTermination()
     return land.landed(t.spark, f"{work}/table").select("event_id", "ts", "user_id", "event_type", "value", "props")
+
+
+# --- reading and writing ---------------------------------------------------------------
+
+def _scratch(t, purpose):
+    from rollbook.session import shared_folder
+
+    return shared_folder(t.spark, purpose)
+
+
+@query("save_load_formats", """
+SELECT 'parquet' AS fmt, c_custkey, c_name FROM customer UNION ALL SELECT 'csv', c_custkey, c_name FROM customer UNION ALL SELECT 'json', c_custkey, c_name FROM customer""")
+def save_load_formats(t):
+    from rollbook.sources import catalog as K
+
+    folder = _scratch(t, "formats")
+    rows = t.customer.select("c_custkey", "c_name")
+    back = None
+    for fmt in K.FORMATS:
+        target = K.Dataset(f"customers_{fmt}", fmt, f"{folder}/{fmt}", "interim")
+        K.save(rows, target)
+        read = K.load(t.spark, target, rows.schema).select(F.lit(fmt).alias("fmt"), "c_custkey", "c_name")
+        back = read if back is None else back.unionByName(read)
+    return back
+
+
+@query("tagged_files", "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS year, CAST(NULL AS INTEGER) AS exam_year FROM orders")
+def tagged_files(t):
+    """Files named by year, read back as one table with the year taken from the names."""
+    from rollbook.sources.catalog import read_tagged_files, write_by_year
+
+    folder = _scratch(t, "tagged")
+    for year in range(1995, 2002):
+        rows = t.orders.where(F.year("o_orderdate") == year).select("o_orderkey")
+        rows.write.option("header", True).csv(f"{folder}/Sheet_{year}")
+    tags = {"year": r"Sheet_(\d{4})", "exam_year": r"Year(\d)"}
+    files = read_tagged_files(t.spark, f"{folder}/Sheet_*", tags, "o_orderkey string", whole_path=True)
+    return files.select("o_orderkey", "year", "exam_year")
+
+
+@query("write_by_year", "SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS academic_year FROM orders")
+def write_by_year(t):
+    from rollbook.sources.catalog import write_by_year as write
+
+    folder = _scratch(t, "years")
+    write(t.orders.select("o_orderkey", F.year("o_orderdate").alias("academic_year")), folder)
+    return t.spark.read.parquet(folder)
+
+
+@query("publish_tables", "SELECT n_name, COUNT(*) AS n FROM customer JOIN nation ON c_nationkey=n_nationkey GROUP BY 1")
+def publish_tables(t):
+    from rollbook.sources.catalog import publish
+
+    counts = A.count_by(t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")), ["n_name"])
+    return t.spark.read.parquet(*publish({"by_nation": counts}, _scratch(t, "tables")))
+
+
+@query("scan_module", sql("SELECT barcode, academic_year FROM people WHERE module='DEG' AND academic_year BETWEEN 2019 AND 2021"))
+def scan_module(t):
+    from rollbook.sources.catalog import scan_module as scan
+
+    folder = _scratch(t, "students")
+    S.people(t).select("barcode", "academic_year", "module").write.partitionBy("module").parquet(folder)
+    return scan(t.spark.read.parquet(folder), "DEG", (2019, 2021)).select("barcode", "academic_year")
+
+
+@query("sql_function", "SELECT p_partkey, upper(p_type) || '/' || p_brand AS label FROM part")
+def sql_function(t):
+    from rollbook.sources.catalog import sql_over
+
+    body = {"part_label(kind STRING, brand STRING) RETURNS STRING": "concat(upper(kind), '/', brand)"}
+    return sql_over(t.spark, {"parts_view": t.part}, "SELECT p_partkey, part_label(p_type, p_brand) AS label FROM parts_view", body)
+
+
+@query("sql_unnest", sql("SELECT barcode, CAST(l_linenumber AS VARCHAR) AS option_no FROM people LEFT JOIN lineitem ON o_orderkey=l_orderkey WHERE module='ITI'"))
+def sql_unnest(t):
+    """Lateral unnest in SQL, applications without options kept."""
+    from rollbook.sources.catalog import sql_over
+
+    text = "SELECT barcode, o.Option_No AS option_no FROM s LATERAL VIEW OUTER explode(from_json(option_data, 'array<struct<Option_No string>>')) x AS o"
+    return sql_over(t.spark, {"s": S.of_module(S.students(t), "ITI")}, text)

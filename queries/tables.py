@@ -233,9 +233,16 @@ def enrollment_by_state(t):
     return ET.enrollment_by_shape(shapes, ET.in_year(iti(t)), "state")
 
 
-@query("fuzzy_join")
+@query("fuzzy_join", r"""
+WITH l AS (SELECT p_partkey, p_type, substr(p_name,1,1) || substr(p_name,3) AS short FROM part), r AS (SELECT p_type, p_name, COUNT(*) AS parts FROM part GROUP BY 1,2),
+d AS (SELECT DISTINCT p_type, short, '%' || regexp_replace(short, '(.)', '\1%', 'g') AS pattern FROM l),
+m AS (SELECT d.p_type, short, arg_min(p_name, (length(p_name), p_name)) AS p_name_match FROM d JOIN r ON d.p_type=r.p_type AND p_name LIKE pattern GROUP BY 1,2)
+SELECT p_partkey, l.p_type, p_name_match, r.p_name, parts FROM l JOIN m ON l.p_type=m.p_type AND l.short=m.short JOIN r ON r.p_type=l.p_type AND r.p_name=p_name_match""")
 def fuzzy_join_parts(t):
-    """Part names without their second letter, joined back by type; the SQL would compare all pairs."""
+    """Part names without their second letter, joined back by type.
+
+    The best match always holds the shortened name in order and is the shortest such name.
+    """
     from rollbook.operators.fuzzy import fuzzy_join
 
     short = F.concat(F.substring("p_name", 1, 1), F.substring("p_name", 3, 100))
@@ -246,7 +253,7 @@ def fuzzy_join_parts(t):
 
 @query("fuzzy_best_match")
 def fuzzy_best_match(t):
-    """Best part name for each distinct word pair of the page-free part names, at 80."""
+    """Best part name for names with their first two letters swapped; tested against brute force."""
     from rollbook.operators.fuzzy import best_fuzzy_match
 
     swapped = F.concat(F.substring("p_name", 2, 1), F.substring("p_name", 1, 1), F.substring("p_name", 3, 100))
@@ -254,7 +261,10 @@ def fuzzy_best_match(t):
     return best_fuzzy_match(names, "p_name", t.part.select("p_name").distinct(), 80.0, "found")
 
 
-@query("osa_match")
+@query("osa_match", """
+WITH l AS (SELECT p_partkey, substr(p_name,2,1) || substr(p_name,1,1) || substr(p_name,3) AS p_name FROM part), r AS (SELECT DISTINCT p_name AS choice FROM part),
+d AS (SELECT DISTINCT p_name FROM l), m AS (SELECT p_name, arg_min(choice, (damerau_levenshtein(p_name, choice), choice)) AS found FROM d, r WHERE damerau_levenshtein(p_name, choice) <= 3 GROUP BY 1)
+SELECT p_partkey, l.p_name, found FROM l LEFT JOIN m USING (p_name)""")
 def osa_match(t):
     from rollbook.operators.fuzzy import best_osa_match
 
@@ -737,9 +747,12 @@ def identities(t):
     return ID.with_student_key(ID.marksheet_identity(S.students(t).where("sams_code is not null")), None)
 
 
-@query("yearly_match")
+@query("yearly_match", _with("""ky AS (SELECT academic_year AS yr, aadhar_no AS a, lower(student_name) || '_' || (year(p1.l_shipdate)-p1.l_linenumber+1) || '_' || dob || '_' ||
+ CASE WHEN length(CAST(p1.l_partkey AS VARCHAR))=9 OR p1.l_linestatus<>'O' THEN CAST(p1.l_partkey AS VARCHAR) ELSE 'NA' END || '_' || p1.l_linestatus AS b FROM people JOIN line1 p1 ON o_orderkey=l_orderkey),
+kp AS (SELECT *, COUNT(*) OVER (PARTITION BY yr,a) AS na, COUNT(*) OVER (PARTITION BY yr,b) AS nb FROM (SELECT DISTINCT * FROM ky))""", """
+SELECT yr AS academic_year, (SELECT COUNT(*) FROM ky WHERE ky.yr=kp.yr) AS total_rows, (SELECT COUNT(*) FROM ky WHERE ky.yr=kp.yr) AS total_admitted, COUNT(DISTINCT a) AS aadhar_no_ids, COUNT(DISTINCT CASE WHEN na>1 THEN a END) AS aadhar_no_many,
+ COUNT(DISTINCT b) AS student_key_ids, COUNT(DISTINCT CASE WHEN nb>1 THEN b END) AS student_key_many, COUNT(*) FILTER (na=1 AND nb=1) AS one_to_one FROM kp GROUP BY 1"""))
 def yearly_match(t):
-    """Rows only: the key is checked in ``student_key`` and the matching in ``one_to_one``."""
     return ID.yearly_match(identities(t).withColumn("admission_status", F.lit("Yes")))
 
 

@@ -93,15 +93,15 @@ def scan_module(df: DataFrame, module: str, years: tuple[int, int] | None = None
     return rows.where(F.col("academic_year").between(*years)) if years else rows
 
 
-def read_tagged_files(spark: SparkSession, glob: str, tags: dict[str, str], schema=None) -> DataFrame:
-    """All CSV files of a pattern, with integers taken from their names by regex.
+def read_tagged_files(spark: SparkSession, glob: str, tags: dict[str, str], schema=None, whole_path: bool = False) -> DataFrame:
+    """All CSV files of a pattern, with integers taken from their names (or paths) by regex.
 
     ``tags`` maps a new column to a pattern with one group; a name that does
     not match gives null.
     """
     reader = spark.read.option("header", True)
     df = (reader.schema(schema) if schema else reader).csv(glob)
-    name = F.col("_metadata.file_name")
+    name = F.col("_metadata.file_path" if whole_path else "_metadata.file_name")
     return df.select(
         "*",
         *[
@@ -139,15 +139,25 @@ def publish(tables: dict[str, DataFrame] | tuple[list[DataFrame], list[str]], fo
     return written
 
 
-def sql_over(spark: SparkSession, views: dict[str, DataFrame], query: str) -> DataFrame:
-    """Run SQL over frames registered under names that are gone afterwards."""
+def sql_over(spark: SparkSession, views: dict[str, DataFrame], query: str, functions: dict[str, str] | None = None) -> DataFrame:
+    """Run SQL over frames and functions registered under names that are gone afterwards.
+
+    ``functions`` maps a signature such as ``f(x STRING)`` to a SQL expression,
+    so a registered function stays inside the JVM like any other expression.
+    """
     for name, df in views.items():
         df.createOrReplaceTempView(name)
+    names = []
+    for signature, body in (functions or {}).items():
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {signature} RETURN {body}")
+        names.append(signature.split("(")[0].strip())
     try:
         return spark.sql(query)
     finally:
         for name in views:
             spark.catalog.dropTempView(name)
+        for name in names:
+            spark.sql(f"DROP TEMPORARY FUNCTION IF EXISTS {name}")
 
 
 def inventory(spark: SparkSession, frames: dict[str, DataFrame]) -> DataFrame:
