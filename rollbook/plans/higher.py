@@ -53,7 +53,8 @@ def _known(df: DataFrame, rules: dict[str, Column]) -> dict[str, Column]:
 def hss_enrollments(df: DataFrame, sort: bool = True) -> DataFrame:
     """HSS rows with the enrolment columns, values as they arrive."""
     out = keep_existing(df.where(F.col("module") == "HSS"), HSS_COLUMNS)
-    return out.orderBy("aadhar_no", "academic_year") if sort else out
+    keys = [c for c in ["aadhar_no", "academic_year"] if c in out.columns]
+    return out.orderBy(*keys) if sort and len(keys) == 2 else out
 
 
 def hss_clean(df: DataFrame) -> DataFrame:

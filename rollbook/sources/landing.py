@@ -64,31 +64,44 @@ ZERO_YEAR_MODULES = ["HSS", "DEG"]
 
 
 def record_schema(fields: Iterable[str] = tuple(STUDENT_FIELDS)) -> StructType:
-    """Every source field as text; nested lists and objects arrive as their JSON text."""
-    return StructType([StructField(f, StringType()) for f in fields])
+    """Every source field as text; nested lists and objects arrive as their JSON text.
 
+    Column names ignore case, so of two spellings the first is taken; records
+    that mix spellings are read as lines with ``normalise_lines``.
+    """
+    kept = {f.lower(): f for f in reversed(list(fields))}
+    return StructType([StructField(f, StringType()) for f in fields if kept[f.lower()] == f])
 
-def normalise_records(df: DataFrame, module: Column | str, academic_year: Column | int, fields: dict[str, str] | None = None) -> DataFrame:
-    """Source fields under stored names, module and year added, unknown fields dropped.
 
-    A stored name fed by several source fields takes the first that is present.
-    """
-    fields = fields or STUDENT_FIELDS
-    sources: dict[str, list[str]] = {}
+def _stored(pick, fields: dict[str, str], module: Column | str, academic_year: Column | int) -> list[Column]:
+    """Stored columns from a function that gives a source field's column, or None."""
+    sources: dict[str, list[Column]] = {stored: [] for stored in fields.values()}
     for source, stored in fields.items():
-        if source in df.columns:
-            sources.setdefault(stored, []).append(source)
-    body = [F.coalesce(*[F.col(s) for s in found]).alias(stored) for stored, found in sources.items()]
-    missing = [
-        F.lit(None).cast("string").alias(stored) for stored in dict.fromkeys(fields.values()) if stored not in sources
-    ]
+        found = pick(source)
+        if found is not None:
+            sources[stored].append(found)
+    empty = F.lit(None).cast("string")
+    out = {stored: F.coalesce(*found) if found else empty for stored, found in sources.items()}
     as_col = lambda v: v if isinstance(v, Column) else F.lit(v)
+    if "year" in out:
+        default = F.when(as_col(module).isin(ZERO_YEAR_MODULES), 0)
+        out["year"] = F.coalesce(out["year"].try_cast("int"), default)
+    out |= {"module": as_col(module), "academic_year": as_col(academic_year).cast("int")}
+    return [c.alias(name) for name, c in out.items()]
+
+
+def normalise_records(df: DataFrame, module: Column | str, academic_year: Column | int, fields: dict[str, str] | None = None) -> DataFrame:
+    """Source fields under stored names, module and year added, unknown fields dropped."""
+    pick = lambda source: F.col(source) if source in df.columns else None
     extra = [c for c in df.columns if c.startswith("_")]
-    out = df.select(*body, *missing, as_col(module).alias("module"), as_col(academic_year).cast("int").alias("academic_year"), *extra)
-    if "year" in out.columns:
-        default = F.when(F.col("module").isin(ZERO_YEAR_MODULES), 0)
-        out = out.withColumn("year", F.coalesce(F.col("year").try_cast("int"), default))
-    return out
+    return df.select(*_stored(pick, fields or STUDENT_FIELDS, module, academic_year), *extra)
+
+
+def normalise_lines(df: DataFrame, module: Column | str, academic_year: Column | int, column: str = "value", fields: dict[str, str] | None = None) -> DataFrame:
+    """The same from one JSON record per line; exact spellings, several per stored name."""
+    parsed = df.select(F.from_json(column, "map<string,string>").alias("_m"))
+    pick = lambda source: F.try_element_at("_m", F.lit(source))
+    return parsed.select(*_stored(pick, fields or STUDENT_FIELDS, module, academic_year))
 
 
 def barcode_problem(col: Column) -> Column:
