@@ -169,8 +169,8 @@ marks AS (SELECT aadhar_no, academic_year, module, exam_name, roll_no, secured_m
  CASE l_returnflag WHEN 'A' THEN CASE WHEN module='ITI' THEN '10th Pass' ELSE '10th' END WHEN 'N' THEN '+2 Science' ELSE 'ITI' END AS exam_name,
  CAST(l_partkey AS VARCHAR) AS roll_no, CAST(CAST(l_quantity AS INTEGER) AS DOUBLE) AS secured_marks, CAST(50 AS DOUBLE) AS total_marks,
  CAST(year(l_shipdate)-l_linenumber+1 AS VARCHAR) AS year_of_passing, CASE WHEN l_linestatus='O' THEN 'BSE, ODISHA' ELSE 'CBSE' END AS highest_qualification_exam_board,
- l_tax>0.06 AS compartmental_status, barcode, l_linenumber, l_suppkey, l_partkey, l_extendedprice FROM people JOIN lines ON o_orderkey=l_orderkey)
- QUALIFY ROW_NUMBER() OVER (PARTITION BY module, aadhar_no, academic_year, exam_name ORDER BY barcode, l_linenumber, l_suppkey, l_partkey, l_extendedprice)=1),
+ l_tax>0.06 AS compartmental_status, date_of_application, barcode, l_linenumber, l_suppkey, l_partkey, l_extendedprice FROM people JOIN lines ON o_orderkey=l_orderkey)
+ QUALIFY ROW_NUMBER() OVER (PARTITION BY module, aadhar_no, academic_year, exam_name ORDER BY date_of_application, barcode, l_linenumber, l_suppkey, l_partkey, l_extendedprice)=1),
 inst AS (SELECT sams AS sams_code, l_suppkey, inst AS institute_name, kind AS type_of_institute, p_brand AS trade, CAST(year(o_orderdate)+22 AS INTEGER) AS academic_year,
  CASE WHEN p_brand<'Brand#2' THEN 'ITI' ELSE 'Diploma' END AS module, CASE WHEN p_brand>='Brand#2' THEN p_brand END AS branch, COUNT(*) AS n,
  NULLIF(COUNT(*) FILTER (l_returnflag='A'),0) AS a, NULLIF(COUNT(*) FILTER (l_returnflag='N'),0) AS b, NULLIF(COUNT(*) FILTER (l_returnflag='R'),0) AS c,

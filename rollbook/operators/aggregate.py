@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from rollbook.functions.nulls import is_missing
 from rollbook.functions.values import round_half_even
 from rollbook.operators.columns import all_of
-from rollbook.operators.quantiles import quantiles
+from rollbook.operators.quantiles import count_values, distribution
 
 QUARTILES = {"25th": 0.25, "Median": 0.5, "75th": 0.75}
 
@@ -39,30 +39,29 @@ def mean_std_by(df: DataFrame, keys: list[str], column: str) -> DataFrame:
     )
 
 
+def _summary(found: DataFrame, label: str | None, digits: int) -> DataFrame:
+    names = {"mean": "Mean", "std": "Std", **{q: q for q in QUARTILES}}
+    rounded = [round_half_even(F.col(f"`{c}`"), digits).alias(name) for c, name in names.items()]
+    return found.select(*([label] if label else []), *rounded, F.col("n").alias("Count"))
+
+
 def summary_stats(
     df: DataFrame, value: str, by: str | None = None, label: str | None = None, digits: int = 1
 ) -> DataFrame:
     """Mean, Std, quartiles and Count of a value, per group or overall."""
-    keys = [by] if by else []
-    moments = with_keys(df, keys).groupBy(*keys).agg(
-        F.avg(value).alias("Mean"), F.stddev_samp(value).alias("Std"), F.count(value).alias("Count")
-    )
-    middle = quantiles(df, value, keys, QUARTILES)
-    if by:
-        joined = moments.join(middle, by, "left")
-    else:
-        joined = moments.withColumn("_q", middle.select(F.struct("*")).scalar()).select("*", "_q.*")
-    rounded = [
-        round_half_even(F.col(f"`{c}`"), digits).alias(c) for c in ["Mean", "Std", *QUARTILES]
-    ]
-    names = [F.col(by).alias(label or by)] if by else []
-    return joined.select(*names, *rounded, "Count")
+    if not by:
+        return _summary(distribution(count_values(df, value, []), [], QUARTILES), None, digits)
+    name = label or by
+    counted = count_values(with_keys(df, [by]).withColumnRenamed(by, name), value, [name])
+    return _summary(distribution(counted, [name], QUARTILES), name, digits)
 
 
-def summary_stats_with_all(df: DataFrame, value: str, by: str, label: str) -> DataFrame:
-    """The grouped summary with an ungrouped "All" row."""
-    overall = summary_stats(df, value).select(F.lit("All").alias(label), "*")
-    return overall.unionByName(summary_stats(df, value, by, label))
+def summary_stats_with_all(df: DataFrame, value: str, by: str, label: str, digits: int = 1) -> DataFrame:
+    """The grouped summary with an ungrouped "All" row, from one pass over the rows."""
+    counted = count_values(df.select(F.col(by).cast("string").alias(label), value), value, [label])
+    overall = counted.groupBy("_v").agg(F.sum("_c").alias("_c")).select(F.lit("All").alias(label), "_v", "_c")
+    both = counted.where(F.col(label).isNotNull()).unionByName(overall)
+    return _summary(distribution(both, [label], QUARTILES), label, digits)
 
 
 def unit_counts(df: DataFrame, unit: list[str], counted: str | None = None) -> DataFrame:
@@ -197,12 +196,8 @@ def mode_share(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def describe_long(df: DataFrame, columns: list[str]) -> DataFrame:
     """Count, mean, std and quartiles of several numeric columns, one row each."""
-    long = _long(df, columns, "double")
-    moments = long.groupBy("variable").agg(
-        F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std")
-    )
-    middle = quantiles(long, "value", ["variable"], {"p25": 0.25, "p50": 0.5, "p75": 0.75})
-    return moments.join(middle, "variable", "left")
+    counted = count_values(_long(df, columns, "double"), "value", ["variable"])
+    return distribution(counted, ["variable"], {"p25": 0.25, "p50": 0.5, "p75": 0.75})
 
 
 def null_profile(df: DataFrame, columns: list[str], by: list[str] | None = None) -> DataFrame:

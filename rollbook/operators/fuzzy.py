@@ -128,17 +128,14 @@ def best_matches(
     Texts equal to a choice take it without scoring. Ties go to the choice with
     the lowest ``order`` value, or to the smallest text when no order is given.
     """
-    def side(df, name):
-        kept = df.select(*exact, F.col(column).alias(name)).where(F.col(name).isNotNull() & (F.col(name) != ""))
-        return kept.distinct()
+    def texts(df: DataFrame) -> DataFrame:
+        filled = F.col(column).isNotNull() & (F.col(column) != "")
+        return df.where(filled).select(*exact, F.col(column).alias("text")).distinct()
 
-    same = side(left, "text").join(
-        side(right, "text"), [*exact, "text"], "left_semi"
-    )
-    open_left = left.join(
-        same.withColumnRenamed("text", column), [*exact, column], "left_anti"
-    )
-    pairs = similar_pairs(open_left, right, column, exact, rule)
+    wanted, choices = texts(left), texts(right)
+    same = wanted.join(choices, [*exact, "text"], "left_semi")
+    rest = wanted.join(choices, [*exact, "text"], "left_anti").withColumnRenamed("text", column)
+    pairs = similar_pairs(rest, right, column, exact, rule)
     if order:
         places = right.groupBy(*exact, F.col(column).alias("choice")).agg(F.min(order).alias("_place"))
         pairs = pairs.join(places, [*exact, "choice"])

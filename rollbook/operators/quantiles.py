@@ -1,44 +1,70 @@
-"""Exact quantiles that never hold a group in one task.
+"""Exact quantiles and moments that never hold a group in one task.
 
-Equal values are counted first, then each group is cut into equal-width
-buckets. The bucket counts tell which buckets hold the wanted ranks, and only
-the values of those buckets are ordered.
+Equal values are counted first, in the only pass over the rows. Values then
+fall into narrow buckets by order of magnitude. The bucket counts tell which
+buckets hold the wanted ranks, and only the values of those are ordered.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+# Buckets per doubling of the value, and a shift that keeps bucket numbers of
+# positive values above zero down to the smallest double.
+PER_DOUBLING = 1024
+SHIFT = 1100 * PER_DOUBLING
+NO_VALUE = -(1 << 62)
 
-def quantiles(
-    df: DataFrame, value: str, by: list[str], probs: dict[str, float], buckets: int = 1024
-) -> DataFrame:
-    """One row per group with a column per named probability (linear interpolation)."""
-    present = df.where(F.col(value).isNotNull())
-    for key in by:
-        present = present.where(F.col(key).isNotNull())
-    counted = present.groupBy(*by, F.col(value).cast("double").alias("_v")).agg(
-        F.count(F.lit(1)).alias("_c")
+
+def count_values(df: DataFrame, value: str, by: list[str]) -> DataFrame:
+    """How often each value occurs per group; nulls are counted as well."""
+    return df.groupBy(*by, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+
+
+def _bucket(v: Column) -> Column:
+    """A whole number that never falls as the value rises."""
+    size = F.floor(F.log2(F.abs(v)) * PER_DOUBLING) + SHIFT
+    number = F.when(v > 0, size).when(v < 0, -size).when(v == 0, F.lit(0).cast("long"))
+    return F.coalesce(number, F.lit(NO_VALUE).cast("long"))
+
+
+def _near(b: Column) -> Column:
+    """A value close to all values of a bucket, to subtract before squaring."""
+    size = F.pow(F.lit(2.0), (F.abs(b) - SHIFT) / PER_DOUBLING)
+    return F.when(b == 0, 0.0).when(b == NO_VALUE, 0.0).otherwise(F.signum(b.cast("double")) * size)
+
+
+def distribution(counted: DataFrame, by: list[str], probs: dict[str, float]) -> DataFrame:
+    """Per group of counted values: ``n``, ``mean``, ``std`` and a column per probability.
+
+    Quantiles interpolate linearly between the two nearest ranks. Groups
+    without any value keep a row with ``n`` 0.
+    """
+    placed = counted.withColumn("_b", _bucket(F.col("_v")))
+    off = F.col("_v") - _near(F.col("_b"))
+    some = F.when(F.col("_v").isNotNull(), F.col("_c")).otherwise(0)
+    sizes = placed.groupBy(*by, "_b").agg(
+        F.sum(some).alias("_bc"), F.sum(off * F.col("_c")).alias("_s1"), F.sum(off * off * F.col("_c")).alias("_s2")
     )
-    span = [F.min("_v").alias("_low"), F.max("_v").alias("_high"), F.sum("_c").alias("_n")]
-    if by:
-        placed = counted.join(counted.groupBy(*by).agg(*span), by)
-    else:
-        limits = counted.agg(F.struct(*span).alias("_span")).scalar()
-        placed = counted.withColumn("_span", limits).select("*", "_span.*").drop("_span")
-    width = F.try_divide(F.col("_v") - F.col("_low"), F.col("_high") - F.col("_low"))
-    bucket = F.least(F.floor(F.coalesce(width, F.lit(0.0)) * buckets), F.lit(buckets - 1))
-    placed = placed.withColumn("_b", bucket.cast("int"))
-
-    # At most `buckets` rows per group reach this window.
-    ends = placed.groupBy(*by, "_b", "_n").agg(F.sum("_c").alias("_bc")).withColumn(
-        "_end", F.sum("_bc").over(Window.partitionBy(*by).orderBy("_b"))
+    # A group has at most one row per bucket here, however many rows it had.
+    in_order = Window.partitionBy(*by).orderBy("_b")
+    whole = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    local_mean = _near(F.col("_b")) + F.try_divide(F.col("_s1"), F.col("_bc"))
+    starts = sizes.withColumns(
+        {
+            "_start": F.sum("_bc").over(in_order) - F.col("_bc"),
+            "_n": F.sum("_bc").over(whole),
+            "_mean": F.try_divide(F.sum(F.col("_bc") * local_mean).over(whole), F.sum("_bc").over(whole)),
+        }
     )
-    starts = ends.withColumn("_start", F.col("_end") - F.col("_bc"))
+    within = F.col("_s2") - F.try_divide(F.pow("_s1", F.lit(2)), F.col("_bc"))
+    between = F.col("_bc") * F.pow(local_mean - F.col("_mean"), 2)
+    starts = starts.withColumn("_dev", F.sum(F.greatest(within, F.lit(0.0)) + between).over(whole))
+
     place = {name: F.lit(float(p)) * (F.col("_n") - 1) for name, p in probs.items()}
     ranks = F.array(*[rank for at in place.values() for rank in (F.floor(at), F.ceil(at))])
-    holds = F.exists(ranks, lambda r: (r >= F.col("_start")) & (r < F.col("_end")))
-    wanted = starts.where(holds).select(*by, "_b", "_start")
+    holds = F.exists(ranks, lambda r: (r >= F.col("_start")) & (r < F.col("_start") + F.col("_bc")))
+    wanted = starts.where(holds | (F.col("_n") == 0)).select(*by, "_b", "_start", "_n", "_mean", "_dev")
 
     ordered = Window.partitionBy(*by, "_b").orderBy("_v")
     fine = placed.join(wanted, [*by, "_b"]).withColumn(
@@ -49,15 +75,23 @@ def quantiles(
         inside = (rank >= F.col("_last") - F.col("_c")) & (rank < F.col("_last"))
         return F.max(F.when(inside, F.col("_v")))
 
-    ends_of = {
-        name: (at_rank(F.floor(at)), at_rank(F.ceil(at)), F.max(at - F.floor(at)))
-        for name, at in place.items()
+    ends = {
+        name: (at_rank(F.floor(at)), at_rank(F.ceil(at)), F.max(at - F.floor(at))) for name, at in place.items()
     }
     picked = fine.groupBy(*by).agg(
-        *[c.alias(f"{name}_{i}") for name, cs in ends_of.items() for i, c in enumerate(cs)]
+        F.coalesce(F.max("_n"), F.lit(0)).alias("n"), F.max("_mean").alias("mean"),
+        F.max(F.sqrt(F.try_divide(F.col("_dev"), F.col("_n") - 1))).alias("std"),
+        *[c.alias(f"{name}_{i}") for name, cs in ends.items() for i, c in enumerate(cs)],
     )
     blend = [
-        (F.col(f"`{n}_0`") + (F.col(f"`{n}_1`") - F.col(f"`{n}_0`")) * F.col(f"`{n}_2`")).alias(n)
-        for n in probs
+        (F.col(f"`{p}_0`") + (F.col(f"`{p}_1`") - F.col(f"`{p}_0`")) * F.col(f"`{p}_2`")).alias(p) for p in probs
     ]
-    return picked.select(*by, *blend)
+    return picked.select(*by, "n", "mean", "std", *blend)
+
+
+def quantiles(df: DataFrame, value: str, by: list[str], probs: dict[str, float]) -> DataFrame:
+    """One row per group with a column per named probability; null keys are dropped."""
+    present = df
+    for key in by:
+        present = present.where(F.col(key).isNotNull())
+    return distribution(count_values(present, value, by), by, probs).select(*by, *[F.col(f"`{p}`") for p in probs])

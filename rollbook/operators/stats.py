@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rollbook.operators.aggregate import with_keys
-from rollbook.operators.quantiles import quantiles
+from rollbook.operators.quantiles import count_values, distribution
 
 
 def welch_t(df: DataFrame, group: str, value: str, first, second) -> DataFrame:
@@ -111,15 +111,9 @@ def kernel_density(df: DataFrame, column: str, by: list[str] | None = None, poin
     rows = with_keys(df, keys).where(F.col(column).isNotNull()).select(
         *keys, F.col(column).cast("double").alias("_v")
     )
-    middle = quantiles(rows, "_v", keys, {"_q1": 0.25, "_q3": 0.75})
-    moments = rows.groupBy(*keys).agg(
-        F.stddev_samp("_v").alias("_sd"), F.min("_v").alias("_low"), F.max("_v").alias("_high"),
-        F.count(F.lit(1)).alias("_n"),
-    )
-    if keys:
-        shape = moments.join(middle, keys)
-    else:
-        shape = moments.withColumn("_q", middle.select(F.struct("*")).scalar()).select("*", "_q.*").drop("_q")
+    counted = count_values(rows, "_v", keys)
+    corners = {"_low": 0.0, "_q1": 0.25, "_q3": 0.75, "_high": 1.0}
+    shape = distribution(counted, keys, corners).withColumnsRenamed({"n": "_n", "std": "_sd"})
     spread = (F.col("_q3") - F.col("_q1")) / 1.34
     scale = F.coalesce(F.nullif(F.least("_sd", spread), F.lit(0.0)), F.nullif(F.col("_sd"), F.lit(0.0)), F.lit(1.0))
     shape = shape.withColumn("_h", scale * 0.9 * F.pow(F.col("_n"), -0.2))
@@ -127,12 +121,12 @@ def kernel_density(df: DataFrame, column: str, by: list[str] | None = None, poin
         "_step", (F.col("_high") - F.col("_low") + 2 * cut * F.col("_h")) / (points - 1)
     ).select(*keys, "_n", "_h", "_from", "_step")
     if keys:
-        placed = rows.join(shape, keys)
+        placed = counted.join(shape, keys)
     else:
-        placed = rows.withColumn("_s", shape.select(F.struct("*")).scalar()).select("_v", "_s.*")
+        placed = counted.withColumn("_s", shape.select(F.struct("*")).scalar()).select("_v", "_c", "_s.*")
     cell = F.round((F.col("_v") - F.col("_from")) / F.col("_step")).cast("int")
     weights = placed.groupBy(*keys, "_n", "_h", "_from", "_step", cell.alias("_cell")).agg(
-        F.count(F.lit(1)).alias("_w")
+        F.sum("_c").alias("_w")
     )
     packed = weights.groupBy(*keys, "_n", "_h", "_from", "_step").agg(
         F.array_sort(F.collect_list(F.struct("_cell", "_w"))).alias("_cells")

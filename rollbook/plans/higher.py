@@ -50,7 +50,7 @@ def _known(df: DataFrame, rules: dict[str, Column]) -> dict[str, Column]:
     return {c: rule for c, rule in rules.items() if c in df.columns}
 
 
-def hss_enrollments(df: DataFrame, sort: bool = True) -> DataFrame:
+def hss_enrollments(df: DataFrame, sort: bool = False) -> DataFrame:
     """HSS rows with the enrolment columns, values as they arrive."""
     out = keep_existing(df.where(F.col("module") == "HSS"), HSS_COLUMNS)
     keys = [c for c in ["aadhar_no", "academic_year"] if c in out.columns]
@@ -144,7 +144,7 @@ def with_local_flag(df: DataFrame, home: str = "district", institute: str = "Ins
     return df.withColumn("local", C.same_place(F.col(home), F.col(institute), loose=True))
 
 
-def deg_enrollments(df: DataFrame, drop_empty: bool = True, sort: bool = True) -> DataFrame:
+def deg_enrollments(df: DataFrame, drop_empty: bool = True, sort: bool = False) -> DataFrame:
     """Clean degree enrolments; columns without any value go, ``phase`` stays.
 
     Dropping empty columns is the one data-dependent step and runs an aggregate.

@@ -34,11 +34,12 @@ OPTION_FIELDS = ["Option_No", "Phase", "Institute_Name", "Trade", "Status"]
 STRENGTH_IDS = ["sams_code", "trade", "branch", "module", "academic_year"]
 
 
-def enrollments(df: DataFrame, module: str, sort: bool = True) -> DataFrame:
+def enrollments(df: DataFrame, module: str, sort: bool = False) -> DataFrame:
     """Clean enrolments of one module: typed flags and dates, address, locality, level.
 
     Diploma adds the 10th passing year and takes a missing qualification from
-    the marksheets; both are read from the row itself.
+    the marksheets; both are read from the row itself. ``sort`` orders the rows
+    by person and date, which costs a shuffle of everything.
     """
     clean = clean_strings(df, null_strict)
     out = clean.withColumns(
@@ -62,16 +63,21 @@ def enrollments(df: DataFrame, module: str, sort: bool = True) -> DataFrame:
 
 
 def marks(enrolled: DataFrame) -> DataFrame:
-    """One row per person, year and examination, with a checked percentage."""
+    """One row per person, year and examination, with a checked percentage.
+
+    The earliest application wins, and within it the first marksheet.
+    """
     position = "_pos"
     parsed = P.json_records(F.col("mark_data"), MARK_FIELDS)
-    rows = enrolled.select("aadhar_no", "academic_year", "barcode", F.posexplode(parsed).alias(position, "_r"))
+    ids = ["aadhar_no", "academic_year", "date_of_application", "barcode"]
+    rows = enrolled.select(*ids, F.posexplode(parsed).alias(position, "_r"))
     flat = rows.select(
-        "aadhar_no", "academic_year", "barcode", position,
+        *ids, position,
         *[F.col("_r").getField(f).alias(X.snake_name(f)) for f in MARK_FIELDS],
     )
     body = [X.snake_name(f) for f in MARK_FIELDS]
-    one = first_rows(flat, ["aadhar_no", "academic_year", "exam_name"], ["barcode", position, *body])
+    earliest = F.col("date_of_application").asc_nulls_last()
+    one = first_rows(flat, ["aadhar_no", "academic_year", "exam_name"], [earliest, "barcode", position, *body])
     typed = one.withColumns(
         {
             "secured_marks": V.number(F.col("secured_marks")),
@@ -80,7 +86,7 @@ def marks(enrolled: DataFrame) -> DataFrame:
             "compartmental_status": V.yes_no(F.col("compartmental_status")),
         }
     ).withColumnRenamed("yearof_passing", "year_of_passing")
-    return clean_strings(typed.drop(position, "barcode"), null_strict)
+    return clean_strings(typed.drop(position, "barcode", "date_of_application"), null_strict)
 
 
 def applications(df: DataFrame, keep: list[str] | None = None) -> DataFrame:

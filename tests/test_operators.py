@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rollbook.operators import aggregate as A, payloads as PL, reshape as R, windows as W
 from rollbook.operators import fuzzy as Z, sets as U
-from rollbook.operators.quantiles import quantiles
+from rollbook.operators.quantiles import count_values, distribution, quantiles
 from rollbook.operators.spatial import points_in_polygons, within_any
 from rollbook.functions.similarity import indel_ratio, osa_distance
 
@@ -21,10 +21,11 @@ def test_quantiles_match_numpy(spark, shape):
     pdf = pd.DataFrame({"g": ["a"] * len(values) + ["b"] * len(values), "v": np.concatenate([values, -values])})
     df = spark.createDataFrame(pdf)
     probs = {"q0": 0.0, "q1": 0.25, "q2": 0.5, "q3": 0.75, "q9": 0.99, "q10": 1.0}
-    for row in quantiles(df, "v", ["g"], probs, buckets=16).collect():
+    for row in quantiles(df, "v", ["g"], probs).collect():
         want = np.quantile(values if row["g"] == "a" else -values, list(probs.values()))
         assert np.allclose([row[k] for k in probs], want)
-    total = quantiles(df, "v", [], probs, buckets=16).first()
+    assert not quantiles(df.withColumn("v", F.lit(None).cast("double")), "v", ["g"], probs).where("q2 is not null").count()
+    total = quantiles(df, "v", [], probs).first()
     assert np.allclose([total[k] for k in probs], np.quantile(pdf.v, list(probs.values())))
 
 
@@ -36,6 +37,15 @@ def test_summary_matches_pandas(spark):
     assert np.allclose(got[["Mean", "Std", "25th", "Median", "75th", "Count"]].to_numpy(float), want.to_numpy(float))
 
 
+def test_distribution_is_stable_far_from_zero(spark):
+    values = 1e9 + np.arange(1000) / 10
+    df = spark.createDataFrame(pd.DataFrame({"g": "a", "v": values}))
+    row = distribution(count_values(df, "v", ["g"]), ["g"], {"m": 0.5}).first()
+    assert row["n"] == 1000 and abs(row["mean"] - values.mean()) < 1e-5 and abs(row["std"] - values.std(ddof=1)) < 1e-4 and abs(row["m"] - np.median(values)) < 1e-6
+    empty = df.withColumn("v", F.when(F.lit(False), F.col("v")))
+    assert distribution(count_values(empty, "v", ["g"]), ["g"], {"m": 0.5}).first()["n"] == 0
+
+
 def test_null_keys_are_dropped(spark):
     df = spark.createDataFrame([("a", 1), (None, 2), ("a", None)], "k string, v int")
     assert [tuple(r) for r in A.count_by(df, ["k"]).collect()] == [("a", 2)]
