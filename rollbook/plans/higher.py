@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rollbook.functions import categories as C, payload as P, text as X, values as V
-from rollbook.functions.nulls import clean_strings, null_school, null_tokens
+from rollbook.functions.nulls import clean_strings, null_school, null_tokens, real_id
 from rollbook.operators.columns import drop_empty_columns, keep_existing, order_columns
 from rollbook.operators.payloads import explode_records
 
@@ -156,6 +156,7 @@ def deg_enrollments(df: DataFrame, drop_empty: bool = True, sort: bool = False)
             F.col("address"), [F.col(c) for c in ["block", "district", "state", "pin_code"] if c in df.columns]
         ),
         "highest_qualification": C.titled_qualification(F.col("highest_qualification")),
+        "aadhar_no": real_id(F.col("aadhar_no")),
         **{c: V.yes_no_any_case(F.col(c)) for c in DEG_FLAGS},
     }
     out = clean.withColumns(_known(df, rules)).drop(*DEG_DROPPED)

@@ -30,18 +30,22 @@ MODULE_ORDER = {"ITI": 1, "Diploma": 2, "HSS": 3, "DEG": 4}
 OVERLAP_FLAGS = {"applied_iti": "ITI", "applied_diploma": "Diploma", "applied_hss": "HSS", "applied_degree": "DEG"}
 
 
+def _identified(df: DataFrame) -> DataFrame:
+    return df.withColumn("aadhar_no", real_id(F.col("aadhar_no")))
+
+
 def marksheet_identity(df: DataFrame) -> DataFrame:
     """Common schema from the first marksheet (ITI, Diploma, PDIS)."""
     first = P.json_records(F.col("mark_data"), list(MARKSHEET_KEYS))
     fields = {stored: P.first_value(first, source) for source, stored in MARKSHEET_KEYS.items()}
-    return conform(df.withColumns(fields), COMMON_SCHEMA, {"id": "sams_id"})
+    return _identified(conform(df.withColumns(fields), COMMON_SCHEMA, {"id": "sams_id"}))
 
 
 def option_identity(df: DataFrame, option_column: str) -> DataFrame:
     """Common schema with the status taken from the option list (HSS, DEG)."""
     options = P.json_records(F.col(option_column), ["AdmissionStatus"])
     named = df.withColumn("admission_status", P.any_equal(options, "AdmissionStatus", "ADMITTED"))
-    return conform(named, COMMON_SCHEMA, HIGHER_RENAMES)
+    return _identified(conform(named, COMMON_SCHEMA, HIGHER_RENAMES))
 
 
 def with_student_key(df: DataFrame, key: Column | str | None) -> DataFrame:
@@ -97,7 +101,7 @@ def admission_summary(options: DataFrame, person: str = "aadhar_no", year: str =
     The best rank per person and year is a plain maximum, so no rows are ranked.
     """
     total = A.count_by(options, [year], "applications")
-    best = options.where(F.col(person).isNotNull()).groupBy(year, person).agg(
+    best = options.where(real_id(F.col(person)).isNotNull()).groupBy(year, person).agg(
         F.max(status_rank(F.col(status))).alias("_best")
     )
     names = {name.lower().replace(" ", "_"): rank for name, rank in STATUS_PRIORITY.items()}
@@ -109,7 +113,7 @@ def admission_summary(options: DataFrame, person: str = "aadhar_no", year: str =
 
 def application_status_by_year(people: DataFrame, applications: DataFrame, prefix: str) -> DataFrame:
     """Applications and persons admitted, with certificate taken and not admitted, per year."""
-    first = people.where(F.col("aadhar_no").isNotNull()).groupBy("academic_year", "aadhar_no").agg(
+    first = people.where(real_id(F.col("aadhar_no")).isNotNull()).groupBy("academic_year", "aadhar_no").agg(
         F.min_by("admission_status", "barcode").alias("status")
     )
     text = F.col("status")
@@ -197,7 +201,7 @@ def best_rows(options: DataFrame, person: str, year: str, status: str, tie_break
 
 def students_by_module(df: DataFrame, modules: list[str]) -> DataFrame:
     """Distinct persons per year and module, their sum and the overall distinct count."""
-    ided = df.withColumn("_id", I.unified_person_id(F.col("module"), F.col("barcode"), F.col("aadhar_no")))
+    ided = df.withColumn("_id", I.unified_person_id(F.col("module"), F.col("barcode"), real_id(F.col("aadhar_no"))))
     per_module = ided.groupBy("academic_year").pivot("module", modules).agg(F.count_distinct("_id")).fillna(0)
     total = sum((F.col(m) for m in modules), F.lit(0))
     overall = ided.where(F.col("module").isin(modules)).groupBy("academic_year").agg(F.count_distinct("_id").alias("Unique"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from rollbook.functions import categories as C, payload as P, text as X, values as V
 from rollbook.functions.geo import distance_km
-from rollbook.functions.nulls import clean_strings, null_strict
+from rollbook.functions.nulls import clean_strings, null_strict, real_id
 from rollbook.operators.aggregate import count_by
 from rollbook.operators.joins import join_renamed
 from rollbook.operators.payloads import explode_records, list_to_long, map_to_long
@@ -37,6 +37,8 @@ STRENGTH_IDS = ["sams_code", "trade", "branch", "module", "academic_year"]
 def enrollments(df: DataFrame, module: str, sort: bool = False) -> DataFrame:
     """Clean enrolments of one module: typed flags and dates, address, locality, level.
 
+    A person id that is the hash of nothing is no id, so such rows never meet in a join.
+
     Diploma adds the 10th passing year and takes a missing qualification from
     the marksheets; both are read from the row itself. ``sort`` orders the rows
     by person and date, which costs a shuffle of everything.
@@ -44,6 +46,7 @@ def enrollments(df: DataFrame, module: str, sort: bool = False) -> DataFrame:
     clean = clean_strings(df, null_strict)
     out = clean.withColumns(
         {
+            "aadhar_no": real_id(F.col("aadhar_no")),
             "dob": V.to_timestamp_or_null(F.col("dob")),
             "date_of_application": V.to_timestamp_or_null(F.col("date_of_application")),
             "address": X.address_line(*[F.col(c) for c in ["address", "block", "district", "state", "pin_code"]]),

@@ -81,10 +81,12 @@ def save(df: DataFrame, dataset: Dataset, partition_by: Iterable[str] = ()) -> N
     """Write a dataset; unknown formats are an error."""
     if dataset.fmt not in FORMATS:
         raise ValueError(f"unsupported format {dataset.fmt!r} of {dataset.name}")
-    writer = df.write.mode("overwrite").format(dataset.fmt)
+    keys = list(partition_by)
+    spread = df.hint("rebalance", *keys) if keys else df
+    writer = spread.write.mode("overwrite").format(dataset.fmt)
     if dataset.fmt == "csv":
         writer = writer.option("header", True)
-    writer.partitionBy(*partition_by).save(dataset.path)
+    writer.partitionBy(*keys).save(dataset.path)
 
 
 def scan_module(df: DataFrame, module: str, years: tuple[int, int] | None = None) -> DataFrame:
@@ -114,12 +116,10 @@ def read_tagged_files(spark: SparkSession, glob: str, tags: dict[str, str], sche
 def write_by_year(df: DataFrame, path: str, year: str = "academic_year") -> None:
     """One folder per year; reading the parent folder gives all years.
 
-    Rows are spread by year and a part number, so a large year is written by
-    several tasks and a small one does not leave a file per task.
+    Rebalancing lets a large year be written by several tasks and keeps a small
+    one from leaving a file per task.
     """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    part = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns if "map<" not in dict(df.dtypes)[c]]), F.lit(max(parts // 8, 1)))
-    df.repartition(F.col(year), part).write.mode("overwrite").partitionBy(year).parquet(path)
+    df.hint("rebalance", year).write.mode("overwrite").partitionBy(year).parquet(path)
 
 
 def publish(tables: dict[str, DataFrame] | tuple[list[DataFrame], list[str]], folder: str, fmt: str = "parquet") -> list[str]:

@@ -24,6 +24,19 @@ def _existing(spark: SparkSession, table: str, batch_id: int) -> DataFrame | Non
     return landed.where(F.col("batch") < batch_id)
 
 
+# Above this many partition values the key lookup reads all partitions.
+PRUNE_VALUES = 1000
+
+
+def _touched(existing: DataFrame, rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Landed rows of the partitions the batch touches; the others cannot collide."""
+    for c in columns:
+        values = [r[0] for r in rows.select(c).distinct().limit(PRUNE_VALUES + 1).collect()]
+        if len(values) <= PRUNE_VALUES:
+            existing = existing.where(F.col(c).isin([v for v in values if v is not None]))
+    return existing
+
+
 def land_batch(
     batch: DataFrame, batch_id: int, table: str, key: list[str], required: list[str], order: str,
     partition_by: list[str], prepare: Callable[[DataFrame], DataFrame] | None = None,
@@ -31,8 +44,11 @@ def land_batch(
     """Append the new rows of one batch, its rejects and one load-log row."""
     spark = batch.sparkSession
     rows = prepare(batch) if prepare else batch
-    accepted, rejected = split_new(rows, key, required, order, _existing(spark, f"{table}/rows", batch_id))
-    accepted.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{table}/rows/batch={batch_id}")
+    existing = _existing(spark, f"{table}/rows", batch_id)
+    if existing is not None:
+        existing = _touched(existing, rows, [c for c in partition_by if c in key])
+    accepted, rejected = split_new(rows, key, required, order, existing)
+    accepted.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(f"{table}/rows/batch={batch_id}")
     rejected.write.mode("overwrite").parquet(f"{table}/rejects/batch={batch_id}")
     counts = rows.agg(F.count(F.lit(1)).alias("records"), F.current_timestamp().alias("at"))
     counts.write.mode("overwrite").parquet(f"{table}/log/batch={batch_id}")
