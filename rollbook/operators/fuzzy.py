@@ -1,11 +1,12 @@
 """Best approximate matches between text columns, without comparing all pairs.
 
-Both scores bound the letters two texts must share. Every text is turned into
-(letter, occurrence) tokens ordered from rare to common; two texts that share
-enough letters must then share one of their first few tokens. Those tokens are
-the join key, together with the exact keys. What the join returns is a superset
-of all qualifying pairs, so no match is lost; length and letter counts thin it
-out in the JVM, and only the rest is scored.
+Both scores bound how many letter runs (of one, two or three letters) two texts
+must share. Every text is cut into runs, ordered from rare to common; two texts
+that share enough runs must then share one of their first few. Those are the
+join key, together with the exact keys. A text uses the longest runs its length
+allows, and the other side offers all three sizes. What the join returns is a
+superset of all qualifying pairs, so no match is lost; lengths and run counts
+thin it out in the JVM, and only the rest is scored.
 """
 
 from __future__ import annotations
@@ -17,16 +18,24 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from rollbook.functions.similarity import indel_ratio_column, osa_distance_column
 
-# Text that stands for "no token": lets very short texts meet when nothing need be shared.
-NO_TOKEN = ""
+# Stands for "no run": lets very short texts meet when nothing need be shared.
+NO_RUN = 0
+# A run that more choices than this have is split into several join keys.
+SPLIT_AT = 2000
+# Sizes of the letter runs, the most selective first.
+RUN_SIZES = [3, 2, 1]
+SLACK = 1e-9
 
 
 @dataclass(frozen=True)
 class Rule:
-    """A score and the letters it requires two texts of given lengths to share."""
+    """A score, and the runs of size q that two texts of given lengths must share.
 
-    shared: Callable[[Column, Column], Column]
-    least_shared: Callable[[Column], Column]
+    ``least_shared`` is the smallest such number over all lengths of the other text.
+    """
+
+    shared: Callable[[Column, Column, Column], Column]
+    least_shared: Callable[[Column, Column], Column]
     feasible: Callable[[Column, Column], Column]
     score: Callable[[Column, Column], Column]
     accept: Callable[[Column], Column]
@@ -34,14 +43,28 @@ class Rule:
 
 
 def ratio_rule(threshold: float) -> Rule:
-    """Similarity ratio of at least ``threshold`` (0 < threshold <= 100)."""
+    """Similarity ratio of at least ``threshold`` (0 < threshold <= 100).
+
+    The texts then have a common subsequence of ``threshold`` percent of their
+    mean length. A letter missing from it breaks at most q runs of its own text
+    and q - 1 runs of the other.
+    """
     if not 0 < threshold <= 100:
         raise ValueError("threshold must be above 0 and at most 100")
-    slack = 1e-9
+
+    def shared(la: Column, lb: Column, q: Column) -> Column:
+        common = F.ceil((la + lb) * (threshold / 200.0) - SLACK).cast("int")
+        return la - q + 1 - q * (la - common) - (q - 1) * (lb - common)
+
+    def least(la: Column, q: Column) -> Column:
+        shortest = F.ceil(la * (threshold / (200.0 - threshold)) - SLACK).cast("int")
+        longest = F.floor(la * ((200.0 - threshold) / threshold) + SLACK).cast("int")
+        return F.array_min(F.transform(F.sequence(shortest, longest), lambda lb: shared(la, lb, q)))
+
     return Rule(
-        shared=lambda la, lb: F.ceil((la + lb) * (threshold / 200.0) - slack).cast("int"),
-        least_shared=lambda la: F.ceil(la * (threshold / (200.0 - threshold)) - slack).cast("int"),
-        feasible=lambda la, lb: F.least(la, lb) * 200 >= (la + lb) * threshold - slack,
+        shared=shared,
+        least_shared=least,
+        feasible=lambda la, lb: F.least(la, lb) * 200 >= (la + lb) * threshold - SLACK,
         score=indel_ratio_column,
         accept=lambda s: s >= threshold,
         badness=lambda s: -s,
@@ -49,10 +72,14 @@ def ratio_rule(threshold: float) -> Rule:
 
 
 def osa_rule(at_most: int) -> Rule:
-    """Edit distance with adjacent swaps of at most ``at_most``."""
+    """Edit distance with adjacent swaps of at most ``at_most``.
+
+    An edit breaks at most q + 1 runs; single letters survive a swap.
+    """
+    broken = lambda q: F.when(q == 1, 1).otherwise(q + 1) * at_most
     return Rule(
-        shared=lambda la, lb: F.greatest(la, lb) - at_most,
-        least_shared=lambda la: la - at_most,
+        shared=lambda la, lb, q: F.greatest(la, lb) - q + 1 - broken(q),
+        least_shared=lambda la, q: la - q + 1 - broken(q),
         feasible=lambda la, lb: F.abs(la - lb) <= at_most,
         score=osa_distance_column,
         accept=lambda s: s <= at_most,
@@ -60,35 +87,46 @@ def osa_rule(at_most: int) -> Rule:
     )
 
 
-def _tokens(df: DataFrame) -> DataFrame:
-    """Each text with its (letter, occurrence) tokens."""
-    letters = F.split(F.col("_t"), "")
-    numbered = F.transform(
-        F.array_sort(letters), lambda x, i: F.struct(x.alias("x"), i.alias("i"))
-    )
-    first = lambda x: F.array_position(F.array_sort(letters), x) - 1
-    named = F.transform(numbered, lambda s: F.concat(s["x"], (s["i"] - first(s["x"])).cast("string")))
-    return df.withColumn("_bag", named).withColumn("_len", F.length("_t"))
+def _with_runs(texts: DataFrame) -> DataFrame:
+    """Each text with its runs of size ``_q`` as hashes, repeated runs numbered.
+
+    Two runs with the same hash only add a candidate, which scoring removes.
+    """
+    starts = F.sequence(F.lit(1), F.col("_len") - F.col("_q") + 1)
+    runs = F.array_sort(F.transform(starts, lambda i: F.substr(F.col("_t"), i, F.col("_q"))))
+    nth = lambda x, i: i - F.array_position(F.col("_runs"), x)
+    hashed = F.transform("_runs", lambda x, i: F.xxhash64(x, nth(x, i), F.col("_q")))
+    return texts.withColumn("_runs", runs).withColumn("_bag", hashed).drop("_runs")
 
 
 def _rare_first(texts: DataFrame, frequency: DataFrame, keys: list[str]) -> DataFrame:
-    """Order every text's tokens by how many texts of the other side have them."""
-    rows = texts.select(*keys, "_t", "_len", F.explode("_bag").alias("_tok"))
-    counted = rows.join(frequency, "_tok", "left")
-    ranked = F.struct(F.coalesce("_f", F.lit(0)).alias("f"), F.col("_tok").alias("tok"))
-    return counted.groupBy(*keys, "_t", "_len").agg(F.array_sort(F.collect_list(ranked)).alias("_r")).select(
-        *keys, "_t", "_len", F.transform("_r", lambda r: r["tok"]).alias("_bag")
-    )
+    """Order every text's runs by how many choices have them, which is kept beside each."""
+    fixed = [*keys, "_t", "_len", "_q"]
+    counted = texts.select(*fixed, F.explode("_bag").alias("_run")).join(frequency, "_run", "left")
+    ranked = F.struct(F.coalesce("_f", F.lit(0)).alias("f"), F.col("_run").alias("run"))
+    return counted.groupBy(*fixed).agg(F.array_sort(F.collect_list(ranked)).alias("_bag"))
 
 
 def _signatures(texts: DataFrame, rule: Rule, keys: list[str], side: str) -> DataFrame:
-    need = rule.least_shared(F.col("_len"))
-    prefix = F.slice("_bag", 1, F.greatest(F.least(F.col("_len") - need + 1, F.col("_len")), F.lit(1)))
-    keyed = F.when(need <= 0, F.array_append(prefix, F.lit(NO_TOKEN))).otherwise(prefix)
-    return texts.select(
+    """The first runs of each text, one row each, with all runs beside them."""
+    need = rule.least_shared(F.col("_len"), F.col("_q"))
+    count = F.size("_bag")
+    prefix = F.slice("_bag", 1, F.greatest(F.least(count - need + 1, count), F.lit(1)))
+    none = F.struct(F.lit(0).cast("long").alias("f"), F.lit(NO_RUN).cast("long").alias("run"))
+    loose = (F.col("_q") == 1) & (need <= 0)
+    keyed = F.when(loose, F.array_append(prefix, none)).otherwise(prefix)
+    rows = texts.select(
         *keys, F.col("_t").alias(f"_t{side}"), F.col("_len").alias(f"_l{side}"),
-        F.col("_bag").alias(f"_b{side}"), F.explode(keyed).alias("_tok"),
+        F.transform("_bag", lambda r: r["run"]).alias(f"_b{side}"), "_q",
+        F.posexplode(keyed).alias(f"_at{side}", "_x"),
     )
+    # A common run is spread over several keys: each choice takes one of them,
+    # the texts looking for choices take all.
+    parts = F.ceil((F.col("_x.f") + 1) / SPLIT_AT)
+    part = F.pmod(F.xxhash64(f"_t{side}"), parts)
+    if side == "a":
+        part = F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))
+    return rows.select("*", F.col("_x.run").alias("_run"), part.alias("_part")).drop("_x")
 
 
 def similar_pairs(left: DataFrame, right: DataFrame, column: str, exact: list[str], rule: Rule) -> DataFrame:
@@ -100,19 +138,29 @@ def similar_pairs(left: DataFrame, right: DataFrame, column: str, exact: list[st
         filled = df.where(F.col(column).isNotNull() & (F.col(column) != ""))
         for k in exact:
             filled = filled.where(F.col(k).isNotNull())
-        return _tokens(filled.select(*exact, F.col(column).alias("_t")).distinct())
-
-    a, b = texts(left), texts(right)
-    frequency = b.select(F.explode("_bag").alias("_tok")).groupBy("_tok").agg(
+        return filled.select(*exact, F.col(column).alias("_t")).distinct().withColumn("_len", F.length("_t"))
+
+    length = F.col("_len")
+    size = F.lit(RUN_SIZES[-1])
+    for q in reversed(RUN_SIZES[:-1]):
+        size = F.when((length >= q) & (rule.least_shared(length, F.lit(q)) >= 1), q).otherwise(size)
+    a = _with_runs(texts(left).withColumn("_q", size))
+    sizes = F.explode(F.array(*[F.lit(q) for q in RUN_SIZES]))
+    b = _with_runs(texts(right).withColumn("_q", sizes).where(F.col("_len") >= F.col("_q")))
+    frequency = b.select(F.explode("_bag").alias("_run")).groupBy("_run").agg(
         F.count(F.lit(1)).alias("_f")
     )
     sa = _signatures(_rare_first(a, frequency, exact), rule, exact, "a")
     sb = _signatures(_rare_first(b, frequency, exact), rule, exact, "b")
     la, lb = F.col("_la"), F.col("_lb")
-    need = rule.shared(la, lb)
-    common = F.array_intersect("_ba", "_bb")
-    candidates = sa.join(sb, [*exact, "_tok"]).where(rule.feasible(la, lb)).where(F.size(common) >= need)
-    # The pair is reported once, at the first token both signatures hold.
+    need = rule.shared(la, lb, F.col("_q"))
+    # From the place where a pair first meets, enough runs must be left on both sides.
+    left_over = F.least(F.size("_ba") - F.col("_ata"), F.size("_bb") - F.col("_atb"))
+    candidates = (
+        sa.join(sb, [*exact, "_q", "_run", "_part"]).where(rule.feasible(la, lb))
+        .where(left_over >= need).where(F.size(F.array_intersect("_ba", "_bb")) >= need)
+    )
+    # A pair may meet at several runs.
     once = candidates.groupBy(*exact, "_ta", "_tb").agg(F.lit(1).alias("_one"))
     scored = once.withColumn("score", rule.score(F.col("_ta"), F.col("_tb")))
     return scored.where(rule.accept(F.col("score"))).select(
