@@ -49,7 +49,8 @@ def _score(function, kind: str, dtype: str):
     def batch(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series([function(x, y) for x, y in zip(a, b)], dtype=dtype)
 
-    return F.pandas_udf(batch, kind)
+    # Otherwise the filter on the score would run it again, and before the pairs are made distinct.
+    return F.pandas_udf(batch, kind).asNondeterministic()
 
 
 def indel_ratio_column(a: Column, b: Column) -> Column:

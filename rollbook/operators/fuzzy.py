@@ -31,11 +31,13 @@ SLACK = 1e-9
 class Rule:
     """A score, and the runs of size q that two texts of given lengths must share.
 
-    ``least_shared`` is the smallest such number over all lengths of the other text.
+    ``least_shared`` is the smallest such number over all lengths of the other
+    text, ``at_least`` a cheap lower bound of it that picks the run size.
     """
 
     shared: Callable[[Column, Column, Column], Column]
     least_shared: Callable[[Column, Column], Column]
+    at_least: Callable[[Column, Column], Column]
     feasible: Callable[[Column, Column], Column]
     score: Callable[[Column, Column], Column]
     accept: Callable[[Column], Column]
@@ -61,9 +63,18 @@ def ratio_rule(threshold: float) -> Rule:
         longest = F.floor(la * ((200.0 - threshold) / threshold) + SLACK).cast("int")
         return F.array_min(F.transform(F.sequence(shortest, longest), lambda lb: shared(la, lb, q)))
 
+    def linear(la: Column, q: Column) -> Column:
+        # Without rounding the bound is linear in the other length: an end of its range is the least.
+        ends = []
+        for lb in (la * (threshold / (200.0 - threshold)), la * ((200.0 - threshold) / threshold)):
+            common = (la + lb) * (threshold / 200.0)
+            ends.append(la - q + 1 - q * (la - common) - (q - 1) * (lb - common))
+        return F.least(*ends)
+
     return Rule(
         shared=shared,
         least_shared=least,
+        at_least=linear,
         feasible=lambda la, lb: F.least(la, lb) * 200 >= (la + lb) * threshold - SLACK,
         score=indel_ratio_column,
         accept=lambda s: s >= threshold,
@@ -80,6 +91,7 @@ def osa_rule(at_most: int) -> Rule:
     return Rule(
         shared=lambda la, lb, q: F.greatest(la, lb) - q + 1 - broken(q),
         least_shared=lambda la, q: la - q + 1 - broken(q),
+        at_least=lambda la, q: la - q + 1 - broken(q),
         feasible=lambda la, lb: F.abs(la - lb) <= at_most,
         score=osa_distance_column,
         accept=lambda s: s <= at_most,
@@ -100,9 +112,13 @@ def _with_runs(texts: DataFrame) -> DataFrame:
 
 
 def _rare_first(texts: DataFrame, frequency: DataFrame, keys: list[str]) -> DataFrame:
-    """Order every text's runs by how many choices have them, which is kept beside each."""
+    """Order every text's runs by how many choices have them, which is kept beside each.
+
+    Every text has a run; the outer explode only keeps Spark from testing that
+    with a second evaluation of the runs.
+    """
     fixed = [*keys, "_t", "_len", "_q"]
-    counted = texts.select(*fixed, F.explode("_bag").alias("_run")).join(frequency, "_run", "left")
+    counted = texts.select(*fixed, F.explode_outer("_bag").alias("_run")).join(frequency, "_run", "left")
     ranked = F.struct(F.coalesce("_f", F.lit(0)).alias("f"), F.col("_run").alias("run"))
     return counted.groupBy(*fixed).agg(F.array_sort(F.collect_list(ranked)).alias("_bag"))
 
@@ -118,7 +134,7 @@ def _signatures(texts: DataFrame, rule: Rule, keys: list[str], side: str) -> Dat
     rows = texts.select(
         *keys, F.col("_t").alias(f"_t{side}"), F.col("_len").alias(f"_l{side}"),
         F.transform("_bag", lambda r: r["run"]).alias(f"_b{side}"), "_q",
-        F.posexplode(keyed).alias(f"_at{side}", "_x"),
+        F.posexplode_outer(keyed).alias(f"_at{side}", "_x"),
     )
     # A common run is spread over several keys: each choice takes one of them,
     # the texts looking for choices take all.
@@ -143,11 +159,11 @@ def similar_pairs(left: DataFrame, right: DataFrame, column: str, exact: list[st
     length = F.col("_len")
     size = F.lit(RUN_SIZES[-1])
     for q in reversed(RUN_SIZES[:-1]):
-        size = F.when((length >= q) & (rule.least_shared(length, F.lit(q)) >= 1), q).otherwise(size)
+        size = F.when((length >= q) & (rule.at_least(length, F.lit(q)) >= 1), q).otherwise(size)
     a = _with_runs(texts(left).withColumn("_q", size))
     sizes = F.explode(F.array(*[F.lit(q) for q in RUN_SIZES]))
     b = _with_runs(texts(right).withColumn("_q", sizes).where(F.col("_len") >= F.col("_q")))
-    frequency = b.select(F.explode("_bag").alias("_run")).groupBy("_run").agg(
+    frequency = b.select(F.explode_outer("_bag").alias("_run")).groupBy("_run").agg(
         F.count(F.lit(1)).alias("_f")
     )
     sa = _signatures(_rare_first(a, frequency, exact), rule, exact, "a")
