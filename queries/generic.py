@@ -770,3 +770,9 @@ def inventory(t):
     from rollbook.sources.catalog import inventory as listed
 
     return listed(t.spark, {"nation": t.nation, "orders": t.orders})
+
+
+@query("row_sample")
+def row_sample(t):
+    """A sampling operator; which rows it takes is up to the engine."""
+    return P.row_sample(t.orders, 0.1)

@@ -692,6 +692,18 @@ def hss_rule_violations(t):
     return ST.rule_violations(S.hss_mark_rows(t)).select("barcode", "comp_subject", "comp_fail_mark")
 
 
+@query("cross_field_checks", _with(HSS, """
+SELECT 'no institute' AS kind, barcode FROM people JOIN lines ON o_orderkey=l_orderkey WHERE module='HSS' AND status='ADMITTED' AND kind='Pvt.'
+UNION ALL SELECT 'no subjects', barcode FROM s WHERE compartmental_status='NO'"""))
+def cross_field_checks(t):
+    """Institutes are blanked for private ones, and all are flagged, to have something to find."""
+    options = S.hss_options(t).withColumn("ReportedInstitute", F.when(F.col("TypeofInstitute") != "Pvt.", F.col("ReportedInstitute")))
+    size = Y.list_size(Y.json_records(F.col("hss_compartments"), ["COMPSubject"]))
+    flagged = hss_students(t).withColumn("compartmental_status", F.lit("YES"))
+    return ST.admitted_without_institute(options).select(F.lit("no institute").alias("kind"), "barcode").unionByName(
+        ST.flagged_without_subjects(flagged, size).select(F.lit("no subjects").alias("kind"), "barcode"))
+
+
 @query("hss_genders_by_year", _with(HSS, """SELECT academic_year AS "Year", COUNT(*) AS "Total", COUNT(*) FILTER (gender='Male') AS "Male", COUNT(*) FILTER (gender='Female') AS "Female", CAST(0 AS BIGINT) AS "Trans" FROM s GROUP BY 1"""))
 def hss_genders_by_year(t):
     return ST.genders_by_year(hss_students(t))

@@ -80,3 +80,8 @@ def percentage_mismatch(
     if tolerance is None:
         return F.round(computed, 2) != F.round(stored, 2)
     return F.abs(computed - stored) > tolerance
+
+
+def row_sample(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
+    """A random part of the rows for inspection."""
+    return df.sample(False, fraction, seed)
