@@ -258,7 +258,7 @@ def hss_clean(t):
     return rows.select("barcode", "orphan", "ph", "es", "percentage", "year_of_passing", "secured_marks", "full_address", "compartmental_status")
 
 
-HSS_OPTIONS = """SELECT barcode, academic_year, CAST(l_linenumber AS VARCHAR) AS "OptionNo", CAST(academic_year AS VARCHAR) AS "Year", sams AS "SAMSCode", inst AS "ReportedInstitute",
+HSS_OPTIONS = """SELECT barcode, academic_year, CAST(l_linenumber AS VARCHAR) AS "OptionNo", CAST(academic_year AS VARCHAR) AS "Year", inst_id AS "SAMSCode", inst AS "ReportedInstitute",
  stream AS "Stream", inst_district AS "InstituteDistrict", kind AS "TypeofInstitute", status AS "AdmissionStatus", l_suppkey, l_partkey, l_extendedprice FROM people LEFT JOIN lines ON o_orderkey=l_orderkey WHERE module='HSS'"""
 # In SQL a missing option list leaves the year null too.
 HSS_OPTIONS = HSS_OPTIONS.replace('CAST(academic_year AS VARCHAR) AS "Year"', 'CASE WHEN l_orderkey IS NOT NULL THEN CAST(academic_year AS VARCHAR) END AS "Year"')
@@ -270,7 +270,7 @@ def hss_applications(t):
 
 
 @query("hss_applications_enriched", sql("""
-SELECT barcode, aadhar_no, academic_year, CAST(COUNT(l_orderkey) OVER (PARTITION BY barcode) AS INTEGER) AS num_applications, sams AS sams_code, stream, status AS admission_status
+SELECT barcode, aadhar_no, academic_year, CAST(COUNT(l_orderkey) OVER (PARTITION BY barcode) AS INTEGER) AS num_applications, inst_id AS sams_code, stream, status AS admission_status
 FROM people LEFT JOIN lines ON o_orderkey=l_orderkey WHERE module='HSS'"""))
 def hss_applications_enriched(t):
     rows = H.hss_applications_enriched(S.of_module(S.students(t), "HSS"))
@@ -334,7 +334,7 @@ def deg_enrollments(t):
 
 
 @query("deg_applications", sql(f"""
-SELECT barcode, aadhar_no, academic_year, CAST(l_linenumber AS VARCHAR) AS option_no, sams AS sams_code, stream, p_type AS subject, status AS admission_status,
+SELECT barcode, aadhar_no, academic_year, CAST(l_linenumber AS VARCHAR) AS option_no, inst_id AS sams_code, stream, p_type AS subject, status AS admission_status,
  COUNT(l_orderkey) OVER (PARTITION BY academic_year, barcode) AS num_applications FROM people LEFT JOIN lines ON o_orderkey=l_orderkey WHERE module='DEG' AND {NOT_NULL_LIST}"""))
 def deg_applications(t):
     rows = H.deg_applications(S.of_module(S.students(t), "DEG"))
@@ -350,7 +350,7 @@ def deg_marks(t):
 # --- JSON operators ----------------------------------------------------------------
 
 @query("json_list_explode", sql("""
-SELECT stream, COUNT(*) AS n, COUNT(DISTINCT sams) AS institutes FROM people LEFT JOIN lines ON o_orderkey=l_orderkey GROUP BY 1"""))
+SELECT stream, COUNT(*) AS n, COUNT(DISTINCT inst_id) AS institutes FROM people LEFT JOIN lines ON o_orderkey=l_orderkey GROUP BY 1"""))
 def json_list_explode(t):
     rows = PL.explode_records(S.students(t), "hss_option_details", ["SAMSCode", "Stream"], ["barcode"], lambda f: f)
     return rows.groupBy(F.col("Stream").alias("stream")).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("SAMSCode").alias("institutes"))
@@ -359,7 +359,7 @@ def json_list_explode(t):
 @query("json_pick", sql("""
 SELECT barcode, CAST(f.l_linenumber AS VARCHAR) AS first_option, m.l_suppkey AS arts_institute, CASE WHEN EXISTS (SELECT 1 FROM lines x WHERE x.l_orderkey=o_orderkey AND x.status='ADMITTED') THEN 'Yes' ELSE 'No' END AS admitted,
  CAST((SELECT COUNT(*) FROM lineitem x WHERE x.l_orderkey=o_orderkey) AS INTEGER) AS size, CAST(f.l_linenumber AS INTEGER) AS by_path FROM people LEFT JOIN line1 f ON o_orderkey=f.l_orderkey
- LEFT JOIN (SELECT l_orderkey, sams AS l_suppkey FROM lines WHERE stream='Arts' QUALIFY ROW_NUMBER() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, lines.l_suppkey, l_partkey, l_extendedprice)=1) m ON o_orderkey=m.l_orderkey"""))
+ LEFT JOIN (SELECT l_orderkey, inst_id AS l_suppkey FROM lines WHERE stream='Arts' QUALIFY ROW_NUMBER() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, lines.l_suppkey, l_partkey, l_extendedprice)=1) m ON o_orderkey=m.l_orderkey"""))
 def json_pick(t):
     records = Y.json_records(F.col("hss_option_details"), ["OptionNo", "SAMSCode", "Stream", "AdmissionStatus"])
     rows = S.students(t).select("barcode", "hss_option_details", records.alias("r"))

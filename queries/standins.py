@@ -34,7 +34,7 @@ def lines(t: Tables) -> DataFrame:
     return found.select(
         *t.lineitem.columns, F.concat(F.lit("ITI "), "s_name").alias("inst"), F.col("n_name").alias("inst_district"),
         F.when(F.col("s_acctbal") >= 5000, "Govt.").otherwise("Pvt.").alias("kind"), "p_brand", "p_type", "p_size",
-        F.concat(F.lit("S"), "l_suppkey").alias("sams"), _case(F.col("l_returnflag"), STREAMS).alias("stream"),
+        F.concat(F.lit("S"), "l_suppkey").alias("inst_id"), _case(F.col("l_returnflag"), STREAMS).alias("stream"),
         _case(F.concat("l_returnflag", "l_linestatus"), STATUSES).alias("status"),
     )
 
@@ -71,7 +71,7 @@ def people(t: Tables) -> DataFrame:
 def students(t: Tables) -> DataFrame:
     """The raw student table: text columns, and JSON lists built from the line items."""
     item = F.struct(
-        *LINE_ORDER, "inst", "inst_district", "kind", "p_brand", "p_type", "p_size", "sams", "stream", "status",
+        *LINE_ORDER, "inst", "inst_district", "kind", "p_brand", "p_type", "p_size", "inst_id", "stream", "status",
         "l_returnflag", "l_linestatus", "l_tax", "l_quantity", F.year("l_shipdate").alias("shipped"),
     )
     # An order has a handful of line items, so its list is short.
@@ -90,7 +90,7 @@ def students(t: Tables) -> DataFrame:
         x["l_linenumber"].cast("string").alias("Option_No"), F.lit("1").alias("Phase"), x["inst"].alias("Institute_Name"),
         x["p_brand"].alias("Trade"), x["status"].alias("Status"))
     choice = lambda x: F.struct(
-        x["l_linenumber"].cast("string").alias("OptionNo"), year.alias("Year"), F.lit("1").alias("Phase"), x["sams"].alias("SAMSCode"),
+        x["l_linenumber"].cast("string").alias("OptionNo"), year.alias("Year"), F.lit("1").alias("Phase"), x["inst_id"].alias("SAMSCode"),
         x["inst"].alias("ReportedInstitute"), x["stream"].alias("Stream"), x["p_type"].alias("Subject"), x["inst_district"].alias("InstituteDistrict"),
         x["kind"].alias("TypeofInstitute"), x["status"].alias("AdmissionStatus"))
     subject = lambda x: F.struct(
@@ -101,7 +101,7 @@ def students(t: Tables) -> DataFrame:
     text = lambda build, of="_l": F.coalesce(F.to_json(F.transform(of, build)), empty)
     return rows.select(
         *[c for c in rows.columns if c not in ("_l", "o_orderkey", "o_orderstatus")],
-        first["sams"].alias("sams_code"), first["inst"].alias("reported_institute"), first["p_brand"].alias("reported_branch_or_trade"),
+        first["inst_id"].alias("sams_code"), first["inst"].alias("reported_institute"), first["p_brand"].alias("reported_branch_or_trade"),
         first["inst_district"].alias("institute_district"), first["kind"].alias("type_of_institute"),
         F.when(first["p_size"] <= 25, "1 Year").otherwise("2 Years").alias("course_period"),
         _case(first["p_type"], LEVELS).alias("highest_qualification"),
@@ -118,7 +118,7 @@ def institutes(t: Tables) -> DataFrame:
     rows = lines(t).join(years, "l_orderkey")
     n = lambda flag: F.nullif(F.count_if(F.col("l_returnflag") == flag), F.lit(0))
     low = lambda flag, status: F.min(F.when((F.col("l_returnflag") == flag) & (F.col("l_linestatus") == status), F.col("l_quantity")).cast("int"))
-    counts = rows.groupBy("l_suppkey", "sams", "inst", "kind", "p_brand", "academic_year").agg(
+    counts = rows.groupBy("l_suppkey", "inst_id", "inst", "kind", "p_brand", "academic_year").agg(
         F.count(F.lit(1)).alias("n"), n("A").alias("a"), n("N").alias("b"), n("R").alias("c"),
         *[low(f, s).alias(f"{f}{s}") for f in "AN" for s in "FO"],
     )
@@ -126,7 +126,7 @@ def institutes(t: Tables) -> DataFrame:
         F.lit(number).alias("SelectionStage"), F.col(f"A{s}").alias("10thPassUR_F"), F.col(f"N{s}").alias("Loc10thPassSC_M"))
     module = F.when(F.col("p_brand") < "Brand#2", "ITI").otherwise("Diploma")
     return counts.select(
-        F.col("sams").alias("sams_code"), F.concat(F.lit("N"), "l_suppkey").alias("ncvtmis_code"), "academic_year", module.alias("module"),
+        F.col("inst_id").alias("sams_code"), F.concat(F.lit("N"), "l_suppkey").alias("ncvtmis_code"), "academic_year", module.alias("module"),
         F.col("inst").alias("institute_name"), F.col("kind").alias("type_of_institute"), F.lit(1).alias("admission_type"),
         F.col("p_brand").alias("trade"), F.when(module == "Diploma", F.col("p_brand")).alias("branch"),
         F.to_json(F.struct(F.col("a").alias("Strength_UR"), F.col("b").alias("StrengthSC"), F.col("c").alias("StrengthST"), F.col("n").alias("Strength_Total"))).alias("strength"),
@@ -145,7 +145,7 @@ def _sql_case(column: str, table: dict[str, str]) -> str:
 
 CTES = f"""
 lines AS (SELECT l.*, 'ITI ' || s_name AS inst, n_name AS inst_district, CASE WHEN s_acctbal>=5000 THEN 'Govt.' ELSE 'Pvt.' END AS kind,
- p_brand, p_type, p_size, 'S' || l_suppkey AS sams, {_sql_case('l_returnflag', STREAMS)} AS stream, {_sql_case('l_returnflag || l_linestatus', STATUSES)} AS status
+ p_brand, p_type, p_size, 'S' || l_suppkey AS inst_id, {_sql_case('l_returnflag', STREAMS)} AS stream, {_sql_case('l_returnflag || l_linestatus', STATUSES)} AS status
  FROM lineitem l JOIN supplier ON l_suppkey=s_suppkey JOIN nation ON s_nationkey=n_nationkey JOIN part ON l_partkey=p_partkey),
 line1 AS (SELECT * FROM lines QUALIFY ROW_NUMBER() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_suppkey, l_partkey, l_extendedprice)=1),
 people AS (SELECT o_orderkey, 'B' || o_orderkey AS barcode, 'A' || o_custkey AS aadhar_no, CAST(year(o_orderdate)+22 AS INTEGER) AS academic_year,
@@ -159,7 +159,7 @@ people AS (SELECT o_orderkey, 'B' || o_orderkey AS barcode, 'A' || o_custkey AS
  c_acctbal, c_nationkey, o_orderstatus
  FROM orders JOIN customer ON o_custkey=c_custkey JOIN nation ON c_nationkey=n_nationkey JOIN region ON n_regionkey=r_regionkey),
 best_exam AS (SELECT l_orderkey, CASE WHEN bool_or(l_returnflag='N') THEN '12th' WHEN bool_or(l_returnflag='R') THEN 'ITI' ELSE '10th' END AS exam FROM lineitem GROUP BY 1),
-enrolled AS (SELECT p.*, sams AS sams_code, inst AS reported_institute, p_brand AS reported_branch_or_trade, inst_district AS institute_district, kind AS type_of_institute,
+enrolled AS (SELECT p.*, inst_id AS sams_code, inst AS reported_institute, p_brand AS reported_branch_or_trade, inst_district AS institute_district, kind AS type_of_institute,
  CASE WHEN p_size<=25 THEN '1 Year' ELSE '2 Years' END AS course_period, district=inst_district AS local,
  CASE WHEN module='Diploma' THEN CASE raw_income WHEN 'Upto 2.5 lakh' THEN '0-2,50,000' WHEN 'Between 2.5 To 8 lakh' THEN '2,50,000-8,00,000' WHEN 'Above 8 lakh' THEN 'Above 8,00,000' ELSE 'OTHER' END ELSE raw_income END AS annual_income,
  CASE p_type WHEN 'ECONOMY' THEN 'Graduate and above' WHEN 'LARGE' THEN 'Diploma' WHEN 'MEDIUM' THEN 'ITI' WHEN 'PROMO' THEN '10th' WHEN 'SMALL' THEN '12th' ELSE CASE WHEN module='Diploma' THEN exam END END AS highest_qualification
@@ -171,7 +171,7 @@ marks AS (SELECT aadhar_no, academic_year, module, exam_name, roll_no, secured_m
  CAST(year(l_shipdate)-l_linenumber+1 AS VARCHAR) AS year_of_passing, CASE WHEN l_linestatus='O' THEN 'BSE, ODISHA' ELSE 'CBSE' END AS highest_qualification_exam_board,
  l_tax>0.06 AS compartmental_status, date_of_application, barcode, l_linenumber, l_suppkey, l_partkey, l_extendedprice FROM people JOIN lines ON o_orderkey=l_orderkey)
  QUALIFY ROW_NUMBER() OVER (PARTITION BY module, aadhar_no, academic_year, exam_name ORDER BY date_of_application, barcode, l_linenumber, l_suppkey, l_partkey, l_extendedprice)=1),
-inst AS (SELECT sams AS sams_code, l_suppkey, inst AS institute_name, kind AS type_of_institute, p_brand AS trade, CAST(year(o_orderdate)+22 AS INTEGER) AS academic_year,
+inst AS (SELECT inst_id AS sams_code, l_suppkey, inst AS institute_name, kind AS type_of_institute, p_brand AS trade, CAST(year(o_orderdate)+22 AS INTEGER) AS academic_year,
  CASE WHEN p_brand<'Brand#2' THEN 'ITI' ELSE 'Diploma' END AS module, CASE WHEN p_brand>='Brand#2' THEN p_brand END AS branch, COUNT(*) AS n,
  NULLIF(COUNT(*) FILTER (l_returnflag='A'),0) AS a, NULLIF(COUNT(*) FILTER (l_returnflag='N'),0) AS b, NULLIF(COUNT(*) FILTER (l_returnflag='R'),0) AS c,
  MIN(CAST(l_quantity AS INTEGER)) FILTER (l_returnflag='A' AND l_linestatus='F') AS af, MIN(CAST(l_quantity AS INTEGER)) FILTER (l_returnflag='A' AND l_linestatus='O') AS ao,

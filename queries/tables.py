@@ -481,7 +481,7 @@ def students_admitted_female(t):
 # --- demand ------------------------------------------------------------------------------
 
 OPTIONS = """opt AS (SELECT p.barcode, p.aadhar_no, p.academic_year, l.l_linenumber AS option_no, l.inst AS institute_name, l.p_brand AS trade, l.kind AS type_of_institute, p.district,
- f.inst AS reported_institute, f.p_brand AS reported_branch_or_trade, f.sams AS sams_code FROM people p JOIN line1 f ON p.o_orderkey=f.l_orderkey JOIN lines l ON p.o_orderkey=l.l_orderkey WHERE module='ITI'),
+ f.inst AS reported_institute, f.p_brand AS reported_branch_or_trade, f.inst_id AS sams_code FROM people p JOIN line1 f ON p.o_orderkey=f.l_orderkey JOIN lines l ON p.o_orderkey=l.l_orderkey WHERE module='ITI'),
 firsts AS (SELECT * FROM opt WHERE option_no=1 QUALIFY ROW_NUMBER() OVER (PARTITION BY aadhar_no, academic_year ORDER BY barcode, trade, institute_name)=1),
 seats AS (SELECT s.*, i.institute_name, i.type_of_institute FROM strength s JOIN (SELECT DISTINCT sams_code, institute_name, type_of_institute FROM inst) i USING (sams_code) WHERE category='Total' AND module='ITI')"""
 YEARS = list(range(2017, 2024))
