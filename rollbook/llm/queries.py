@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import bin_slack, line_spread, ngram_join, quality_rules
+from rollbook.llm import bin_slack, chat, html_density, licenses, line_spread, merkle, ngram_join, quality_rules, viterbi, warc
+from rollbook.session import shared_folder
 
 RUN: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -94,3 +95,69 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_bin_slack")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return bin_slack.pack(table(spark, folder, "documents"))
+
+
+REVISITS = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+r AS (SELECT page_id, html, strlen(html) AS n, max(page_id) OVER (PARTITION BY html) AS first FROM p)
+SELECT page_id, n AS payload_bytes, sha1(html) AS payload_digest,
+    CASE WHEN n >= 1000 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN n >= 1000 AND page_id <> first THEN first END AS refers_to FROM r"""
+
+
+@query("op1_warc_chunks", REVISITS)
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    path = shared_folder(spark, "warc")
+    warc.write_archives(warc.records(table(spark, folder, "pages")), path)
+    return warc.record_summary(warc.read_chunks(spark, path, with_data=False))
+
+
+CHATS = r"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+c AS (SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '') AS loss,
+    string_agg('<turn ' || replace(replace(replace(role, '\', '\s'), '<', '\l'), '>', '\g') || '>'
+        || replace(replace(text, '\', '\s'), '<', '\l') || '</turn>' || chr(10), '') AS formatted
+    FROM t GROUP BY conv_id)
+SELECT conv_id, n_turns, turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, length(formatted) AS formatted_chars FROM c"""
+
+
+@query("op2_chat_parts", CHATS)
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    said = "\\### Assistant: </turn> ok"
+    more = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"),
+    )
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").union(more)
+    chats = chat.format_chats(turns.withColumn("parts", chat.text_parts(F.col("text"))))
+    read = chats.select("conv_id", "formatted", chat.read_back(F.col("formatted")).alias("turns"), chat.learned(F.col("formatted"), F.col("loss")).alias("loss"))
+    line = lambda t: F.concat(t["role"], F.lit("\n"), F.array_join(t["texts"], ""), F.lit("\n"))
+    return read.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(F.transform("turns", line), ""), 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+@query("op3_html_density")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return html_density.extract(table(spark, folder, "pages"))
+
+
+@query("op4_merkle")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.compare_with_edits(table(spark, folder, "documents")).drop("edited_paragraphs")
+
+
+@query("op6_streaming_viterbi")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return viterbi.round_trip(table(spark, folder, "documents"))
+
+
+@query("op9_license_rules")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"))
