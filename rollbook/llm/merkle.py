@@ -61,15 +61,28 @@ def fingerprint(tree_: Column) -> Column:
 
 
 def pieces(tree_: Column) -> Column:
-    """The distinct piece hashes of a tree."""
-    return F.array_distinct(F.flatten(F.transform(tree_["sections"], lambda s: F.flatten(F.transform(s["paragraphs"], lambda p: p["pieces"])))))
+    """The piece hashes of a tree, in order."""
+    return F.flatten(F.transform(tree_["sections"], lambda s: F.flatten(F.transform(s["paragraphs"], lambda p: p["pieces"]))))
 
 
 def likeness(a: Column, b: Column, of_a: Column, of_b: Column) -> Column:
-    """0 to 1: 1 for equal roots, else twice the shared pieces by the pieces of both; below 1 where roots differ."""
-    both = F.size(of_a) + F.size(of_b)
-    shared = F.when(both == 0, F.lit(0.0)).otherwise(2.0 * F.size(F.array_intersect(of_a, of_b)) / both)
-    return F.when(a["root"] == b["root"], F.lit(1.0)).otherwise(F.least(shared, F.lit(0.999999)))
+    """0 to 1: 1 for equal roots, below 1 else: twice the shared pieces by the pieces of both.
+
+    The larger of two counts: distinct pieces shared wherever they stand, and pieces equal at the same place
+    (which is right for texts that repeat themselves). Texts without pieces share nothing.
+    """
+
+    def part(shared: Column, x: Column, y: Column) -> Column:
+        both = F.size(x) + F.size(y)
+        return F.when(both == 0, F.lit(0.0)).otherwise(2.0 * shared / both)
+
+    in_place = F.size(F.filter(F.zip_with(of_a, of_b, lambda x, y: x == y), lambda e: e))
+    anywhere = let(
+        F.struct(F.array_distinct(of_a).alias("a"), F.array_distinct(of_b).alias("b")),
+        lambda d: part(F.size(F.array_intersect(d["a"], d["b"])), d["a"], d["b"]),
+    )
+    most = F.greatest(part(in_place, of_a, of_b), anywhere)
+    return F.when(a["root"] == b["root"], F.lit(1.0)).otherwise(F.least(most, F.lit(0.999999)))
 
 
 def edited_paragraphs(a: Column, b: Column) -> Column:
