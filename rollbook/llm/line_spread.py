@@ -68,7 +68,8 @@ def without_spread(
         .groupBy(F.col("row").alias(mark)).agg(F.collect_set("line").alias(drops)),
         "spread-drops",
     )
-    joined = docs.withColumn(mark, _mark(id, text)).join(lost, mark, "left")
+    # What documents lose grows with the input, so it is never broadcast.
+    joined = docs.withColumn(mark, _mark(id, text)).join(lost.hint("merge"), mark, "left")
     raw = F.split(F.col(text), "\n")
 
     def stay(normal: Column) -> Column:
