@@ -126,4 +126,4 @@ def keep_good(docs: DataFrame, id: str = "doc_id", text: str = "text", host: str
     """The documents that ``judge`` keeps, with all their columns as they are."""
     mark = free_name(docs, "mark")
     bad = judge(docs, id, text, host, **limits).where(~F.col("kept")).select(F.col("mark").alias(mark)).distinct()
-    return docs.withColumn(mark, _mark(id, text, host)).join(written(bad, "quality-rejects"), mark, "left_anti").drop(mark)
+    return docs.withColumn(mark, _mark(id, text, host)).join(written(bad, "quality-rejects").hint("merge"), mark, "left_anti").drop(mark)
