@@ -28,10 +28,27 @@ def _powers(n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+#: Bytes that are hashed at a time; scratch arrays take some thirty times as much.
+BLOCK = 1 << 20
+
+
 def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash and first byte of each word in a buffer of UTF-8; A-Z count as a-z."""
-    if not len(data):
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    hashes, starts, lo = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], 0
+    while lo < len(data):
+        hi = min(lo + BLOCK, len(data))
+        while hi < len(data) and not (after := np.flatnonzero(_SPACE[data[hi : hi + BLOCK]])).size:
+            hi = min(hi + BLOCK, len(data))
+        if hi < len(data):
+            hi += int(after[0])  # a block ends where a word does
+        h, s = _hash_block(data[lo:hi])
+        hashes.append(h)
+        starts.append(s + lo)
+        lo = hi
+    return np.concatenate(hashes), np.concatenate(starts)
+
+
+def _hash_block(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     space = _SPACE[data]
     edge = np.flatnonzero(np.diff(np.concatenate(([True], space, [True])).astype(np.int8)))
     starts, ends = edge[::2], edge[1::2]
@@ -46,7 +63,7 @@ def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def shingle_sets(texts: list[bytes | None], size: int = 3) -> list[np.ndarray]:
     """The distinct shingles of each text, ascending; a shorter text's words are one shingle."""
-    sets, at = [], 0
+    sets: list[np.ndarray] = []
     whole = np.frombuffer(b"\n".join(t or b"" for t in texts), dtype=np.uint8)
     hashes, starts = word_hashes(whole)
     bounds = np.cumsum([0] + [len(t or b"") + 1 for t in texts])
