@@ -30,14 +30,15 @@ class Tables:
         return self.frames[name]
 
 
-_OPENED: dict[tuple[int, str], Tables] = {}
+_OPENED: dict[tuple[str, int, str], Tables] = {}
 
 
 def tables(spark: SparkSession, folder: str) -> Tables:
-    opened = _OPENED.get((id(spark), folder))
-    if opened is None:
-        opened = _OPENED[(id(spark), folder)] = Tables(spark, folder)
-    return opened
+    # A session's frames die with its application, and Python may give its id to another one.
+    key = (spark.sparkContext.applicationId, id(spark), folder)
+    if key not in _OPENED or _OPENED[key].spark is not spark:
+        _OPENED[key] = Tables(spark, folder)
+    return _OPENED[key]
 
 
 def described_once(function: Callable[..., DataFrame]):

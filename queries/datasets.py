@@ -424,15 +424,18 @@ def scalar_text(t):
 @query("scalar_numbers", """
 SELECT l_orderkey, l_partkey, ROUND(l_quantity/50*100, 4) AS pct, CASE WHEN l_quantity*3<=100 THEN l_quantity*3 END AS ranged, CAST(NULL AS DOUBLE) AS bad,
  ROUND(CASE WHEN l_linenumber=3 THEN l_quantity*9.5 ELSE l_quantity/(CASE WHEN l_linenumber=3 THEN 10 ELSE 50 END)*100 END, 4) AS cgpa,
- CASE WHEN l_linenumber=1 THEN 'Fresh graduate' WHEN l_linenumber<=4 THEN '1-3 years' ELSE '> 3 years' END AS gap, printf('%.1f', l_discount) AS shown FROM lineitem""")
+ CASE WHEN l_linenumber=1 THEN 'Fresh graduate' WHEN l_linenumber<=4 THEN '1-3 years' ELSE '> 3 years' END AS gap, printf('%.1f', l_discount) AS shown,
+ CASE WHEN l_linenumber > 4 THEN l_linenumber::DOUBLE END AS odd FROM lineitem""")
 def scalar_numbers(t):
     total = F.when(F.col("l_linenumber") == 3, "10").otherwise("50")
     quantity = F.col("l_quantity").cast("string")
+    odd = F.array(F.lit("5d"), F.lit("0x1p3"), F.lit("NaN"), F.lit("Infinity"), F.concat(F.col("l_linenumber").cast("string"), F.lit(".0e0 ")))
     return t.lineitem.select(
         "l_orderkey", "l_partkey", F.round(V.marks_percentage(quantity, F.lit("50")), 4).alias("pct"),
         V.percentage_in_range((F.col("l_quantity") * 3).cast("string")).alias("ranged"), V.number(F.concat(F.lit("x"), quantity)).alias("bad"),
         F.round(V.grade_point_percentage(quantity, total), 4).alias("cgpa"), V.gap_class(F.col("l_linenumber") - 1).alias("gap"),
-        V.fixed_decimals(F.col("l_discount"), 1).alias("shown"))
+        V.fixed_decimals(F.col("l_discount"), 1).alias("shown"),
+        V.number(F.concat(F.lit(" "), F.element_at(odd, F.least("l_linenumber", F.lit(5))))).alias("odd"))
 
 
 @query("scalar_flags", """
@@ -646,15 +649,14 @@ def save_load_formats(t):
 
 @query("tagged_files", "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS year, CAST(NULL AS INTEGER) AS exam_year FROM orders")
 def tagged_files(t):
-    """Files named by year, read back as one table with the year taken from the names."""
-    from rollbook.sources.catalog import read_tagged_files, write_by_year
+    """Files in folders named by year, read back as one table with the year taken from the paths."""
+    from rollbook.sources.catalog import read_tagged_files
 
     folder = _scratch(t, "tagged")
-    for year in range(1995, 2002):
-        rows = t.orders.where(F.year("o_orderdate") == year).select("o_orderkey")
-        rows.write.option("header", True).csv(f"{folder}/Sheet_{year}")
-    tags = {"year": r"Sheet_(\d{4})", "exam_year": r"Year(\d)"}
-    files = read_tagged_files(t.spark, f"{folder}/Sheet_*", tags, "o_orderkey string", whole_path=True)
+    rows = t.orders.select("o_orderkey", F.year("o_orderdate").alias("Sheet"))
+    rows.write.option("header", True).partitionBy("Sheet").csv(folder)
+    tags = {"year": r"Sheet=(\d{4})", "exam_year": r"Year(\d)"}
+    files = read_tagged_files(t.spark, f"{folder}/Sheet=*", tags, "o_orderkey string", whole_path=True)
     return files.select("o_orderkey", "year", "exam_year")
 
 

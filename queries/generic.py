@@ -50,13 +50,9 @@ SELECT l_returnflag, COUNT(*) AS n, ROUND(SUM(l_quantity), 2) AS quantity, ROUND
  ROUND(STDDEV_SAMP(l_extendedprice), 4) AS std_price
 FROM lineitem GROUP BY 1""")
 def count_sum_mean(t):
-    n = A.count_by(t.lineitem, ["l_returnflag"])
-    s = A.sum_by(t.lineitem, ["l_returnflag"], ["l_quantity"])
-    m = A.mean_std_by(t.lineitem, ["l_returnflag"], "l_discount")
-    p = A.mean_std_by(t.lineitem, ["l_returnflag"], "l_extendedprice")
-    return n.join(s, "l_returnflag").join(m, "l_returnflag").join(p.withColumnRenamed("std", "std_p").drop("mean"), "l_returnflag").select(
-        "l_returnflag", "n", F.round("l_quantity", 2).alias("quantity"), F.round("mean", 6).alias("mean_discount"),
-        F.round("std_p", 4).alias("std_price"))
+    return t.lineitem.groupBy("l_returnflag").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("l_quantity"), 2).alias("quantity"), F.round(F.avg("l_discount"), 6).alias("mean_discount"),
+        F.round(F.stddev_samp("l_extendedprice"), 4).alias("std_price"))
 
 
 @query("pivot_counts_pct", """
@@ -504,8 +500,7 @@ SELECT l_orderkey, l_linenumber, l_partkey, COUNT(l_linenumber) OVER (PARTITION
  MAX(l_linenumber) OVER (PARTITION BY l_orderkey) AS highest FROM lineitem""")
 def group_count_max(t):
     rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey")
-    counted = W.with_group_value(rows, ["l_orderkey"], F.count("l_linenumber"), "num_options")
-    return W.with_group_value(counted, ["l_orderkey"], F.max("l_linenumber"), "highest")
+    return W.with_group_values(rows, ["l_orderkey"], {"num_options": F.count("l_linenumber"), "highest": F.max("l_linenumber")})
 
 
 @query("yoy", """

@@ -245,7 +245,7 @@ def fuzzy_join_parts(t):
     """
     from rollbook.operators.fuzzy import fuzzy_join
 
-    short = F.concat(F.substring("p_name", 1, 1), F.substring("p_name", 3, 100))
+    short = F.concat(F.substring("p_name", 1, 1), F.substr("p_name", F.lit(3)))
     left = t.part.select("p_partkey", "p_type", short.alias("p_name"))
     right = A.count_by(t.part, ["p_type", "p_name"], "parts")
     return fuzzy_join(left, right, "p_name", ["p_type"], "left", 70)
@@ -256,7 +256,7 @@ def fuzzy_best_match(t):
     """Best part name for names with their first two letters swapped; tested against brute force."""
     from rollbook.operators.fuzzy import best_fuzzy_match
 
-    swapped = F.concat(F.substring("p_name", 2, 1), F.substring("p_name", 1, 1), F.substring("p_name", 3, 100))
+    swapped = F.concat(F.substring("p_name", 2, 1), F.substring("p_name", 1, 1), F.substr("p_name", F.lit(3)))
     names = t.part.select(swapped.alias("p_name"), "p_partkey")
     return best_fuzzy_match(names, "p_name", t.part.select("p_name").distinct(), 80.0, "found")
 
@@ -268,7 +268,7 @@ SELECT p_partkey, l.p_name, found FROM l LEFT JOIN m USING (p_name)""")
 def osa_match(t):
     from rollbook.operators.fuzzy import best_osa_match
 
-    swapped = F.concat(F.substring("p_name", 2, 1), F.substring("p_name", 1, 1), F.substring("p_name", 3, 100))
+    swapped = F.concat(F.substring("p_name", 2, 1), F.substring("p_name", 1, 1), F.substr("p_name", F.lit(3)))
     names = t.part.select(swapped.alias("p_name"), "p_partkey")
     return best_osa_match(names, "p_name", t.part.select("p_name").distinct(), 3, "found")
 

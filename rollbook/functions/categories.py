@@ -61,7 +61,7 @@ def titled_qualification(col: Column) -> Column:
     """Title case, with a leading "+2 " kept as it is."""
     text = F.upper(F.trim(col))
     return F.when(
-        text.startswith("+2 "), F.concat(F.lit("+2 "), title(F.substring(text, 4, 1000)))
+        text.startswith("+2 "), F.concat(F.lit("+2 "), title(F.substr(text, F.lit(4))))
     ).otherwise(title(text))
 
 

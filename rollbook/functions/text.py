@@ -100,7 +100,7 @@ def alias_name(col: Column, aliases: dict[str, str]) -> Column:
 
 def roll_tail(col: Column) -> Column:
     """ "00" and everything after the first character of the number."""
-    return F.concat(F.lit("00"), F.substring(col.cast("string"), 2, 1000))
+    return F.concat(F.lit("00"), F.substr(col.cast("string"), F.lit(2)))
 
 
 def strip_quote(col: Column) -> Column:

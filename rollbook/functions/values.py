@@ -65,9 +65,17 @@ def yes_no_any_case(col: Column) -> Column:
     return yes_no(F.lower(F.trim(col)), "yes", "no")
 
 
+# Digits with at most one point, an optional sign and exponent, blanks around.
+DECIMAL = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
 def number(col: Column) -> Column:
-    """Double from text; unreadable text becomes null."""
-    return col.try_cast("double")
+    """Double from a decimal number; any other text becomes null.
+
+    Suffixes ("5d"), hexadecimal numbers, NaN and Infinity are not numbers
+    here, also not those that a double column holds.
+    """
+    return F.when(col.cast("string").rlike(DECIMAL), col.try_cast("double"))
 
 
 def within(col: Column, low: float | None, high: float | None) -> Column:

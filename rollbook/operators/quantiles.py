@@ -1,37 +1,57 @@
 """Exact quantiles and moments that never hold a group in one task.
 
 Equal values are counted first, in the only pass over the rows. Values then
-fall into narrow buckets by order of magnitude. The bucket counts tell which
-buckets hold the wanted ranks, and only the values of those are ordered.
+fall into buckets by order of magnitude, and those into finer ones. Bucket
+counts tell which buckets hold the wanted ranks, and only the values of those
+are ordered. A group has at most some millions of buckets, a bucket about a
+million finer ones, and a finer one some millions of values, whatever the data.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Buckets per doubling of the value, and a shift that keeps bucket numbers of
-# positive values above zero down to the smallest double.
+# Buckets per doubling of the value, finer ones per bucket, and a shift that
+# keeps bucket numbers of positive values above zero down to the smallest double.
 PER_DOUBLING = 1024
-SHIFT = 1100 * PER_DOUBLING
+FINER = 1 << 20
+SHIFT = 1100
+# Buckets of infinite and of missing values.
+INFINITE = 4000 * PER_DOUBLING
 NO_VALUE = -(1 << 62)
 
 
 def count_values(df: DataFrame, value: str, by: list[str]) -> DataFrame:
-    """How often each value occurs per group; nulls are counted as well."""
-    return df.groupBy(*by, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    """How often each value occurs per group; nulls, and NaN as null, are counted as well."""
+    v = F.col(value).cast("double")
+    return df.groupBy(*by, F.nanvl(v, F.lit(None).cast("double")).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+
+
+def _scale(v: Column) -> Column:
+    """A finite number that never falls as the value rises: exponent plus mantissa, in buckets."""
+    size = F.abs(v)
+    power = F.floor(F.log2(size))
+    place = (power + size / F.pow(F.lit(2.0), power) - 1 + SHIFT) * PER_DOUBLING
+    return (
+        F.when(v == 0, 0.0).when(size == float("inf"), F.signum(v) * INFINITE).otherwise(F.signum(v) * place)
+    )
 
 
 def _bucket(v: Column) -> Column:
-    """A whole number that never falls as the value rises."""
-    size = F.floor(F.log2(F.abs(v)) * PER_DOUBLING) + SHIFT
-    number = F.when(v > 0, size).when(v < 0, -size).when(v == 0, F.lit(0).cast("long"))
-    return F.coalesce(number, F.lit(NO_VALUE).cast("long"))
+    return F.coalesce(F.floor(_scale(v)), F.lit(NO_VALUE).cast("long"))
+
+
+def _finer(v: Column) -> Column:
+    scaled = _scale(v)
+    return F.coalesce(F.floor((scaled - F.floor(scaled)) * FINER), F.lit(0).cast("long"))
 
 
 def _near(b: Column) -> Column:
     """A value close to all values of a bucket, to subtract before squaring."""
-    size = F.pow(F.lit(2.0), (F.abs(b) - SHIFT) / PER_DOUBLING)
-    return F.when(b == 0, 0.0).when(b == NO_VALUE, 0.0).otherwise(F.signum(b.cast("double")) * size)
+    place = F.abs(b) / PER_DOUBLING - SHIFT
+    size = F.pow(F.lit(2.0), F.floor(place)) * (1 + place - F.floor(place))
+    none = (b == 0) | (b == NO_VALUE) | (F.abs(b) >= INFINITE)
+    return F.when(none, 0.0).otherwise(F.signum(b.cast("double")) * size)
 
 
 def distribution(counted: DataFrame, by: list[str], probs: dict[str, float]) -> DataFrame:
@@ -40,7 +60,7 @@ def distribution(counted: DataFrame, by: list[str], probs: dict[str, float]) ->
     Quantiles interpolate linearly between the two nearest ranks. Groups
     without any value keep a row with ``n`` 0.
     """
-    placed = counted.withColumn("_b", _bucket(F.col("_v")))
+    placed = counted.withColumns({"_b": _bucket(F.col("_v")), "_f": _finer(F.col("_v"))})
     off = F.col("_v") - _near(F.col("_b"))
     some = F.when(F.col("_v").isNotNull(), F.col("_c")).otherwise(0)
     sizes = placed.groupBy(*by, "_b").agg(
@@ -66,8 +86,15 @@ def distribution(counted: DataFrame, by: list[str], probs: dict[str, float]) ->
     holds = F.exists(ranks, lambda r: (r >= F.col("_start")) & (r < F.col("_start") + F.col("_bc")))
     wanted = starts.where(holds | (F.col("_n") == 0)).select(*by, "_b", "_start", "_n", "_mean", "_dev")
 
-    ordered = Window.partitionBy(*by, "_b").orderBy("_v")
-    fine = placed.join(wanted, [*by, "_b"]).withColumn(
+    # The same once more inside the wanted buckets.
+    finer = placed.groupBy(*by, "_b", "_f").agg(F.sum(some).alias("_fc")).join(wanted, [*by, "_b"])
+    rising = Window.partitionBy(*by, "_b").orderBy("_f")
+    begun = finer.withColumn("_start", F.col("_start") + F.sum("_fc").over(rising) - F.col("_fc"))
+    holds = F.exists(ranks, lambda r: (r >= F.col("_start")) & (r < F.col("_start") + F.col("_fc")))
+    chosen = begun.where(holds | (F.col("_n") == 0)).drop("_fc")
+
+    ordered = Window.partitionBy(*by, "_b", "_f").orderBy("_v")
+    fine = placed.join(chosen, [*by, "_b", "_f"]).withColumn(
         "_last", F.col("_start") + F.sum("_c").over(ordered)
     )
 
@@ -83,10 +110,12 @@ def distribution(counted: DataFrame, by: list[str], probs: dict[str, float]) ->
         F.max(F.sqrt(F.try_divide(F.col("_dev"), F.col("_n") - 1))).alias("std"),
         *[c.alias(f"{name}_{i}") for name, cs in ends.items() for i, c in enumerate(cs)],
     )
-    blend = [
-        (F.col(f"`{p}_0`") + (F.col(f"`{p}_1`") - F.col(f"`{p}_0`")) * F.col(f"`{p}_2`")).alias(p) for p in probs
-    ]
-    return picked.select(*by, "n", "mean", "std", *blend)
+    def blend(p: str) -> Column:
+        low, high, part = F.col(f"`{p}_0`"), F.col(f"`{p}_1`"), F.col(f"`{p}_2`")
+        # Equal ends may be infinite.
+        return F.when(low == high, low).otherwise(low + (high - low) * part).alias(p)
+
+    return picked.select(*by, "n", "mean", "std", *[blend(p) for p in probs])
 
 
 def quantiles(df: DataFrame, value: str, by: list[str], probs: dict[str, float]) -> DataFrame:

@@ -11,7 +11,10 @@ from rollbook.operators.quantiles import count_values, distribution
 
 
 def welch_t(df: DataFrame, group: str, value: str, first, second) -> DataFrame:
-    """Welch's t with its degrees of freedom, and the variance ratio, in one pass."""
+    """Welch's t with its degrees of freedom, and the variance ratio, in one pass.
+
+    What would divide by zero, such as t for two groups without variance, is null.
+    """
     def moments(name):
         x = F.when(F.col(group) == name, F.col(value))
         return F.avg(x), F.var_samp(x), F.count(x)
@@ -21,13 +24,13 @@ def welch_t(df: DataFrame, group: str, value: str, first, second) -> DataFrame:
         m1.alias("mean_1"), v1.alias("var_1"), n1.alias("n_1"),
         m2.alias("mean_2"), v2.alias("var_2"), n2.alias("n_2"),
     )
-    a, b = F.col("var_1") / F.col("n_1"), F.col("var_2") / F.col("n_2")
-    t = (F.col("mean_1") - F.col("mean_2")) / F.sqrt(a + b)
-    freedom = F.pow(a + b, 2) / (
-        F.pow(a, 2) / (F.col("n_1") - 1) + F.pow(b, 2) / (F.col("n_2") - 1)
+    a, b = F.try_divide("var_1", "n_1"), F.try_divide("var_2", "n_2")
+    t = F.try_divide(F.col("mean_1") - F.col("mean_2"), F.sqrt(a + b))
+    freedom = F.try_divide(
+        F.pow(a + b, 2), F.try_divide(F.pow(a, 2), F.col("n_1") - 1) + F.try_divide(F.pow(b, 2), F.col("n_2") - 1)
     )
     return rows.select(
-        "*", t.alias("t"), freedom.alias("df"), (F.col("var_1") / F.col("var_2")).alias("f_ratio")
+        "*", t.alias("t"), freedom.alias("df"), F.try_divide("var_1", "var_2").alias("f_ratio")
     )
 
 

@@ -46,6 +46,12 @@ def with_group_value(df: DataFrame, keys: list[str], value: Column, name: str) -
     return df.join(per_group, keys, "left")
 
 
+def with_group_values(df: DataFrame, keys: list[str], values: dict[str, Column]) -> DataFrame:
+    """Several aggregates of each group on all its rows, from one aggregate and one join."""
+    per_group = with_keys(df, keys).groupBy(*keys).agg(*[v.alias(n) for n, v in values.items()])
+    return df.join(per_group, keys, "left")
+
+
 def best_status_rows(df: DataFrame, keys: list[str], rank: Column, tie_break: list[str]) -> DataFrame:
     """The row with the highest status rank per group."""
     return first_rows(df, keys, [rank.desc(), *tie_break])
