@@ -623,6 +623,41 @@ def stream_landing(t):
     return land.landed(t.spark, f"{work}/table").select("event_id", "ts", "user_id", "event_type", "value", "props")
 
 
+@query("landing_log", """
+SELECT batch, records, SUM(records) OVER (ORDER BY batch)::BIGINT AS total FROM (SELECT 0::BIGINT AS batch, COUNT(*) AS records FROM orders WHERE o_orderkey % 2 = 0
+ UNION ALL SELECT 1, COUNT(*) FROM orders WHERE o_orderkey % 2 = 1)""")
+def landing_log(t):
+    """Orders landed as lines of mixed spellings in two batches; the log of both."""
+    from rollbook.sources import landing as L
+    from rollbook.streaming import land
+
+    work = _scratch(t, "landing-log")
+    for batch in (0, 1):
+        land.land_batch(_order_lines(t, batch), batch, f"{work}/table", ["barcode", "module", "academic_year"], ["barcode"], "student_name",
+                        ["module", "academic_year"], lambda df: L.normalise_lines(df, "HSS", 2023))
+    return land.load_log(t.spark, f"{work}/table").select(F.col("batch").cast("long").alias("batch"), "records", F.col("total"))
+
+
+def _order_lines(t, half: int):
+    """Half of the orders as records, one spelling of the option field in each half."""
+    option = ("HssOptionDetails", "HSSOptionDetails")[half]
+    fields = F.struct(F.col("o_orderkey").cast("string").alias("Barcode"), F.concat(F.lit("n"), "o_custkey").alias("StudentName"), F.col("o_orderstatus").alias(option))
+    return t.orders.where(F.pmod("o_orderkey", F.lit(2)) == half).select(F.to_json(fields).alias("value"))
+
+
+@query("landed_spellings", "SELECT CAST(o_orderkey AS VARCHAR) AS barcode, o_orderstatus AS hss_option_details FROM orders")
+def landed_spellings(t):
+    """Lines with two spellings of a field, landed together; none is lost."""
+    from rollbook.sources import landing as L
+    from rollbook.streaming import land
+
+    work = _scratch(t, "landing-spellings")
+    lines = _order_lines(t, 0).unionByName(_order_lines(t, 1))
+    land.land_batch(lines, 0, f"{work}/table", ["barcode", "module", "academic_year"], ["barcode"], "student_name",
+                    ["module", "academic_year"], lambda df: L.normalise_lines(df, "HSS", 2023))
+    return land.landed(t.spark, f"{work}/table").select("barcode", "hss_option_details")
+
+
 # --- reading and writing ---------------------------------------------------------------
 
 def _scratch(t, purpose):

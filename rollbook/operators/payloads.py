@@ -7,9 +7,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from rollbook.functions import payload as P
 from rollbook.functions.text import snake_name
 
-# Above this many distinct keys the key list is joined in pieces, not inlined.
-INLINE_KEYS = 1000
-
 
 def explode_records(
     df: DataFrame,
@@ -38,20 +35,19 @@ def key_list(df: DataFrame, mapping: Column) -> DataFrame:
 def _spread_keys(parsed: DataFrame, keep: list[str], name: str, value: str, skip: list[str], pieces: int | None) -> DataFrame:
     """One row per row and key of the union of all keys of the map ``_m``; absent keys give null.
 
-    The key list is the payload's field list. Its size is checked: a short one
-    is inlined as a literal, a long one is joined in pieces of limited length.
+    The key list is the payload's field list; it is found in the same plan, as
+    a scalar subquery. Where keys are data and may be many, ``pieces`` deals
+    the list out, and rows meet one piece after the other in a join.
     """
     keys = key_list(parsed, F.col("_m")).where(~F.col("_k").isin(skip) if skip else F.lit(True))
-    found = [] if pieces else [r[0] for r in keys.limit(INLINE_KEYS + 1).collect()]
-    if not pieces and len(found) <= INLINE_KEYS:
-        literal = F.array(*[F.lit(k) for k in sorted(found)]).cast("array<string>")
-        rows = parsed.withColumn(name, F.explode(literal))
+    if pieces is None:
+        every = keys.agg(F.sort_array(F.collect_set("_k"))).scalar()
+        rows = parsed.withColumn("_ks", every).withColumn(name, F.explode("_ks"))
     else:
-        n = pieces or -(-keys.count() // INLINE_KEYS) * 4
-        piece = F.pmod(F.xxhash64("_k"), F.lit(n))
+        piece = F.pmod(F.xxhash64("_k"), F.lit(pieces))
         lists = keys.groupBy(piece.alias("_piece")).agg(F.collect_list("_k").alias("_ks"))
         spread = parsed.withColumn(
-            "_piece", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+            "_piece", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(pieces - 1).cast("long")))
         )
         rows = spread.join(lists, "_piece").withColumn(name, F.explode("_ks"))
     return rows.select(*keep, name, F.try_element_at("_m", F.col(name)).alias(value))

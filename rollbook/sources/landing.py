@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from rollbook.functions.nulls import is_missing
 from rollbook.operators.columns import all_of, any_of
@@ -63,16 +60,6 @@ MODULE_YEARS = {
 ZERO_YEAR_MODULES = ["HSS", "DEG"]
 
 
-def record_schema(fields: Iterable[str] = tuple(STUDENT_FIELDS)) -> StructType:
-    """Every source field as text; nested lists and objects arrive as their JSON text.
-
-    Column names ignore case, so of two spellings the first is taken; records
-    that mix spellings are read as lines with ``normalise_lines``.
-    """
-    kept = {f.lower(): f for f in reversed(list(fields))}
-    return StructType([StructField(f, StringType()) for f in fields if kept[f.lower()] == f])
-
-
 def _stored(pick, fields: dict[str, str], module: Column | str, academic_year: Column | int) -> list[Column]:
     """Stored columns from a function that gives a source field's column, or None."""
     sources: dict[str, list[Column]] = {stored: [] for stored in fields.values()}
@@ -91,7 +78,11 @@ def _stored(pick, fields: dict[str, str], module: Column | str, academic_year: C
 
 
 def normalise_records(df: DataFrame, module: Column | str, academic_year: Column | int, fields: dict[str, str] | None = None) -> DataFrame:
-    """Source fields under stored names, module and year added, unknown fields dropped."""
+    """Source fields under stored names, module and year added, unknown fields dropped.
+
+    For frames that have columns already. A reader that wants a schema knows one
+    spelling of a field; records are landed as lines, with ``normalise_lines``.
+    """
     pick = lambda source: F.col(source) if source in df.columns else None
     extra = [c for c in df.columns if c.startswith("_")]
     return df.select(*_stored(pick, fields or STUDENT_FIELDS, module, academic_year), *extra)

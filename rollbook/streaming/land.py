@@ -24,26 +24,30 @@ def _existing(spark: SparkSession, table: str, batch_id: int) -> DataFrame | Non
     return landed.where(F.col("batch") < batch_id)
 
 
-# Above this many partition values the key lookup reads all partitions.
-PRUNE_VALUES = 1000
-
-
 def _touched(existing: DataFrame, rows: DataFrame, columns: list[str]) -> DataFrame:
-    """Landed rows of the partitions the batch touches; the others cannot collide."""
-    for c in columns:
-        values = [r[0] for r in rows.select(c).distinct().limit(PRUNE_VALUES + 1).collect()]
-        if len(values) <= PRUNE_VALUES:
-            existing = existing.where(F.col(c).isin([v for v in values if v is not None]))
-    return existing
+    """Landed rows of the partitions the batch touches; the others cannot collide.
+
+    The join on partition columns lets Spark skip the other folders at run time.
+    """
+    if not columns:
+        return existing
+    return existing.join(rows.select(*columns).distinct(), columns, "left_semi")
 
 
 def land_batch(
     batch: DataFrame, batch_id: int, table: str, key: list[str], required: list[str], order: str,
     partition_by: list[str], prepare: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
-    """Append the new rows of one batch, its rejects and one load-log row."""
+    """Append the new rows of one batch, its rejects and one load-log row.
+
+    The prepared batch is evaluated once, into the table's staging folder; accepted
+    rows, rejects and log all come from there, and the folder goes when they are written.
+    """
     spark = batch.sparkSession
-    rows = prepare(batch) if prepare else batch
+    prepared = prepare(batch) if prepare else batch
+    staging = f"{table}/staging/batch={batch_id}"
+    prepared.write.mode("overwrite").parquet(staging)
+    rows = spark.read.schema(prepared.schema).parquet(staging)
     existing = _existing(spark, f"{table}/rows", batch_id)
     if existing is not None:
         existing = _touched(existing, rows, [c for c in partition_by if c in key])
@@ -52,14 +56,20 @@ def land_batch(
     rejected.write.mode("overwrite").parquet(f"{table}/rejects/batch={batch_id}")
     counts = rows.agg(F.count(F.lit(1)).alias("records"), F.current_timestamp().alias("at"))
     counts.write.mode("overwrite").parquet(f"{table}/log/batch={batch_id}")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(staging)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def land_files(
-    spark: SparkSession, source: str, schema: StructType, table: str, checkpoint: str, key: list[str],
+    spark: SparkSession, source: str, schema: StructType | str, table: str, checkpoint: str, key: list[str],
     required: list[str], order: str, partition_by: list[str], fmt: str = "json",
     files_per_batch: int | None = None, prepare: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
-    """Start landing all files that arrived since the last run; ends by itself."""
+    """Start landing all files that arrived since the last run; ends by itself.
+
+    Raw records are read as lines (``fmt="text"``, schema "value string") and prepared with
+    ``normalise_lines``, which knows every spelling of a field.
+    """
     reader = spark.readStream.schema(schema).format(fmt)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
