@@ -80,12 +80,12 @@ APPLICATIONS = """SELECT barcode, aadhar_no, academic_year, CAST(MAX(l_linenumbe
 
 @query("iti_applications", sql(APPLICATIONS.format(m="ITI")))
 def iti_applications(t):
-    return VO.applications(S.of_module(S.students(t), "ITI"))
+    return VO.applications(S.students(t, "ITI"))
 
 
 @query("diploma_applications", sql(APPLICATIONS.format(m="Diploma")))
 def diploma_applications(t):
-    return VO.applications(S.of_module(S.students(t), "Diploma"))
+    return VO.applications(S.students(t, "Diploma"))
 
 
 @query("iti_institutes_strength", sql("SELECT * FROM strength WHERE module='ITI'"))
@@ -273,7 +273,7 @@ def hss_applications(t):
 SELECT barcode, aadhar_no, academic_year, CAST(COUNT(l_orderkey) OVER (PARTITION BY barcode) AS INTEGER) AS num_applications, inst_id AS sams_code, stream, status AS admission_status
 FROM people LEFT JOIN lines ON o_orderkey=l_orderkey WHERE module='HSS'"""))
 def hss_applications_enriched(t):
-    rows = H.hss_applications_enriched(S.of_module(S.students(t), "HSS"))
+    rows = H.hss_applications_enriched(S.students(t, "HSS"))
     return rows.select("barcode", "aadhar_no", "academic_year", "num_applications", "sams_code", "stream", "admission_status")
 
 
@@ -283,7 +283,7 @@ SUBJECTS = """people LEFT JOIN (SELECT l_orderkey, p_type, CAST(CAST(l_quantity
 @query("hss_compartments", sql(f"""
 SELECT barcode, academic_year, p_type AS "COMPSubject", fail_mark AS "COMPFailMark", CASE WHEN p_type IS NOT NULL THEN '30' END AS "COMPPassMark" FROM {SUBJECTS} WHERE module='HSS'"""))
 def hss_compartments(t):
-    return H.hss_compartments(S.of_module(S.students(t), "HSS"))
+    return H.hss_compartments(S.students(t, "HSS"))
 
 
 NOT_NULL_LIST = "(o_orderstatus IN ('F','O') OR o_orderkey IN (SELECT l_orderkey FROM lineitem))"
@@ -292,7 +292,7 @@ NOT_NULL_LIST = "(o_orderstatus IN ('F','O') OR o_orderkey IN (SELECT l_orderkey
 @query("hss_marks", sql(f"""
 SELECT barcode, aadhar_no, academic_year, CAST(percentage AS VARCHAR) IS NOT NULL AS has_percentage, p_type AS comp_subject, fail_mark AS comp_fail_mark FROM {SUBJECTS} WHERE module='HSS' AND {NOT_NULL_LIST}"""))
 def hss_marks(t):
-    rows = H.hss_marks(S.of_module(S.students(t), "HSS"))
+    rows = H.hss_marks(S.students(t, "HSS"))
     return rows.select("barcode", "aadhar_no", "academic_year", F.col("percentage").isNotNull().alias("has_percentage"), "comp_subject", "comp_fail_mark")
 
 
@@ -307,13 +307,13 @@ SELECT barcode, "OptionNo", "SAMSCode", "AdmissionStatus" FROM (SELECT * REPLACE
  (SELECT *, COALESCE(CASE "AdmissionStatus" WHEN 'ADMITTED' THEN 4 WHEN 'SELECTED BUT NOT ADMITTED' THEN 3 WHEN 'TC TAKEN' THEN 2 WHEN 'NOT SELECTED' THEN 1 END,0) AS rk FROM ({HSS_OPTIONS}))
  QUALIFY ROW_NUMBER() OVER (PARTITION BY barcode ORDER BY rk DESC, CAST("OptionNo" AS INTEGER), l_suppkey, l_partkey, l_extendedprice)=1)"""))
 def hss_priority(t):
-    return H.priority_admission(S.of_module(S.students(t), "HSS")).select("barcode", "OptionNo", "SAMSCode", "AdmissionStatus")
+    return H.priority_admission(S.students(t, "HSS")).select("barcode", "OptionNo", "SAMSCode", "AdmissionStatus")
 
 
 @query("hss_stream_trends", sql(f"""
 SELECT "Year", "Stream", COUNT(*) AS student_count FROM ({HSS_OPTIONS}) WHERE "Year" IS NOT NULL GROUP BY 1,2"""))
 def hss_stream_trends(t):
-    return H.stream_trends(S.of_module(S.students(t), "HSS"))
+    return H.stream_trends(S.students(t, "HSS"))
 
 
 @query("hss_local_flag", sql(f"""
@@ -329,7 +329,7 @@ SELECT barcode, aadhar_no, academic_year, strftime(dob, '%Y-%m-%d') AS dob, orph
  CASE p_type WHEN 'ECONOMY' THEN 'B.A.' WHEN 'LARGE' THEN 'Diploma (Civil)' WHEN 'MEDIUM' THEN 'Iti' WHEN 'PROMO' THEN 'Matric' WHEN 'SMALL' THEN 'Chse' END AS highest_qualification
 FROM people LEFT JOIN line1 ON o_orderkey=l_orderkey WHERE module='DEG'"""))
 def deg_enrollments(t):
-    rows = H.deg_enrollments(S.of_module(S.students(t), "DEG"), sort=False)
+    rows = H.deg_enrollments(S.students(t, "DEG"), sort=False)
     return rows.select("barcode", "aadhar_no", "academic_year", F.date_format("dob", "yyyy-MM-dd").alias("dob"), "orphan", "ph", "es", "address", "highest_qualification")
 
 
@@ -337,14 +337,14 @@ def deg_enrollments(t):
 SELECT barcode, aadhar_no, academic_year, CAST(l_linenumber AS VARCHAR) AS option_no, inst_id AS sams_code, stream, p_type AS subject, status AS admission_status,
  COUNT(l_orderkey) OVER (PARTITION BY academic_year, barcode) AS num_applications FROM people LEFT JOIN lines ON o_orderkey=l_orderkey WHERE module='DEG' AND {NOT_NULL_LIST}"""))
 def deg_applications(t):
-    rows = H.deg_applications(S.of_module(S.students(t), "DEG"))
+    rows = H.deg_applications(S.students(t, "DEG"))
     return rows.select("barcode", "aadhar_no", "academic_year", "option_no", "sams_code", "stream", "subject", "admission_status", "num_applications")
 
 
 @query("deg_marks", sql(f"""
 SELECT barcode, aadhar_no, academic_year, p_type AS comp_subject, fail_mark AS comp_fail_mark FROM {SUBJECTS} WHERE module='DEG' AND {NOT_NULL_LIST}"""))
 def deg_marks(t):
-    return H.deg_marks(S.of_module(S.students(t), "DEG")).select("barcode", "aadhar_no", "academic_year", "comp_subject", "comp_fail_mark")
+    return H.deg_marks(S.students(t, "DEG")).select("barcode", "aadhar_no", "academic_year", "comp_subject", "comp_fail_mark")
 
 
 # --- JSON operators ----------------------------------------------------------------
@@ -735,4 +735,4 @@ def sql_unnest(t):
     from rollbook.sources.catalog import sql_over
 
     text = "SELECT barcode, o.Option_No AS option_no FROM s LATERAL VIEW OUTER explode(from_json(option_data, 'array<struct<Option_No string>>')) x AS o"
-    return sql_over(t.spark, {"s": S.of_module(S.students(t), "ITI")}, text)
+    return sql_over(t.spark, {"s": S.students(t, "ITI")}, text)

@@ -68,15 +68,22 @@ def people(t: Tables) -> DataFrame:
 
 
 @described_once
-def students(t: Tables) -> DataFrame:
-    """The raw student table: text columns, and JSON lists built from the line items."""
+def students(t: Tables, module: str | None = None) -> DataFrame:
+    """The raw student table, or one module of it: text columns, and JSON lists built from the line items.
+
+    A module's applications are found first, so only their line items are gathered.
+    """
+    who, taken = people(t), lines(t)
+    if module is not None:
+        who = who.where(F.col("module") == module)
+        taken = taken.join(who.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
     item = F.struct(
         *LINE_ORDER, "inst", "inst_district", "kind", "p_brand", "p_type", "p_size", "inst_id", "stream", "status",
         "l_returnflag", "l_linestatus", "l_tax", "l_quantity", F.year("l_shipdate").alias("shipped"),
     )
     # An order has a handful of line items, so its list is short.
-    grouped = lines(t).groupBy("l_orderkey").agg(F.array_sort(F.collect_list(item)).alias("_l"))
-    rows = people(t).join(grouped, F.col("o_orderkey") == F.col("l_orderkey"), "left").drop("l_orderkey")
+    grouped = taken.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(item)).alias("_l"))
+    rows = who.join(grouped, F.col("o_orderkey") == F.col("l_orderkey"), "left").drop("l_orderkey")
     first = F.get("_l", 0)
     year = F.col("academic_year").cast("string")
     exam = lambda x: F.when(x["l_returnflag"] == "A", F.when(F.col("module") == "ITI", "10th Pass").otherwise("10th")).when(
@@ -201,7 +208,7 @@ def sql(body: str) -> str:
 def enrolled(t: Tables, module: str) -> DataFrame:
     from rollbook.plans.vocational import enrollments
 
-    return enrollments(of_module(students(t), module), module, sort=False)
+    return enrollments(students(t, module), module, sort=False)
 
 
 @described_once
@@ -236,7 +243,7 @@ def vacancy_rows(t: Tables) -> DataFrame:
 def hss_options(t: Tables) -> DataFrame:
     from rollbook.plans.higher import hss_applications
 
-    return hss_applications(of_module(students(t), "HSS"))
+    return hss_applications(students(t, "HSS"))
 
 
 @described_once
@@ -245,7 +252,7 @@ def hss_mark_rows(t: Tables) -> DataFrame:
     from rollbook.functions.values import number
     from rollbook.plans.higher import hss_marks
 
-    rows = hss_marks(of_module(students(t), "HSS"))
+    rows = hss_marks(students(t, "HSS"))
     return rows.withColumns({c: number(F.col(c)) for c in ["percentage", "secured_marks", "comp_fail_mark", "comp_pass_mark"]})
 
 

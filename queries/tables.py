@@ -306,7 +306,7 @@ INCOMES = ["0-2,50,000", "2,50,000-8,00,000", "Above 8,00,000", "OTHER"]
 
 @query("diploma_annual_income_over_time", sql("SELECT academic_year AS \"Year\", " + ", ".join(f"""COUNT(DISTINCT aadhar_no) FILTER (annual_income='{i}') AS "{i}" """ for i in INCOMES) + f" FROM {DIPLOMA} GROUP BY 1"))
 def diploma_income(t):
-    return ET.category_over_time(diploma(t), "annual_income")
+    return ET.category_over_time(diploma(t), "annual_income", INCOMES)
 
 
 @query("diploma_share_below_income", sql(f"SELECT academic_year, round_even(COUNT(DISTINCT aadhar_no) FILTER (annual_income='0-2,50,000')::DOUBLE/COUNT(DISTINCT aadhar_no)*100,1) AS share_below FROM {DIPLOMA} GROUP BY 1"))
@@ -319,7 +319,7 @@ GROUPS = ["General", "OBC/SEBC", "SC", "ST"]
 
 @query("diploma_social_category_over_time", sql("SELECT academic_year AS \"Year\", " + ", ".join(f"""COUNT(DISTINCT aadhar_no) FILTER (social_category='{g}') AS "{g}" """ for g in GROUPS) + f""", COUNT(DISTINCT aadhar_no) FILTER (social_category='Other') AS "Unreserved" FROM {DIPLOMA} GROUP BY 1"""))
 def diploma_social(t):
-    return ET.category_over_time(diploma(t), "social_category", None, {"Other": "Unreserved"})
+    return ET.category_over_time(diploma(t), "social_category", [*GROUPS, "Other"], {"Other": "Unreserved"})
 
 
 @query("diploma_income_by_category_2023", sql("SELECT social_category AS \"Social Category\", " + ", ".join(f"""COUNT(DISTINCT aadhar_no) FILTER (annual_income='{i}') AS "{i}" """ for i in INCOMES) + f" FROM {DIPLOMA} AND academic_year=2023 GROUP BY 1"))
@@ -349,7 +349,7 @@ EXAMS = ["+2 Science", "10th Pass", "ITI"]
 @query("iti_pass_by_gender_2023", sql("SELECT gender, " + ", ".join(f"""COUNT(DISTINCT e.aadhar_no) FILTER (exam_name='{x}') AS "{x}" """ for x in EXAMS) +
        " FROM enrolled e LEFT JOIN marks m ON m.module='ITI' AND e.aadhar_no=m.aadhar_no AND e.academic_year=m.academic_year WHERE e.module='ITI' AND e.academic_year=2023 GROUP BY 1"))
 def pass_by_gender(t):
-    return ET.examination_by_gender(ET.in_year(iti(t)), ET.in_year(S.mark_rows(t, "ITI")))[0]
+    return ET.examination_by_gender(ET.in_year(iti(t)), ET.in_year(S.mark_rows(t, "ITI")), EXAMS)[0]
 
 
 # --- cutoffs and vacancies ----------------------------------------------------------------
@@ -380,7 +380,7 @@ def trades_by_gender(t):
 SELECT reported_branch_or_trade, {", ".join(f"COUNT(aadhar_no) FILTER (highest_qualification='{q}') AS " + chr(34) + q + chr(34) for q in LEVELS[:-1])}, COUNT(aadhar_no) FILTER (highest_qualification IS NOT NULL) AS "Total"
 FROM {ITI} AND academic_year=2023 AND highest_qualification IS NOT NULL GROUP BY 1"""))
 def trades_by_qualification(t):
-    return ET.cross_counts(ET.in_year(iti(t)), "reported_branch_or_trade", "highest_qualification")
+    return ET.cross_counts(ET.in_year(iti(t)), "reported_branch_or_trade", "highest_qualification", LEVELS[:-1])
 
 
 @query("marks_by_trade", _with(MATCHED, f"""
@@ -598,7 +598,7 @@ def applications_by_year(t):
 SELECT academic_year, COUNT(*) AS total_students, COUNT(*) FILTER (k>0) AS with_options, COUNT(*) FILTER (k=0) AS without_options FROM (SELECT academic_year, aadhar_no, MAX(k) AS k FROM
  (SELECT academic_year, aadhar_no, o_orderkey, COUNT(l_orderkey) AS k FROM people LEFT JOIN lineitem ON o_orderkey=l_orderkey WHERE module='ITI' GROUP BY 1,2,3) GROUP BY 1,2) GROUP BY 1"""))
 def options_coverage(t):
-    rows = S.of_module(S.students(t), "ITI")
+    rows = S.students(t, "ITI")
     size = Y.list_size(Y.json_records(F.col("option_data"), ["Option_No"]))
     return DM.options_coverage(rows, size, ["academic_year"])
 
@@ -607,7 +607,7 @@ def options_coverage(t):
 SELECT district, academic_year, COUNT(*) AS rows, COUNT(*) FILTER (l_orderkey IS NULL OR status IS NULL) AS incomplete, COUNT(*) FILTER (status IS NOT NULL) AS complete, CAST(0 AS BIGINT) AS reported_not_applied, CAST(0 AS BIGINT) AS applied_without_type
 FROM people LEFT JOIN lines ON o_orderkey=l_orderkey WHERE module='ITI' GROUP BY 1,2"""))
 def option_quality(t):
-    rows = VO.applications(S.of_module(S.students(t), "ITI"), ["barcode", "district", "academic_year", "reported_institute", "type_of_institute"])
+    rows = VO.applications(S.students(t, "ITI"), ["barcode", "district", "academic_year", "reported_institute", "type_of_institute"])
     return DM.option_quality(rows, ["district", "academic_year"], ["option_no", "trade", "status"])
 
 
@@ -636,7 +636,7 @@ ho AS (SELECT barcode, CAST(academic_year AS VARCHAR) AS "Year", CAST(l_linenumb
 def hss_students(t):
     from rollbook.functions.values import number
 
-    return S.of_module(S.students(t), "HSS").withColumn("percentage", number(F.col("percentage")))
+    return S.students(t, "HSS").withColumn("percentage", number(F.col("percentage")))
 
 
 @query("hss_applicants", _with(HSS, 'SELECT "Year", COUNT(DISTINCT barcode) AS applicants, COUNT(*) AS applications FROM ho GROUP BY 1'))
@@ -751,7 +751,7 @@ WITH o AS (SELECT academic_year, aadhar_no, status FROM people LEFT JOIN lines O
 SELECT academic_year, (SELECT COUNT(*) FROM o WHERE o.academic_year=b.academic_year) AS applications, COUNT(*) FILTER (r=4) AS admitted, COUNT(*) FILTER (r=3) AS tc_taken, COUNT(*) FILTER (r=2) AS selected_but_not_admitted,
  COUNT(*) FILTER (r=1) AS not_selected, COUNT(*) FILTER (r=0) AS unknown FROM b GROUP BY 1""").replace("\nWITH o AS", ",\no AS"))
 def hss_admission_summary(t):
-    return ID.admission_summary(H.hss_applications_enriched(S.of_module(S.students(t), "HSS")))
+    return ID.admission_summary(H.hss_applications_enriched(S.students(t, "HSS")))
 
 
 @described_once
@@ -812,7 +812,7 @@ SELECT academic_year, i_u AS iti_unique_applicant, i_a AS iti_admitted, CAST(0 A
  (SELECT academic_year, aadhar_no, arg_min(o_orderstatus, barcode) AS st, SUM(k) AS k FROM (SELECT academic_year, aadhar_no, barcode, o_orderstatus, (SELECT COUNT(*) FROM lineitem WHERE l_orderkey=o_orderkey) AS k FROM people WHERE module='ITI') GROUP BY 1,2) GROUP BY 1)"""))
 def status_by_year(t):
     rows = S.of_module(S.people(t), "ITI").withColumn("admission_status", F.when(F.col("o_orderstatus") == "F", "Yes").otherwise("No"))
-    applications = VO.applications(S.of_module(S.students(t), "ITI")).where("option_no is not null")
+    applications = VO.applications(S.students(t, "ITI")).where("option_no is not null")
     return ID.application_status_by_year(rows, applications, "iti")
 
 

@@ -33,12 +33,15 @@ class Rule:
 
     ``least_shared`` is the smallest such number over all lengths of the other
     text, ``at_least`` a cheap lower bound of it that picks the run size.
+    ``near`` is a bound by plain edit distance, computed in the JVM, that every
+    accepted pair meets.
     """
 
     shared: Callable[[Column, Column, Column], Column]
     least_shared: Callable[[Column, Column], Column]
     at_least: Callable[[Column, Column], Column]
     feasible: Callable[[Column, Column], Column]
+    near: Callable[[Column, Column], Column]
     score: Callable[[Column, Column], Column]
     accept: Callable[[Column], Column]
     badness: Callable[[Column], Column]
@@ -76,6 +79,8 @@ def ratio_rule(threshold: float) -> Rule:
         least_shared=least,
         at_least=linear,
         feasible=lambda la, lb: F.least(la, lb) * 200 >= (la + lb) * threshold - SLACK,
+        # The ratio allows (la + lb)(1 - threshold / 100) letters put in or taken out, each an edit.
+        near=lambda a, b: F.levenshtein(a, b) <= (F.length(a) + F.length(b)) * (1 - threshold / 100.0) + SLACK,
         score=indel_ratio_column,
         accept=lambda s: s >= threshold,
         badness=lambda s: -s,
@@ -93,6 +98,8 @@ def osa_rule(at_most: int) -> Rule:
         least_shared=lambda la, q: la - q + 1 - broken(q),
         at_least=lambda la, q: la - q + 1 - broken(q),
         feasible=lambda la, lb: F.abs(la - lb) <= at_most,
+        # A swap is two edits.
+        near=lambda a, b: F.levenshtein(a, b, 2 * at_most) >= 0,
         score=osa_distance_column,
         accept=lambda s: s <= at_most,
         badness=lambda s: s.cast("double"),
@@ -106,9 +113,19 @@ def _with_runs(texts: DataFrame) -> DataFrame:
     """
     starts = F.sequence(F.lit(1), F.col("_len") - F.col("_q") + 1)
     runs = F.array_sort(F.transform(starts, lambda i: F.substr(F.col("_t"), i, F.col("_q"))))
-    nth = lambda x, i: i - F.array_position(F.col("_runs"), x)
-    hashed = F.transform("_runs", lambda x, i: F.xxhash64(x, nth(x, i), F.col("_q")))
-    return texts.withColumn("_runs", runs).withColumn("_bag", hashed).drop("_runs")
+    # Equal runs stand together; the place of the first of them is found from the places where runs change.
+    changes = lambda x, i: (i == 0) | (x != F.get(F.col("_runs"), i - 1))
+    firsts = F.filter(F.transform("_runs", lambda x, i: F.when(changes(x, i), i)), lambda i: i.isNotNull())
+    sizes = F.transform(firsts, lambda i, k: F.coalesce(F.get(F.col("_firsts"), k + 1), F.size("_runs")) - i)
+    numbers = F.flatten(F.transform("_sizes", lambda n: F.sequence(F.lit(0), n - 1)))
+    hashed = F.transform(F.arrays_zip(F.col("_runs").alias("x"), F.col("_nth").alias("n")), lambda p: F.xxhash64(p["x"], p["n"], F.col("_q")))
+    texts = texts.withColumn("_runs", runs).withColumn("_firsts", firsts).withColumn("_sizes", sizes).withColumn("_nth", numbers)
+    return texts.withColumn("_bag", hashed).drop("_runs", "_firsts", "_sizes", "_nth")
+
+
+def _loose(rule: Rule) -> Column:
+    """Whether a text is so short that it need not share a letter."""
+    return (F.col("_q") == 1) & (rule.least_shared(F.col("_len"), F.col("_q")) <= 0)
 
 
 def _rare_first(texts: DataFrame, frequency: DataFrame, keys: list[str]) -> DataFrame:
@@ -123,13 +140,16 @@ def _rare_first(texts: DataFrame, frequency: DataFrame, keys: list[str]) -> Data
     return counted.groupBy(*fixed).agg(F.array_sort(F.collect_list(ranked)).alias("_bag"))
 
 
-def _signatures(texts: DataFrame, rule: Rule, keys: list[str], side: str) -> DataFrame:
-    """The first runs of each text, one row each, with all runs beside them."""
+def _signatures(texts: DataFrame, rule: Rule, keys: list[str], side: str, loose_choices: Column) -> DataFrame:
+    """The first runs of each text, one row each, with all runs beside them.
+
+    ``loose_choices`` is how many choices stand at ``NO_RUN``, which is split like any common run.
+    """
     need = rule.least_shared(F.col("_len"), F.col("_q"))
     count = F.size("_bag")
     prefix = F.slice("_bag", 1, F.greatest(F.least(count - need + 1, count), F.lit(1)))
-    none = F.struct(F.lit(0).cast("long").alias("f"), F.lit(NO_RUN).cast("long").alias("run"))
-    loose = (F.col("_q") == 1) & (need <= 0)
+    none = F.struct(loose_choices.alias("f"), F.lit(NO_RUN).cast("long").alias("run"))
+    loose = _loose(rule)
     keyed = F.when(loose, F.array_append(prefix, none)).otherwise(prefix)
     rows = texts.select(
         *keys, F.col("_t").alias(f"_t{side}"), F.col("_len").alias(f"_l{side}"),
@@ -166,8 +186,9 @@ def similar_pairs(left: DataFrame, right: DataFrame, column: str, exact: list[st
     frequency = b.select(F.explode_outer("_bag").alias("_run")).groupBy("_run").agg(
         F.count(F.lit(1)).alias("_f")
     )
-    sa = _signatures(_rare_first(a, frequency, exact), rule, exact, "a")
-    sb = _signatures(_rare_first(b, frequency, exact), rule, exact, "b")
+    short = b.where(_loose(rule)).agg(F.count(F.lit(1))).scalar()
+    sa = _signatures(_rare_first(a, frequency, exact), rule, exact, "a", short)
+    sb = _signatures(_rare_first(b, frequency, exact), rule, exact, "b", short)
     la, lb = F.col("_la"), F.col("_lb")
     need = rule.shared(la, lb, F.col("_q"))
     # From the place where a pair first meets, enough runs must be left on both sides.
@@ -177,7 +198,7 @@ def similar_pairs(left: DataFrame, right: DataFrame, column: str, exact: list[st
         .where(left_over >= need).where(F.size(F.array_intersect("_ba", "_bb")) >= need)
     )
     # A pair may meet at several runs.
-    once = candidates.groupBy(*exact, "_ta", "_tb").agg(F.lit(1).alias("_one"))
+    once = candidates.groupBy(*exact, "_ta", "_tb").agg(F.lit(1).alias("_one")).where(rule.near(F.col("_ta"), F.col("_tb")))
     scored = once.withColumn("score", rule.score(F.col("_ta"), F.col("_tb")))
     return scored.where(rule.accept(F.col("score"))).select(
         *exact, F.col("_ta").alias("text"), F.col("_tb").alias("choice"), "score"

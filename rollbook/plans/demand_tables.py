@@ -23,7 +23,7 @@ def first_choices(options: DataFrame, tie_break: list[str], year: str = "academi
 
 def applicants_by_year(first: DataFrame, unit: str, year: str = "academic_year", years: list[int] | None = None) -> DataFrame:
     """First-choice applicants of each trade or institute, one column per year, total first."""
-    table = R.pivot_distinct(first, [unit], year, "aadhar_no", years)
+    table = R.pivot_distinct(first, [unit], year, "aadhar_no", years, rest=True)
     return R.with_row_total(table, [unit], name="Applicants")
 
 
@@ -33,7 +33,7 @@ def seats_by_year(strength: DataFrame, unit: str, years: list[int] | None = None
     Only the ``Total`` category counts; ``compat`` adds up every category.
     """
     rows = strength if compat else strength.where(F.col("category") == "Total")
-    table = R.pivot_sum(rows, [unit], "academic_year", "strength", years)
+    table = R.pivot_sum(rows, [unit], "academic_year", "strength", years, rest=True)
     return R.with_row_total(table, [unit], name="Total Seats")
 
 

@@ -35,7 +35,7 @@ def combined_over_time(iti: DataFrame, diploma: DataFrame, measure: str) -> Data
 
 def enrollments_by_type(enrolled: DataFrame) -> DataFrame:
     """Shares of private and government institutes per year after 2017."""
-    table = R.pivot_distinct(enrolled.where(F.col("academic_year") > 2017), ["academic_year"], "type_of_institute", "aadhar_no", KINDS)
+    table = R.pivot_distinct(enrolled.where(F.col("academic_year") > 2017), ["academic_year"], "type_of_institute", "aadhar_no", KINDS, rest=True)
     out = R.row_percentages(table, ["Pvt.", "Govt."], STUDENTS, ["Pvt (%)", "Govt (%)"], [1, 1])
     return out.withColumnRenamed("academic_year", "Year")
 
@@ -58,7 +58,7 @@ def _with_kind(strength: DataFrame, enrolled: DataFrame) -> DataFrame:
 def enrollments_and_institutes(enrolled: DataFrame, strength: DataFrame) -> DataFrame:
     """Students and institutes per year and type, columns "<type>_<measure>"."""
     def measure(df: DataFrame, column: str, label: str) -> DataFrame:
-        wide = R.pivot_distinct(df, ["academic_year"], "type_of_institute", column, KINDS)
+        wide = R.pivot_distinct(df, ["academic_year"], "type_of_institute", column, KINDS, rest=True)
         total = R.with_row_total(wide, ["academic_year"], first=False)
         return R.wide_to_long(total, ["academic_year"], [*KINDS, "Total"], "type_of_institute", label)
 
@@ -143,7 +143,7 @@ def top_boards(marks_in_year: DataFrame, k: int = 5) -> DataFrame:
 
 
 def institutes_by_type(strength: DataFrame, enrolled: DataFrame) -> DataFrame:
-    table = R.pivot_distinct(_with_kind(strength, enrolled), ["academic_year"], "type_of_institute", "sams_code", KINDS)
+    table = R.pivot_distinct(_with_kind(strength, enrolled), ["academic_year"], "type_of_institute", "sams_code", KINDS, rest=True)
     out = R.row_percentages(table, ["Pvt.", "Govt."], INSTITUTES, ["Pvt (%)", "Govt (%)"], [1, 1], drop=False)
     return out.withColumnRenamed("academic_year", "Year")
 
@@ -230,10 +230,10 @@ def share_below_income(enrolled: DataFrame, low: list[str]) -> DataFrame:
 
 
 def _levels_and_shares(rows: DataFrame, column: str, values: list[str] | None) -> tuple[DataFrame, DataFrame]:
-    levels = R.pivot_distinct(rows, ["gender"], column, "aadhar_no", values)
-    cells = [c for c in levels.columns if c != "gender"]
+    levels = R.pivot_distinct(rows, ["gender"], column, "aadhar_no", values, rest=True)
+    cells = [c for c in levels.columns if c not in ("gender", R.REST)]
     shares = R.row_percentages(levels, cells, STUDENTS, [f"{c} (%)" for c in cells], [1] * len(cells))
-    return levels, shares
+    return levels.drop(R.REST), shares
 
 
 def qualification_by_gender(enrolled_in_year: DataFrame, values: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
@@ -270,7 +270,7 @@ def vacancy_histogram(vacancy_rows: DataFrame, kind: str, width: float = 1.0) ->
 
 def cross_counts(rows: DataFrame, index: str, column: str, values: list[str] | None = None) -> DataFrame:
     """Rows per cell, with the total last."""
-    return R.with_row_total(R.pivot_count(rows, [index], column, values, "aadhar_no"), [index], first=False)
+    return R.with_row_total(R.pivot_count(rows, [index], column, values, "aadhar_no", rest=True), [index], first=False)
 
 
 def cross_percentages(counts: DataFrame, index: str, as_text: bool = True) -> DataFrame:

@@ -55,7 +55,7 @@ def compartments_by_year(rows: DataFrame) -> DataFrame:
 
 def subjects_by_year(rows: DataFrame, years: list[int] | None = None) -> DataFrame:
     """Students per compartment subject and year, with the row total last."""
-    table = R.pivot_distinct(rows, ["comp_subject"], "academic_year", "barcode", years)
+    table = R.pivot_distinct(rows, ["comp_subject"], "academic_year", "barcode", years, rest=True)
     return R.with_row_total(table, ["comp_subject"], first=False, name="Total Count")
 
 
@@ -103,7 +103,7 @@ def flagged_without_subjects(rows: DataFrame, subjects_size) -> DataFrame:
 
 
 def genders_by_year(rows: DataFrame) -> DataFrame:
-    table = R.pivot_count(rows, ["academic_year"], "gender", ["Male", "Female", "Transgender"])
+    table = R.pivot_count(rows, ["academic_year"], "gender", ["Male", "Female", "Transgender"], rest=True)
     total = R.with_row_total(table, ["academic_year"])
     return total.withColumnsRenamed({"academic_year": "Year", "Transgender": "Trans"})
 

@@ -81,16 +81,16 @@ def trainee_table(df: DataFrame, measure: str, gender: str | None = None, kinds:
     if measure == "passed":
         rows = rows.where("passed")
     if measure in ("admitted", "passed"):
-        table = pivot_distinct(rows, ["year"], "type_of_institute", "roll_num", kinds)
+        table = pivot_distinct(rows, ["year"], "type_of_institute", "roll_num", kinds, rest=True)
     else:
-        table = pivot_sum(rows, ["year"], "type_of_institute", measure, kinds)
+        table = pivot_sum(rows, ["year"], "type_of_institute", measure, kinds, rest=True)
     return with_row_total(table, ["year"])
 
 
 def admitted_students(enrolled: DataFrame, gender: str | None = None, kinds: list[str] | None = None) -> DataFrame:
     """Enrolled persons per year after 2017 and institute type, with the total first."""
     rows = enrolled.where(F.col("gender") == gender) if gender else enrolled
-    table = pivot_distinct(rows.where(F.col("year") > 2017), ["year"], "type_of_institute", "aadhar_no", kinds)
+    table = pivot_distinct(rows.where(F.col("year") > 2017), ["year"], "type_of_institute", "aadhar_no", kinds, rest=True)
     return with_row_total(table, ["year"])
 
 

@@ -140,3 +140,18 @@ def test_similarity():
     assert indel_ratio("x", "x") == 100 and indel_ratio("ab", "cd") == 0
     assert indel_ratio("apple", "appl") == indel_ratio("appl", "apple") == pytest.approx(800 / 9)
     assert osa_distance("ca", "ac") == 1 and osa_distance("ca", "abc") == 3 and osa_distance("kitten", "sitting") == 3
+
+
+def test_numbers_are_plain_decimals(values):
+    from rollbook.functions import values as V
+
+    got = values(V.number, ["5d", "5f", "0x1p3", "1990d", "NaN", "Infinity", "", "1e", ".", "5", " 5.5 ", "-.5e2", "+3.", None])
+    assert got == [None] * 9 + [5.0, 5.5, -50.0, 3.0, None]
+    assert values(V.passing_year, ["1990d", "1990"]) == [None, 1990.0]
+
+
+def test_long_texts_stay_whole(values):
+    from rollbook.functions import categories as C, text as X
+
+    assert values(X.roll_tail, ["r" + "x" * 5000]) == ["00" + "x" * 5000]
+    assert len(values(C.titled_qualification, ["+2 " + "ab " * 2000])[0]) >= 5999

@@ -195,3 +195,35 @@ def test_bins_take_the_lowest_edge(spark):
     label = lambda lowest: A.bin_label(F.col("v"), [1, 5, 10], ["1-5", "6-10"], lowest)
     assert [r[0] for r in df.select(label(True)).collect()] == ["1-5", "1-5", "6-10", None]
     assert [r[0] for r in df.select(label(False)).collect()] == [None, "1-5", "6-10", None]
+
+
+def test_totals_count_values_outside_the_list(spark):
+    rows = spark.createDataFrame([("a", "Female"), ("a", "Male"), ("a", "Transgender"), ("a", None)], "k string, g string")
+    table = R.pivot_count(rows, ["k"], "g", ["Female", "Male"], rest=True)
+    assert tuple(R.with_row_total(table, ["k"]).first()) == ("a", 3, 1, 1)
+    shares = R.row_percentages(table, ["Female", "Male"], "n", ["f", "m"], [1, 1])
+    assert shares.columns == ["k", "f", "m", "n"] and tuple(shares.first()) == ("a", 33.3, 33.3, 3)
+
+
+def test_quantiles_take_infinity_and_skip_nan(spark):
+    from rollbook.operators.quantiles import count_values, distribution
+
+    rows = spark.createDataFrame([(x,) for x in (1.0, 2.0, 3.0, float("nan"), float("inf"), None, -float("inf"))], "x double")
+    out = distribution(count_values(rows, "x", []), [], {"low": 0.0, "mid": 0.5, "high": 1.0}).first()
+    assert (out["n"], out["low"], out["mid"], out["high"]) == (5, -float("inf"), 2.0, float("inf"))
+
+
+def test_narrow_range_far_from_zero(spark):
+    from rollbook.operators.quantiles import _bucket, _finer, count_values, distribution
+
+    rows = spark.range(200000).select((F.lit(1.6e12) + F.col("id") * 4999).alias("x"))
+    out = distribution(count_values(rows, "x", []), [], {"p": 0.25}).first()
+    assert out["p"] == 1.6e12 + 49999.75 * 4999
+    assert rows.groupBy(_bucket(F.col("x")), _finer(F.col("x"))).count().agg(F.max("count")).first()[0] < 10
+
+
+def test_welch_t_without_variance(spark):
+    from rollbook.operators.stats import welch_t
+
+    out = welch_t(spark.createDataFrame([("a", 1.0), ("a", 1.0), ("b", 2.0), ("b", 2.0)], "g string, v double"), "g", "v", "a", "b").first()
+    assert out["t"] is None and out["mean_2"] == 2.0
