@@ -767,7 +767,7 @@ def inventory(t):
     return listed(t.spark, {"nation": t.nation, "orders": t.orders})
 
 
-@query("row_sample")
+@query("row_sample", "SELECT * FROM orders WHERE ('0x' || substr(md5(CAST(o_orderkey AS VARCHAR) || ':42'), 1, 8))::BIGINT < 429496729")
 def row_sample(t):
-    """A sampling operator; which rows it takes is up to the engine."""
-    return P.row_sample(t.orders, 0.1)
+    """A sampling operator; a digest of the key decides."""
+    return P.row_sample(t.orders, 0.1, by=["o_orderkey"])

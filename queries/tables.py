@@ -251,14 +251,18 @@ def fuzzy_join_parts(t):
     return fuzzy_join(left, right, "p_name", ["p_type"], "left", 70)
 
 
-@query("fuzzy_best_match")
+@query("fuzzy_best_match", r"""
+WITH l AS (SELECT p_partkey, substr(p_name,1,1) || substr(p_name,3) AS p_name FROM part), r AS (SELECT DISTINCT p_name AS choice FROM part),
+d AS (SELECT DISTINCT p_name, '%' || regexp_replace(p_name, '(.)', '\1%', 'g') AS pattern FROM l),
+m AS (SELECT p_name, arg_min(choice, (length(choice), choice)) AS found FROM d JOIN r ON choice LIKE pattern GROUP BY 1)
+SELECT p_partkey, p_name, found FROM l LEFT JOIN m USING (p_name)""")
 def fuzzy_best_match(t):
-    """Best part name for names with their first two letters swapped; tested against brute force."""
+    """Best part name for names without their second letter: the shortest that holds the letters in order."""
     from rollbook.operators.fuzzy import best_fuzzy_match
 
-    swapped = F.concat(F.substring("p_name", 2, 1), F.substring("p_name", 1, 1), F.substr("p_name", F.lit(3)))
-    names = t.part.select(swapped.alias("p_name"), "p_partkey")
-    return best_fuzzy_match(names, "p_name", t.part.select("p_name").distinct(), 80.0, "found")
+    short = F.concat(F.substring("p_name", 1, 1), F.substr("p_name", F.lit(3)))
+    names = t.part.select(short.alias("p_name"), "p_partkey")
+    return best_fuzzy_match(names, "p_name", t.part.select("p_name").distinct(), 80.0, "found").select("p_partkey", "p_name", "found")
 
 
 @query("osa_match", """
@@ -965,13 +969,38 @@ def trend(t):
 
 
 @query("ols", """
-WITH m AS (SELECT c_mktsegment, AVG(o_totalprice) AS m FROM orders JOIN customer ON o_custkey=c_custkey GROUP BY 1), r AS (SELECT m FROM m WHERE c_mktsegment='BUILDING')
-SELECT CASE WHEN c_mktsegment='BUILDING' THEN '(intercept)' ELSE 'c_mktsegment=' || c_mktsegment END AS term, ROUND(CASE WHEN c_mktsegment='BUILDING' THEN m.m ELSE m.m-(SELECT m FROM r) END,2) AS coefficient FROM m""")
+WITH g AS (SELECT c_mktsegment AS s, COUNT(*) AS n, AVG(o_totalprice) AS m, VAR_SAMP(o_totalprice)*(COUNT(*)-1) AS sse FROM orders JOIN customer ON o_custkey=c_custkey GROUP BY 1),
+v AS (SELECT SUM(sse)/(SUM(n)-COUNT(*)) AS v FROM g), r AS (SELECT m AS rm, n AS rn FROM g WHERE s='BUILDING'),
+c AS (SELECT CASE WHEN s='BUILDING' THEN '(intercept)' ELSE 'c_mktsegment=' || s END AS term, CASE WHEN s='BUILDING' THEN m ELSE m-rm END AS coefficient,
+ sqrt(v*(CASE WHEN s='BUILDING' THEN 1.0::DOUBLE/n ELSE 1.0::DOUBLE/n+1.0::DOUBLE/rn END)) AS std_error FROM g, v, r)
+SELECT term, ROUND(coefficient,2) AS coefficient, ROUND(std_error,3) AS std_error, ROUND(coefficient/std_error,4) AS t FROM c""")
 def ols_one_factor(t):
     from rollbook.operators.stats import ols
 
     rows = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-    return rounded(ols(rows, "o_totalprice", ["c_mktsegment"], {"c_mktsegment": "BUILDING"}).select("term", "coefficient"), 2, "coefficient")
+    out = ols(rows, "o_totalprice", ["c_mktsegment"], {"c_mktsegment": "BUILDING"}).select("term", "coefficient", "std_error", "t")
+    return rounded(rounded(rounded(out, 2, "coefficient"), 3, "std_error"), 4, "t")
+
+
+@query("ols_residuals", """
+SELECT 'c_mktsegment' AS factor, c_mktsegment AS level, 0.0::DOUBLE AS residual FROM customer JOIN orders ON o_custkey=c_custkey GROUP BY ALL
+UNION ALL SELECT 'o_orderstatus', o_orderstatus, 0.0::DOUBLE FROM orders JOIN customer ON o_custkey=c_custkey GROUP BY ALL
+UNION ALL SELECT 'o_orderpriority', o_orderpriority, 0.0::DOUBLE FROM orders JOIN customer ON o_custkey=c_custkey GROUP BY ALL""")
+def ols_residuals(t):
+    """Mean residual per level of three factors; least squares makes each of them zero."""
+    from rollbook.operators.stats import ols
+
+    rows = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    reference = {"c_mktsegment": "BUILDING", "o_orderstatus": "F", "o_orderpriority": "1-URGENT"}
+    fitted = ols(rows, "o_totalprice", list(reference), reference).select("term", "coefficient")
+    # One map of a coefficient per level, as a scalar subquery.
+    terms = fitted.agg(F.map_from_entries(F.collect_list(F.struct("term", "coefficient")))).scalar()
+    effect = lambda name: F.coalesce(F.try_element_at("_c", F.concat(F.lit(f"{name}="), F.col(name))), F.lit(0.0))
+    guess = F.try_element_at("_c", F.lit("(intercept)")) + sum((effect(n) for n in reference), F.lit(0.0))
+    left = rows.withColumn("_c", terms).withColumn("residual", F.col("o_totalprice") - guess)
+    levels = F.explode(F.array(*[F.struct(F.lit(n).alias("factor"), F.col(n).alias("level")) for n in reference]))
+    means = left.select(levels.alias("x"), "residual").groupBy("x.factor", "x.level").agg(F.avg("residual").alias("residual"))
+    return means.withColumn("residual", F.abs(F.round("residual", 3)))
 
 
 @query("ols_nested")

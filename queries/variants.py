@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from queries import standins as S, tables as T
 from queries.base import query
-from queries.datasets import LAMBERT, MATCHED, PLACES, _with, located, matched
+from queries.datasets import LAMBERT, PLACES, _with, located
+from rollbook.functions import payload as Y
 from rollbook.operators import aggregate as A
-from rollbook.plans import enrollment_tables as ET, trainees as TR, vocational as VO
+from rollbook.plans import demand_tables as DM, enrollment_tables as ET, school_tables as ST, trainees as TR, vocational as VO
 
 sql, ITI, DIPLOMA, iti, diploma = S.sql, T.ITI, T.DIPLOMA, T.iti, T.diploma
 
@@ -165,6 +166,13 @@ def cutoff_by_trade_and_gender(t):
     return ET.mean_cutoffs(ET.cutoffs_with_type(ET.in_year(S.cutoff_rows(t)), ET.in_year(iti(t))), "gender", ET.GENDERS)
 
 
+@query("iti_second_institute_cutoffs_2023", sql("""
+SELECT trade AS "Trade", gender AS "Gender", round_even(AVG(cutoff) FILTER (social_category='UR'),1) AS "UR", round_even(AVG(cutoff) FILTER (social_category='SC'),1) AS "SC", CAST(NULL AS DOUBLE) AS "ST"
+FROM cutoffs WHERE module='ITI' AND academic_year=2023 AND contains(institute_name,'ITI Supplier#00000001') AND qual='10th Pass' AND trade IN ('Brand#1','Brand#11') AND NOT contains(applicant_type,'OMC') GROUP BY 1,2"""))
+def second_institute_cutoffs(t):
+    return ET.institute_cutoffs(ET.in_year(S.cutoff_rows(t)), "ITI Supplier#00000001", "10th Pass", ["UR", "SC", "ST"], ["Brand#1", "Brand#11"], "OMC")
+
+
 @query("distance_by_gender_2023", _with(PLACES + ",\n" + LAMBERT, f"""SELECT gender AS "Gender", {T.STATS} FROM (SELECT gender, distance AS v FROM located WHERE academic_year=2023) GROUP BY 1"""))
 def distance_by_gender(t):
     return A.summary_stats(ET.in_year(located(t)), "distance", "gender", "Gender")
@@ -196,10 +204,63 @@ def diploma_institutes_enrollments(t):
 
 
 @query("quantiles_of_timestamps", """
-SELECT event_type, quantile_cont(x, 0.25) AS p25, quantile_cont(x, 0.5) AS p50, quantile_cont(x, 0.99) AS p99 FROM (SELECT event_type, epoch_us(ts)::DOUBLE AS x FROM events) GROUP BY 1""")
+SELECT event_type, ROUND(quantile_cont(x, 0.25), 1) AS p25, ROUND(quantile_cont(x, 0.5), 1) AS p50, ROUND(quantile_cont(x, 0.99), 1) AS p99 FROM (SELECT event_type, epoch_us(ts)/1000.0::DOUBLE AS x FROM events) GROUP BY 1""")
 def quantiles_of_timestamps(t):
     """Values far from zero in a narrow range, which fall into few buckets."""
     from rollbook.operators.quantiles import quantiles
 
-    rows = t.events.select("event_type", F.unix_micros(F.col("ts").cast("timestamp")).alias("x"))
-    return quantiles(rows, "x", ["event_type"], {"p25": 0.25, "p50": 0.5, "p99": 0.99})
+    rows = t.events.select("event_type", (F.unix_micros(F.col("ts").cast("timestamp")) / 1000).alias("x"))
+    return T.rounded(quantiles(rows, "x", ["event_type"], {"p25": 0.25, "p50": 0.5, "p99": 0.99}), 1, "p25", "p50", "p99")
+
+
+# --- seats, demand and compartments by place ----------------------------------------------
+
+_PLACED = """d AS (SELECT 'ITI ' || s_name AS institute_name, n_name AS institute_district, 'ITI ' || s_name || ', ' || n_name AS institute_place FROM supplier JOIN nation ON s_nationkey=n_nationkey),
+ps AS (SELECT * FROM seats JOIN d USING (institute_name)), pf AS (SELECT * FROM firsts JOIN d USING (institute_name))"""
+
+
+def placed(t, rows):
+    """Rows of institutes with their district, and institute and district in one name."""
+    homes = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
+    name = F.concat(F.lit("ITI "), "s_name")
+    places = homes.select(name.alias("institute_name"), F.col("n_name").alias("institute_district"), F.concat(name, F.lit(", "), "n_name").alias("institute_place"))
+    return rows.drop("institute_district").join(places, "institute_name")
+
+
+for _name, _unit in (("district", "institute_district"), ("institute_district", "institute_place")):
+    @query(f"seats_against_demand_by_{_name}", _with(T.OPTIONS + ",\n" + _PLACED, f"""
+    SELECT {_unit}, seats, applicants, seats-applicants AS available_seats, CASE WHEN applicants>seats*1.1 THEN 'Overutilized' WHEN applicants<seats*0.9 THEN 'Underutilized' ELSE 'Balanced' END AS utilisation
+    FROM (SELECT {_unit}, SUM(strength) AS seats FROM ps GROUP BY 1) JOIN (SELECT {_unit}, COUNT(DISTINCT (academic_year, aadhar_no)) AS applicants FROM pf GROUP BY 1) USING ({_unit})"""))
+    def demand_by_place(t, unit=_unit):
+        s = DM.seats_by_year(placed(t, T.seats(t)), unit, T.YEARS)
+        a = DM.applicants_by_year(placed(t, T.first_options(t)), unit, years=T.YEARS)
+        return DM.seats_against_applicants(s, a, unit)
+
+
+@query("hss_compartments_by_district", sql("""
+SELECT district, COUNT(DISTINCT barcode) AS students, ROUND(100*COUNT(DISTINCT barcode)::DOUBLE/SUM(COUNT(DISTINCT barcode)) OVER (),6) AS share
+FROM people WHERE module='HSS' AND o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag='R') GROUP BY 1"""))
+def hss_compartments_by_district(t):
+    return T.rounded(ST.compartments_by(T.hss_students(t), "district"), 6, "share")
+
+
+def _last_exam(t):
+    """HSS students with the board and type of their first listed examination."""
+    marks = Y.json_records(F.col("mark_data"), ["HighestQualificationExamBoard", "ExaminationType"])
+    first = F.get(marks, 0)
+    rows = T.hss_students(t)
+    return rows.select("barcode", "compartmental_status", first["HighestQualificationExamBoard"].alias("board"), first["ExaminationType"].alias("examination_type"))
+
+
+for _name, _value in (("board", "CASE WHEN l.l_linestatus='O' THEN 'BSE, ODISHA' ELSE 'CBSE' END"), ("examination_type", "'Annual'")):
+    @query(f"hss_compartments_by_{_name}", sql(f"""
+    SELECT {_name}, COUNT(DISTINCT barcode) AS students, ROUND(100*COUNT(DISTINCT barcode)::DOUBLE/SUM(COUNT(DISTINCT barcode)) OVER (),6) AS share FROM
+     (SELECT barcode, {_value} AS {_name} FROM people JOIN line1 l ON o_orderkey=l.l_orderkey WHERE module='HSS' AND o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag='R')) GROUP BY 1"""))
+    def hss_compartments_by_exam(t, name=_name):
+        return T.rounded(ST.compartments_by(_last_exam(t), name), 6, "share")
+
+
+@query("marks_by_board", sql(f"""
+SELECT highest_qualification_exam_board AS "Board", {T.STATS} FROM (SELECT highest_qualification_exam_board, percentage AS v FROM marks WHERE module='ITI' AND academic_year=2023) GROUP BY 1"""))
+def marks_by_board(t):
+    return A.summary_stats(ET.in_year(S.mark_rows(t, "ITI")), "percentage", "highest_qualification_exam_board", "Board")

@@ -82,6 +82,13 @@ def percentage_mismatch(
     return F.abs(computed - stored) > tolerance
 
 
-def row_sample(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
-    """A random part of the rows for inspection."""
-    return df.sample(False, fraction, seed)
+def row_sample(df: DataFrame, fraction: float, seed: int = 42, by: list[str] | None = None) -> DataFrame:
+    """A random part of the rows for inspection.
+
+    With ``by`` a digest of those columns and the seed decides, so the same rows
+    are taken whatever the partitions, and by any engine that has MD5.
+    """
+    if by is None:
+        return df.sample(False, fraction, seed)
+    digest = F.md5(F.concat_ws(":", *[F.col(c).cast("string") for c in by], F.lit(str(seed))))
+    return df.where(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") < int(fraction * (1 << 32)))
