@@ -8,6 +8,7 @@ found is taken out as often as its lengths last. Spark then gives the n-th piece
 
 from __future__ import annotations
 
+import functools
 import zlib
 from collections.abc import Iterator
 
@@ -18,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rollbook.llm.shared import written
+from rollbook.llm.shared import arrow_rows, written
 
 
 def fullest(room: int, counts: dict[int, int], lengths: list[int]) -> dict[int, int]:
@@ -96,20 +97,25 @@ class Encoder:
     """
 
     def __init__(self, json_path: str, ranks_path: str | None, pattern: str):
-        from tokenizers import Tokenizer
-
-        self.standard = Tokenizer.from_file(json_path)
-        self.fast = None
+        self.json_path, self.fast = json_path, None
         if ranks_path:
             import base64
+            import json
 
             import tiktoken
 
             with open(ranks_path, "rb") as lines:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-            special = {t.content: i for i, t in self.standard.get_added_tokens_decoder().items()}
+            with open(json_path, encoding="utf-8") as file:
+                special = {t["content"]: t["id"] for t in json.load(file)["added_tokens"]}
             self.fast = tiktoken.Encoding("same", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
 
+    @functools.cached_property
+    def standard(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.json_path)
+
     def __call__(self, text: str) -> list[int]:
         if self.fast is not None:
             try:
@@ -187,7 +193,8 @@ def pack(
     all documents share is as spread as any.
     """
     run, kinds = _cut(capacity, end, encoder, with_ids)
-    pieces = written(docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(run, kinds), "pack-pieces")
+    with arrow_rows(docs.sparkSession, 512):
+        pieces = written(docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(run, kinds), "pack-pieces")
     parts = written(pieces.groupBy("part", "length").agg(F.count("*").alias("pieces")), "pack-counts")
     totals = {r["length"]: r["pieces"] for r in parts.groupBy("length").agg(F.sum("pieces").alias("pieces")).collect()}
     at = places(patterns(totals, capacity))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import contextlib
+from collections.abc import Iterator
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollbook.session import shared_folder
@@ -22,6 +25,18 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Inside, jobs send at most ``rows`` rows at a time to Python; whole texts make the default of 10,000 heavy."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def free_name(df: DataFrame, base: str) -> str:
     """``base``, lengthened until no column of the frame has that name."""
     taken = {c.lower() for c in df.columns}
