@@ -27,20 +27,21 @@ UNKNOWN = 10.0
 
 
 class Pieces:
-    """Pieces of a model with their scores, as a trie of nodes (children by character, id and score or None)."""
+    """Pieces of a model with their scores, as a trie of nodes: (look up a child by character, id, score); id -1 is no piece."""
 
     def __init__(self, names: list[str], scores: list[float], kinds: list[str], unknown_id: int = 0):
         self.names, self.kinds, self.unknown_id = names, kinds, unknown_id
         usable = [i for i, k in enumerate(kinds) if k == "piece"]
         self.bytes = {int(names[i][1:-1], 16): i for i, k in enumerate(kinds) if k == "byte"}
         whole = {names[i]: (i, round(scores[i] * 1e6)) for i in usable}
-        self.trie: tuple = ({}, None)
+        root: dict = {}
+        self.trie = (root.get, -1, 0)
+        children = {"": root}
         for name in whole:
-            node = self.trie
-            for k, c in enumerate(name, 1):
-                if c not in node[0]:
-                    node[0][c] = ({}, whole.get(name[:k]))
-                node = node[0][c]
+            for k in range(1, len(name) + 1):
+                if name[:k] not in children:
+                    own = children[name[:k]] = {}
+                    children[name[: k - 1]][name[k - 1]] = (own.get, *whole.get(name[:k], (-1, 0)))
         self.longest = max((len(names[i]) for i in usable), default=1)
         self.unknown = round((min((scores[i] for i in usable), default=0.0) - UNKNOWN) * 1e6)
         #: No piece goes on with a blank after another character, so every such place is a boundary of all paths.
@@ -104,24 +105,29 @@ class StreamingViterbi:
         """Extends all boundaries before ``until``, where every piece that starts there is in sight."""
         out: list[int] = []
         every, n = 2 * self.p.longest, len(self.text)
-        text, trie, score, back, piece, unknown = self.text, self.p.trie, self.score, self.back, self.piece, self.p.unknown
+        text, score, back, piece = self.text, self.score, self.back, self.piece
+        first, longest, unknown = self.p.trie[0], self.p.longest, self.p.unknown
         i = self.done
         while i < until:
-            here, node, alone, j = score[i], trie, False, i
+            here = score[i]
             if here is not None:
-                for c in text[i : i + self.p.longest]:
-                    node = node[0].get(c)
+                child, j, alone = first, i, False
+                for c in text[i : i + longest]:
+                    node = child(c)
                     if node is None:
                         break
                     j += 1
-                    hit = node[1]
-                    if hit is not None:
-                        if j == i + 1:
-                            alone = True
-                        new, old = here + hit[1], score[j]
+                    child, id_, new = node
+                    if id_ >= 0:
+                        new += here
+                        old = score[j]
                         # Starts come in ascending order, so of equal scores the first, the longer piece, stays.
                         if old is None or new > old:
-                            score[j], back[j], piece[j] = new, i, hit[0]
+                            score[j] = new
+                            back[j] = i
+                            piece[j] = id_
+                        if j == i + 1:
+                            alone = True
                 if not alone:
                     new, old = here + unknown, score[i + 1]
                     if old is None or new > old:
@@ -177,13 +183,15 @@ class Codec:
     twice ``memory`` of them; longer ones are streamed in blocks.
     """
 
-    def __init__(self, pieces: Pieces, memory: int = 150_000, block: int = 1024):
+    def __init__(self, pieces: Pieces, memory: int = 300_000, block: int = 1024):
         self.p, self.memory, self.block = pieces, memory, block
         self.young: dict[str, list[int]] = {}
         self.old: dict[str, list[int]] = {}
         self.parted = pieces.blanks_part and pieces.lines_part
         self.parts = re.compile(f"{BLANK}*[^{BLANK}]*")
         self.search = StreamingViterbi(pieces)
+        raw = {i: bytes([b]) for b, i in pieces.bytes.items()}
+        self.spelling = [raw.get(i, name.encode("utf-8")) for i, name in enumerate(pieces.names)]
 
     def stream(self, stretch: str) -> list[int]:
         if len(stretch) <= self.block:
@@ -228,8 +236,7 @@ class Codec:
 
     def decode(self, ids: list[int]) -> str:
         """The text; byte pieces are joined before they are read as UTF-8."""
-        names, raw = self.p.names, {i: b for b, i in self.p.bytes.items()}
-        joined = b"".join(bytes([raw[i]]) if i in raw else names[i].encode("utf-8") for i in ids)
+        joined = b"".join(map(self.spelling.__getitem__, ids))
         return joined.decode("utf-8", "surrogatepass").replace(BLANK, " ")[1:]
 
 

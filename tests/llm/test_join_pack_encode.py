@@ -196,8 +196,8 @@ def best_split(pieces, text):
     for n in flat:
         node = pieces.trie
         for c in n:
-            node = node[0][c]
-        score[n] = node[1][1]
+            node = node[0](c)
+        score[n] = node[2]
     for j in range(1, len(text) + 1):
         for i in range(max(0, j - pieces.longest), j):
             cut = text[i:j]
@@ -251,7 +251,7 @@ def test_unigram_model_keeps_its_scores():
         def unk_id(self): return 0
 
     pieces = viterbi.Pieces.of(Model())
-    assert pieces.trie[0]["a"][1] == (1, -1500000) and pieces.unknown == -12750000
+    assert pieces.trie[0]("a")[1:] == (1, -1500000) and pieces.unknown == -12750000
 
 
 def test_viterbi_rows(spark):
