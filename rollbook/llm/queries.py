@@ -158,6 +158,24 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return viterbi.round_trip(table(spark, folder, "documents"))
 
 
-@query("op9_license_rules")
+def _license_sql() -> str:
+    """The scan in SQL: sentences cut and named, then one subquery per rule."""
+    named = " ".join(f"WHEN regexp_matches(x, '{phrase}') THEN '{name}'" for name, phrase in licenses.SENTENCES)
+    state = "SELECT rid, doc_id, coalesce(seq, '') AS seq, coalesce(seq, '') AS rest, []::VARCHAR[] AS found FROM d LEFT JOIN q USING (rid)"
+    for name, ids in licenses.RULES:
+        part = "".join(f" {i} " for i in ids.split())
+        state = f"""SELECT rid, doc_id, seq, replace(rest, '{part}', '') AS rest,
+            CASE WHEN contains(rest, '{part}') AND NOT list_contains(found, '{name}') THEN list_append(found, '{name}') ELSE found END AS found FROM ({state})"""
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+c AS (SELECT rid, string_split(lower(regexp_replace(regexp_replace(text, '([^.;:!?\s])[ \t\r]*\n[ \t]*([a-z("])', '\1 \2', 'g'), '([.;:!?])\s+', '\1' || chr(10), 'g')), chr(10)) AS parts
+    FROM d WHERE regexp_matches(lower(text), '{licenses.HINT}')),
+u AS (SELECT rid, unnest(range(len(parts))) AS i, trim(regexp_replace(unnest(parts), '\s+', ' ', 'g'), ' ' || chr(10) || chr(9)) AS x FROM c),
+n AS (SELECT rid, i, CASE {named} END AS id FROM u WHERE regexp_matches(x, '{licenses.HINT}')),
+q AS (SELECT rid, string_agg(' ' || id || ' ', '' ORDER BY i) AS seq FROM n WHERE id IS NOT NULL GROUP BY rid)
+SELECT doc_id, trim(replace(seq, '  ', ' ')) AS sentence_ids, array_to_string(found, ',') AS licenses, trim(regexp_replace(rest, ' +', ' ', 'g')) AS unmatched FROM ({state})"""
+
+
+@query("op9_license_rules", _license_sql())
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "documents"))
