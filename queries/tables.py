@@ -195,7 +195,7 @@ SELECT type_of_institute, reported_institute, n AS "Num. students", ROUND(x,6) A
  (SELECT type_of_institute, reported_institute, COUNT(DISTINCT aadhar_no) AS n, MIN(institute_long) AS x, MIN(institute_lat) AS y FROM located WHERE academic_year=2023 GROUP BY 1,2)
 WHERE EXISTS (SELECT 1 FROM nation WHERE x >= 82+n_nationkey/5.0::DOUBLE-0.05 AND x < 82+n_nationkey/5.0::DOUBLE+0.05 AND y >= 17 AND y < 19+n_regionkey/2.0)"""))
 def itis_inside(t):
-    return rounded(ET.institute_points(ET.in_year(located(t)), boxes(t), 0.5), 6, "institute_long", "institute_lat")
+    return rounded(ET.institute_points(ET.in_year(located(t)), boxes(t)), 6, "institute_long", "institute_lat")
 
 
 @query("point_in_polygon", """
@@ -210,7 +210,7 @@ def point_in_polygon(t):
     sides = F.array(edge(x0, y0, x1, y0), edge(x1, y0, x1, y1), edge(x1, y1, x0, y1), edge(x0, y1, x0, y0))
     edges = t.nation.select(F.col("n_name").alias("poly_id"), F.inline(sides))
     points = t.customer.select("c_custkey", (F.col("c_nationkey") * 4 + F.col("c_acctbal") / 2000).alias("x"), (F.col("c_acctbal") / 1000).alias("y"))
-    return points.join(points_in_polygons(points, edges, "x", "y", 1.0), ["x", "y"]).select("c_custkey", "poly_id")
+    return points.join(points_in_polygons(points, edges, "x", "y"), ["x", "y"]).select("c_custkey", "poly_id")
 
 
 # --- approximate names ---------------------------------------------------------------

@@ -5,12 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def _cells(low: Column, high: Column, size: float) -> Column:
+def _cells(low: Column, high: Column, size: Column) -> Column:
     return F.explode(F.sequence(F.floor(low / size), F.floor(high / size)))
 
 
-def polygon_cells(edges: DataFrame, cell: float) -> DataFrame:
-    """For each grid cell of a polygon's box, the edges a ray to the right can cross.
+def cell_size(edges: DataFrame) -> Column:
+    """A grid with about as many cells as there are edges, as a scalar subquery."""
+    wide = F.max(F.greatest("x1", "x2")) - F.min(F.least("x1", "x2"))
+    high = F.max(F.greatest("y1", "y2")) - F.min(F.least("y1", "y2"))
+    size = F.greatest(wide, high) / F.ceil(F.sqrt(F.count(F.lit(1))))
+    return edges.agg(F.coalesce(F.when(size > 0, size), F.lit(1.0))).scalar()
+
+
+def edge_cells(edges: DataFrame, cell: Column) -> DataFrame:
+    """For each grid cell of a polygon's box, the edges a ray to the right can cross, one row each.
 
     Only edges that span the cell's row and do not end left of the cell are kept.
     """
@@ -21,34 +29,32 @@ def polygon_cells(edges: DataFrame, cell: float) -> DataFrame:
         "*", _cells(F.least("y1", "y2"), F.greatest("y1", "y2"), cell).alias("_cy")
     )
     spread = rows.join(boxes, "poly_id").select(
-        "poly_id", "_cy", F.struct("x1", "y1", "x2", "y2").alias("_edge"), "_w",
-        F.greatest("x1", "x2").alias("_right"), _cells(F.col("_w"), F.col("_e"), cell).alias("_cx"),
+        "poly_id", "_cy", "x1", "y1", "x2", "y2", _cells(F.col("_w"), F.col("_e"), cell).alias("_cx")
     )
-    useful = spread.where(F.col("_right") >= F.col("_cx") * cell)
-    return useful.groupBy("_cx", "_cy", "poly_id").agg(F.collect_list("_edge").alias("_edges"))
+    return spread.where(F.greatest("x1", "x2") >= F.col("_cx") * cell)
 
 
-def points_in_polygons(points: DataFrame, edges: DataFrame, x: str, y: str, cell: float = 1.0) -> DataFrame:
+def points_in_polygons(points: DataFrame, edges: DataFrame, x: str, y: str, cell: float | None = None) -> DataFrame:
     """Distinct (x, y, poly_id) with the point inside, by the even-odd rule.
 
-    Equal points are tested once, so a crowded place costs one row.
+    Equal points are tested once, so a crowded place costs one row. Points meet
+    single edges and crossings are counted, so no list of a polygon's edges is
+    gathered, and a crowded cell is a join key that adaptive execution can split.
+    Without ``cell`` the grid follows the edges' extent and number.
     """
+    size = cell_size(edges) if cell is None else F.lit(float(cell))
     spots = points.select(F.col(x).alias("_x"), F.col(y).alias("_y")).where(
         F.col(x).isNotNull() & F.col(y).isNotNull()
     ).distinct()
-    gridded = spots.withColumn("_cx", F.floor(F.col("_x") / cell)).withColumn("_cy", F.floor(F.col("_y") / cell))
-    near = gridded.join(polygon_cells(edges, cell), ["_cx", "_cy"])
-
-    def crosses(e: Column) -> Column:
-        spans = (e["y1"] > F.col("_y")) != (e["y2"] > F.col("_y"))
-        at = (e["x2"] - e["x1"]) * (F.col("_y") - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"]
-        return spans & (at > F.col("_x"))
-
-    inside = F.size(F.filter("_edges", crosses)) % 2 == 1
-    return near.where(inside).select(F.col("_x").alias(x), F.col("_y").alias(y), "poly_id")
+    gridded = spots.withColumn("_cx", F.floor(F.col("_x") / size)).withColumn("_cy", F.floor(F.col("_y") / size))
+    spans = (F.col("y1") > F.col("_y")) != (F.col("y2") > F.col("_y"))
+    at = (F.col("x2") - F.col("x1")) * (F.col("_y") - F.col("y1")) / (F.col("y2") - F.col("y1")) + F.col("x1")
+    crossed = gridded.join(edge_cells(edges, size), ["_cx", "_cy"]).where(spans & (at > F.col("_x")))
+    counts = crossed.groupBy("_x", "_y", "poly_id").agg(F.count(F.lit(1)).alias("_n"))
+    return counts.where(F.col("_n") % 2 == 1).select(F.col("_x").alias(x), F.col("_y").alias(y), "poly_id")
 
 
-def within_any(points: DataFrame, edges: DataFrame, x: str, y: str, cell: float = 1.0) -> DataFrame:
+def within_any(points: DataFrame, edges: DataFrame, x: str, y: str, cell: float | None = None) -> DataFrame:
     """Rows whose point lies in the union of the polygons."""
     hits = points_in_polygons(points, edges, x, y, cell).select(x, y).distinct()
     return points.join(hits, [x, y], "left_semi")

@@ -168,7 +168,7 @@ def student_locations(enrolled_in_year: DataFrame) -> DataFrame:
     return A.count_distinct_by(enrolled_in_year, ["student_long", "student_lat"], "aadhar_no", STUDENTS)
 
 
-def institute_points(enrolled_in_year: DataFrame, edges: DataFrame, cell: float = 1.0) -> DataFrame:
+def institute_points(enrolled_in_year: DataFrame, edges: DataFrame, cell: float | None = None) -> DataFrame:
     """Institutes with their point and persons, inside the polygons only."""
     known = A.with_keys(enrolled_in_year, ["type_of_institute", "reported_institute"])
     point = F.struct("institute_long", "institute_lat")

@@ -170,7 +170,7 @@ def _inside(x, y, ring):
     return hit
 
 
-@pytest.mark.parametrize("cell", [0.3, 1.0, 50.0])
+@pytest.mark.parametrize("cell", [None, 0.3, 1.0, 50.0])
 def test_points_in_polygons_equal_brute_force(spark, cell):
     rng = random.Random(9)
     rings = {f"p{i}": [(rng.uniform(-5, 5), rng.uniform(-5, 5)) for _ in range(rng.randint(3, 7))] for i in range(6)}
