@@ -97,7 +97,7 @@ def test_prefix_tree(percent):
     assert sorted(map(sorted, groups.values())) == sorted(sorted(k for k in want if want[k] == c) for c in set(want.values()))
 
 
-@pytest.mark.parametrize(("seed", "block"), [(1, 8_000_000), (4, 3000), (7, 300)])
+@pytest.mark.parametrize(("seed", "block"), [(1, 2_000_000), (4, 3000), (7, 300)])
 def test_linked_classes(spark, seed, block):
     rows = copies(seed) + [(1000, None), (1001, ""), (1002, " \n"), (None, "only null id here"), (1003, "Only NULL id here"), (1004, "x y"), (1004, "x y"), (5, "p q r s")]
     docs = spark.createDataFrame([(i, t, 1, "z") for i, t in rows], "doc_id long, text string, key int, node string")
