@@ -202,5 +202,6 @@ def pack(
     before = parts.select("part", "length", F.coalesce(F.sum("pieces").over(earlier), F.lit(0)).alias("before"))
     names = ["id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"] + ["ids"] * with_ids
     kinds = "id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long" + ", ids array<int>" * with_ids
-    ranked = pieces.join(before, ["part", "length"]).withColumn("rank", F.col("before") + F.col("seq"))
+    # Counts per task and length grow with the tasks, so they are not broadcast.
+    ranked = pieces.join(before.hint("merge"), ["part", "length"]).withColumn("rank", F.col("before") + F.col("seq"))
     return ranked.mapInPandas(_place(at, names), kinds).withColumnRenamed("id", id)
