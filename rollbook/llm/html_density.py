@@ -37,6 +37,7 @@ NOT_TEXT_WORDS = set(
     "notification pagination popup promo promoted promotion related replies reply search share sharing sidebar sidenav signup skip social "
     "sponsor sponsored subscribe toolbar topbar widget widgets alert".split()
 )
+BESIDE = set("has is no show with without".split())
 _TOKEN = re.compile(
     r"<!--(?:.*?-->|.*\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[/a-zA-Z][^>]*\Z|[^<]+|<", re.S
 )
@@ -61,9 +62,11 @@ def names_other(attributes: str, tag: str) -> bool:
     if not attributes or tag in ("html", "body", "article", "main"):
         return False
     for found in _NAMES.findall(attributes):
-        value = re.sub(r"([a-z])([A-Z])", r"\1 \2", found[0] or found[1] or found[2]).lower()
-        if not NOT_TEXT_WORDS.isdisjoint(_SPLIT.split(value)):
-            return True
+        for token in (found[0] or found[1] or found[2]).split():
+            parts = _SPLIT.split(re.sub(r"([a-z])([A-Z])", r"\1 \2", token).lower())
+            # "has-sidebar" says what stands beside the article.
+            if parts[0] not in BESIDE and not NOT_TEXT_WORDS.isdisjoint(parts):
+                return True
     return bool(_HIDDEN.search(attributes))
 
 

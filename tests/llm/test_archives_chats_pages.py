@@ -119,6 +119,7 @@ LONG = "This is a long enough paragraph of the article, with commas, to be told
         (f"<body><h1>Head</h1><div><p>{LONG}</p><p>{LONG}</p></div><ul><li><a>one</a><li><a>two</a><li><a>three</a></ul><script>var x='<p>{LONG}</p>'</script>", f"Head\n\n{LONG.strip()}\n\n{LONG.strip()}"),
         (f"<p>{LONG}</p><form><p>{LONG}</p></form><!-- <p>no</p> --><style>p{{}}</style><p>last &am", f"{LONG.strip()}\n\nlast &am"),
         (f"<p>{LONG}</p><p>cut <a hre", f"{LONG.strip()}\n\ncut"),
+        (f"<div class='page has-sidebar'><p>{LONG}</p></div><div class='page commentList'><p>{LONG * 3}</p></div><div role=banner>{LONG}</div>", LONG.strip()),
     ],
 )
 def test_main_text(page, text):
