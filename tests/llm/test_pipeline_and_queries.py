@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import random
 
 import duckdb
 import pytest
@@ -66,3 +67,25 @@ def test_pipeline_of_hard_rows(spark):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, "")
     assert [r.doc_id for r in docs.collect()] == [3, 3] and docs.columns[-1] == "mark"
+
+
+def test_near_duplicate_stage_takes_five_words_and_four_fifths(spark):
+    rng, rows = random.Random(12), []
+    for _ in range(40):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(rng.choice([30, 60, 150, 400]))]
+        for _ in range(3):
+            now = list(base)
+            for k in rng.sample(range(len(now)), max(1, round(len(now) * rng.choice([0.006, 0.009, 0.012])))):
+                now[k] = f"w{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(now)))
+    five = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.split() for _, t in rows)]
+    likeness = {(i, j): len(five[i] & five[j]) / len(five[i] | five[j]) for j in range(len(rows)) for i in range(j)}
+    least = list(range(len(rows)))
+    for _ in rows:
+        for (i, j), x in likeness.items():
+            if x >= 0.8:
+                least[i] = least[j] = min(least[i], least[j])
+    assert sum(0.8 <= x < 0.9 for x in likeness.values()) > 10
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()}
+    assert got == {i for i, k in enumerate(least) if i == k}
