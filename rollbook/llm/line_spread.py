@@ -9,30 +9,43 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.llm.shared import free_name, let, longest, normal_lines, written
+from rollbook.llm.shared import free_name, let, normal_lines, written
 
 
 def _mark(id: str, text: str) -> Column:
     return F.xxhash64(F.xxhash64(id), F.xxhash64(text))
 
 
-def spread_lines(measured: DataFrame, least_sites: int, log_k: int = 10, band: float = 0.25) -> DataFrame:
-    """Hashes of the lines to remove, from ``measured`` (site, copy, family, lines as distinct hashes).
+def spread_lines(measured: DataFrame, least_sites: int, least_chars: int = 1, log_k: int = 10, band: float = 0.25) -> DataFrame:
+    """Hashes of the lines to remove, from ``measured`` (row, site, lines as distinct structs of hash h and length n).
 
     ``log_k`` is the log2 of the sketch's registers (3.3 percent standard error at 10); an estimate below
     the threshold by more than ``band`` of it decides alone, over seven standard errors away.
     """
-    line = measured.select("site", "copy", "family", F.explode("lines").alias("line"))
+    line = measured.select("row", "site", F.explode("lines").alias("x")).where(F.col("x.n") >= least_chars).select("row", "site", F.col("x.h").alias("line"))
     near = written(
         line.groupBy("line").agg(F.hll_sketch_agg("site", F.lit(log_k)).alias("sites"))
         .where(F.hll_sketch_estimate("sites") >= least_sites * (1 - band)).select("line"),
         "spread-near",
     )
-    exact = line.join(near, "line").groupBy("line").agg(
-        F.countDistinct("site").alias("sites"), F.countDistinct("copy").alias("texts"), F.countDistinct("family").alias("families")
+    exact = line.join(near, "line").groupBy("line").agg(F.countDistinct("site").alias("sites"))
+    wide = written(exact.where(F.col("sites") >= least_sites).select("line"), "spread-wide")
+    held = written(line.join(wide, "line").groupBy("row").agg(F.collect_set("line").alias("wide")), "spread-held")
+    # Without the line judged, a text is known by its longest own line, or by a wide one if it is little else.
+    by_length = lambda lines: F.sort_array(F.transform(lines, lambda x: F.struct(x["n"], x["h"])), asc=False)
+    chars = lambda lines: F.aggregate(lines, F.lit(0).cast("long"), lambda a, x: a + x["n"])
+    parts = measured.join(held.hint("merge"), "row").select(
+        by_length(F.filter("lines", lambda x: ~F.array_contains("wide", x["h"]))).alias("own"),
+        by_length(F.filter("lines", lambda x: F.array_contains("wide", x["h"]))).alias("shared"),
+    ).select(
+        "shared", F.get("own", F.lit(0))["h"].alias("own"), chars(F.col("own")).alias("own_chars"), chars(F.col("shared")).alias("shared_chars")
     )
-    over = (F.col("sites") >= least_sites) & (F.col("families") >= least_sites) & (2 * F.col("families") >= F.col("texts"))
-    return exact.where(over).select("line")
+    judged = parts.select("*", F.get("shared", F.lit(0))["h"].alias("first"), F.get("shared", F.lit(1))["h"].alias("second"), F.explode("shared").alias("x"))
+    unlike = 4 * F.col("own_chars") >= F.col("shared_chars") - F.col("x.n")
+    other = F.when(F.col("x.h") == F.col("first"), F.col("second")).otherwise(F.col("first"))
+    family = F.coalesce(F.when(unlike, F.col("own")), other, "own", F.lit(0).cast("long"))
+    families = judged.select(F.col("x.h").alias("line"), family.alias("family")).groupBy("line").agg(F.countDistinct("family").alias("families"))
+    return families.where(F.col("families") >= least_sites).select("line")
 
 
 def without_spread(
@@ -41,30 +54,25 @@ def without_spread(
     """All documents and their columns; ``text`` without its spread lines, and a new last column ``n_removed``.
 
     Lines are equal after normalising (letter case A-Z, digits, white space). A line is spread when at
-    least ``least_sites`` distinct sites hold it, in at least as many families of texts, which are at
-    least half as many as the texts: texts that share their longest line are one family, so a text
-    copied to many sites keeps its lines. Lines shorter than ``least_chars`` stay, as do empty ones.
+    least ``least_sites`` distinct sites hold it, in at least as many families of texts, so a text copied
+    to many sites keeps its lines, and copies beside unlike texts change nothing. A family has one longest
+    line beside the line judged: of the lines that fewer sites hold, if these are a fifth of the rest of
+    the text, and else of the others. Lines shorter than ``least_chars`` stay, as do empty ones.
 
     Null text stays null, a null site counts as one site, repeated rows are treated alike. Only hashes are
     aggregated; the texts move once, to meet the lines that their own document loses.
     """
     mark, drops, out = free_name(docs, "mark"), free_name(docs, "drops"), "n_removed"
     def found(lines: Column) -> Column:
-        long_enough = F.filter(lines, lambda x: (x != "") & (F.length(x) >= least_chars))
-        return F.struct(
-            F.array_distinct(F.transform(long_enough, lambda x: F.xxhash64(x))).alias("lines"), F.xxhash64(longest(lines)).alias("family")
-        )
+        return F.array_distinct(F.transform(F.filter(lines, lambda x: x != ""), lambda x: F.struct(F.xxhash64(x).alias("h"), F.length(x).alias("n"))))
 
     measured = written(
-        docs.select(
-            _mark(id, text).alias("row"), F.xxhash64(site).alias("site"), F.xxhash64(text).alias("copy"),
-            let(normal_lines(F.col(text)), found).alias("found"),
-        ).select("row", "site", "copy", "found.*"),
+        docs.select(_mark(id, text).alias("row"), F.xxhash64(site).alias("site"), found(normal_lines(F.col(text))).alias("lines")),
         "spread-measured",
     )
-    spread = written(spread_lines(measured, least_sites), "spread-lines")
+    spread = written(spread_lines(measured, least_sites, least_chars), "spread-lines")
     lost = written(
-        measured.select("row", F.explode("lines").alias("line")).join(spread, "line")
+        measured.select("row", F.explode("lines.h").alias("line")).join(spread, "line")
         .groupBy(F.col("row").alias(mark)).agg(F.collect_set("line").alias(drops)),
         "spread-drops",
     )

@@ -117,6 +117,19 @@ def test_line_spread_equals_brute_force(spark):
     assert any(r.n_removed == 2 for r in got) and all(not r.n_removed for r in got if 100 <= r.doc_id < 120)
 
 
+def test_line_spread_of_long_notices_and_beside_many_copies(spark):
+    notice, footer = prose("notice", 60), "find us on all the usual pages"
+    rows = [(i, f"{notice}\n{prose(i, 4)}\n{prose(f'n{i}', 3)}", f"s{i}") for i in range(15)]  # the notice is the longest line
+    rows += [(100 + i, f"{prose(f'p{i}')}\n{footer}", f"s{i}") for i in range(15)]  # a footer below unlike pages
+    page = [prose(f"page{k}", 20 + k) for k in range(12)]
+    for i in range(60):  # and below near copies of one page
+        page_now = [prose(f"new{i}", 20) if k == i % 12 else x for k, x in enumerate(page)]
+        rows.append((200 + i, "\n".join([*page_now, footer]), f"s{i % 20}"))
+    got = {r.doc_id: r for r in line_spread.without_spread(documents(spark, rows)).collect()}
+    assert all(r.n_removed == 1 for r in got.values())
+    assert all(notice not in r.text and footer not in r.text for r in got.values())
+
+
 def test_line_spread_keeps_columns_and_takes_empty_tables(spark):
     docs = documents(spark, [(1, "a\nb", "x", "m", "d")], ", mark string, drops string")
     out = line_spread.without_spread(docs)
