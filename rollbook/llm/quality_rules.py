@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.llm.shared import SPACE, free_name, let, longest, normal_lines, words, written
+from rollbook.llm.shared import SPACE, free_name, let, normal_lines, words, written
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
@@ -75,10 +75,8 @@ def judge(
 
     A document fails the base rules with fewer than ``least_words`` words or with more than
     ``repeat_percent`` of them in repeated windows. A line is over the limit of its host when more than
-    ``line_limit`` distinct texts there hold it, and these are unlike: documents that share their longest
-    line count as copies of one, there must be more than ``line_limit`` such families, and at least half as
-    many families as texts. (So lines of a text that was copied often are not taken for boilerplate.) A
-    document is rejected when fewer than ``least_left`` words remain, or less than ``least_percent`` percent.
+    ``line_limit`` distinct texts there hold it; exact copies of a text count once. A document is rejected
+    when fewer than ``least_left`` words remain, or less than ``least_percent`` percent.
 
     Null text counts as empty, a null host as a host of its own; repeated rows are judged alike, each on
     its own; an empty table gives an empty result. Text is read once, and only hashes are shuffled: counts
@@ -92,19 +90,17 @@ def judge(
         docs.select(
             F.col(id), F.col(host).alias("host"), F.xxhash64(text).alias("copy"), _mark(id, text, host).alias("mark"),
             base_metrics(F.col(text)).alias("base"),
-            let(normal_lines(F.col(text)), lambda a: F.struct(hashed(a).alias("lines"), F.xxhash64(longest(a)).alias("family"))).alias("found"),
-        ).select(id, "host", "copy", "mark", "base.*", "found.*").withColumn("row", F.monotonically_increasing_id()),
+            hashed(normal_lines(F.col(text))).alias("lines"),
+        ).select(id, "host", "copy", "mark", "base.*", "lines").withColumn("row", F.monotonically_increasing_id()),
         "quality-measured",
     )
     # A line and its host are one 64-bit hash from here on; null hosts hash like any value.
-    line = measured.select("row", "copy", "family", "host", F.explode("lines").alias("x")).select(
-        "row", "copy", "family", F.xxhash64(F.coalesce(F.concat(F.lit("h"), "host"), F.lit("")), "x.h").alias("line"), F.col("x.w").alias("w")
+    line = measured.select("row", "copy", "host", F.explode("lines").alias("x")).select(
+        "row", "copy", F.xxhash64(F.coalesce(F.concat(F.lit("h"), "host"), F.lit("")), "x.h").alias("line"), F.col("x.w").alias("w")
     )
     over = written(
-        line.groupBy("line", "family", "copy").agg(F.lit(1).alias("one"))
-        .groupBy("line", "family").agg(F.count("*").alias("texts"))
-        .groupBy("line").agg(F.sum("texts").alias("texts"), F.count("*").alias("families"))
-        .where((F.col("families") > line_limit) & (2 * F.col("families") >= F.col("texts"))).select("line"),
+        line.groupBy("line", "copy").agg(F.lit(1).alias("one"))
+        .groupBy("line").agg(F.count("*").alias("texts")).where(F.col("texts") > line_limit).select("line"),
         "quality-lines",
     )
     lost = line.join(over, "line").groupBy("row").agg(F.sum("w").alias("lost"), F.count("*").alias("lines_over"))

@@ -71,6 +71,20 @@ def test_frequent_lines_reject_depleted_documents(spark):
     assert not out[400].kept and not out[401].kept and out[402].kept
 
 
+def test_a_host_of_depleted_documents_only(spark):
+    banner = prose("banner", 30)
+    rows = [(i, f"{banner}\nown {prose(i, 6)}", "hot") for i in range(25)]
+    rows += [(100 + i, f"{prose('same')}\n{prose('same2')}", "hot") for i in range(40)]  # exact copies count once
+    rows += [(200 + i, f"{prose('near')}\n{prose('near2')}\n{prose(f'n{i}', 3)}", "other") for i in range(60)]  # and many copies
+    rows += [(300 + i, f"{banner}\n{prose(f'u{i}', 90)}", "other") for i in range(25)]  # beside the banner's own texts
+    rows += [(400 + i, f"{banner}\n{prose('near')}\n{prose(f'm{i}', 60)}", "other") for i in range(60)]
+    out = {r.doc_id: r for r in quality_rules.judge(documents(spark, rows)).collect()}
+    assert all(not out[i].kept and out[i].words_left == 7 and out[i].lines_over == 1 for i in range(25))
+    assert all(out[100 + i].kept for i in range(40))
+    assert all(out[300 + i].kept and out[300 + i].words_left == 90 for i in range(25))
+    assert all(out[400 + i].kept and out[400 + i].words_left == 60 for i in range(60))
+
+
 def test_keep_good_returns_the_rows_as_they_are(spark):
     rows = [(1, prose(1), "a", 7), (1, prose(1), "a", 7), (2, "short", "a", 8), (None, prose(3), None, None), (3, None, "a", 9)]
     docs = documents(spark, rows, ", mark int")
