@@ -112,6 +112,15 @@ def test_join_of_nothing_and_kept_documents(spark):
     assert sorted((r.doc_id or 0) for r in ngram_join.keep_first(docs.drop("gone_id")).collect()) == [0, 1, 2, 4]
 
 
+def test_an_id_with_two_texts_loses_the_copy_only(spark):
+    rows = [(1, "a b c d e"), (2, "A b c d e"), (2, "p q r s t"), (3, "f g h i j"), (3, "F g h i j"), (4, "k l m n o"), (4, "k l m n o"), (5, None), (5, "a b c d E")]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, mark string")
+    kept = ngram_join.keep_first(docs)
+    assert kept.columns == docs.columns
+    got = sorted(((r.doc_id, (r.text or "").lower()) for r in kept.collect()))
+    assert got == [(1, "a b c d e"), (2, "p q r s t"), (3, "f g h i j"), (4, "k l m n o"), (4, "k l m n o"), (5, "")]
+
+
 def test_components(spark):
     rng = random.Random(9)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(170)] + [(1000 + i, 1001 + i) for i in range(60)] + [(2000, i) for i in range(2001, 2200)]
