@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import bin_slack, chat, html_density, licenses, line_spread, merkle, ngram_join, quality_rules, viterbi, warc
+from rollbook.llm import (
+    alignment, bin_slack, chat, hard_negatives, html_density, licenses, line_spread, merkle, ngram_join, quality_rules, repeats, viterbi, warc,
+)
 from rollbook.session import shared_folder
 
 RUN: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -179,3 +181,48 @@ SELECT doc_id, trim(replace(seq, '  ', ' ')) AS sentence_ids, array_to_string(fo
 @query("op9_license_rules", _license_sql())
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "documents"))
+
+
+NEGATIVES = """
+WITH r AS (SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+s AS (SELECT a.rid, a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+    CAST(coalesce(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])), 0) AS BIGINT) AS score
+    FROM r a JOIN r b ON a.vec_id % 50 = 0 AND a.rid <> b.rid),
+p AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id) AS nth FROM s WHERE same QUALIFY nth <= 5),
+n AS (SELECT p.anchor_id, p.vec_id AS positive_id, row_number() OVER (PARTITION BY p.rid, p.nth ORDER BY s.score DESC, s.vec_id) AS place,
+    s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+    FROM p JOIN s ON p.rid = s.rid AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score QUALIFY place <= 3)
+SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n"""
+
+
+@query("op11_strassen_negatives", NEGATIVES)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, folder, "embeddings"), label=label, anchor=F.col("vec_id") % 50 == 0)
+
+
+@query("op12_spill_alignment")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align(table(spark, folder, "documents"))
+
+
+REPEATS = """
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+c AS (SELECT rid, o, substr(h, 2 * o + 1, 1398) AS x FROM (SELECT rid, h, unnest(range(0, length(h) // 2, 500)) AS o FROM d)),
+w AS (SELECT rid, o + j AS i, hash(substr(x, 2 * j + 1, 400)) AS w FROM (SELECT rid, o, x, unnest(range(least(500, length(x) // 2 - 199))) AS j FROM c)),
+t AS (SELECT w FROM w GROUP BY w HAVING count(*) > 1),
+s AS (SELECT rid, i, lag(i) OVER (PARTITION BY rid ORDER BY i) AS p FROM w SEMI JOIN t USING (w)),
+n AS (SELECT rid, i, count(*) FILTER (p IS NULL OR i > p + 200) OVER (PARTITION BY rid ORDER BY i ROWS UNBOUNDED PRECEDING) AS nth FROM s),
+r AS (SELECT rid, min(i) AS a, max(i) + 200 AS b FROM n GROUP BY rid, nth),
+k AS (SELECT rid, a, b, coalesce(lag(b) OVER (PARTITION BY rid ORDER BY a), 0) AS p FROM r),
+g AS (SELECT rid, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS b, string_agg(substr(h, 2 * p + 1, 2 * (a - p)), '' ORDER BY a) AS kept
+    FROM k JOIN d USING (rid) GROUP BY rid)
+SELECT doc_id, length(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+    sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(b, 0) + 1))) AS kept_sha256 FROM d LEFT JOIN g USING (rid)"""
+
+
+@query("op13_interval_tree", REPEATS)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.without_repeats(table(spark, folder, "documents"))
