@@ -121,6 +121,42 @@ def test_an_id_with_two_texts_loses_the_copy_only(spark):
     assert got == [(1, "a b c d e"), (2, "p q r s t"), (3, "f g h i j"), (4, "k l m n o"), (4, "k l m n o"), (5, "")]
 
 
+def test_one_row_of_each_class_stays(spark):
+    rows = [(1, "a b c d e"), (2, "A b c d e"), (1, "a b c d e"), (4, "k l m n o"), (4, "k l m n o"), (None, "k l m n o"), (None, "p q r s"), (None, "P q r s"), (5, None), (5, None), (6, " "), (None, "")]
+    docs = spark.createDataFrame([(i, t, n, {"a": n}) for n, (i, t) in enumerate(rows)], "doc_id long, text string, nth int, mark map<string,int>")
+    kept = ngram_join.keep_first(docs, single=True)
+    assert kept.columns == docs.columns
+    got = sorted(((r.doc_id, (r.text or "").lower().strip()) for r in kept.collect()), key=repr)
+    assert got == [(1, "a b c d e"), (4, "k l m n o"), (5, ""), (5, ""), (6, ""), (None, ""), (None, "p q r s")]
+
+
+def test_signatures_follow_any_order_of_shingles():
+    rng = np.random.default_rng(2)
+    levels = rng.integers(0, 4, ngram_join.SLOTS).astype(np.uint8)
+    for n in [*range(1, 40), 200, 1000]:
+        base = np.unique(rng.integers(1, 2**63, n, dtype=np.uint64))
+        other = np.unique(np.concatenate((rng.permutation(base)[n // 12 :], rng.integers(1, 2**63, n // 12, dtype=np.uint64))))
+        both = len(np.intersect1d(base, other))
+        if both < n and 100 * both >= 80 * (2 * n - both):
+            assert np.intersect1d(ngram_join.signatures(base, 80, levels), ngram_join.signatures(other, 80, levels)).size
+        assert len(ngram_join.signatures(base, 80, levels)) <= n // 5 + 1
+
+
+def test_frequent_shingles_come_last(spark):
+    texts = [f"the same long passage of words that all texts share own{i} mine{i} alone{i}" for i in range(300)]
+    levels = ngram_join.frequency_levels(spark.createDataFrame([(t.encode(),) for t in texts], "text binary"), 3)
+    (tokens,) = shingle_sets([texts[0].encode()], 3)
+    level = sorted(levels[(tokens & np.uint64(ngram_join.SLOTS - 1)).astype(np.int64)])
+    assert level[:3] == [6, 6, 6] and level[3:] == [round(6 * np.log2(301))] * (len(level) - 3)
+
+
+def test_rows_without_an_id_are_fetched_once(spark):
+    rows = copies(5, 6, 10)
+    docs = spark.createDataFrame([(None if k % 3 == 0 else k, t) for k, t in rows] + [(None, rows[0][1])] * 200, "doc_id long, text string").repartition(4)
+    want = classes([(None if k % 3 == 0 else k, t) for k, t in rows] + [(None, rows[0][1])] * 200)
+    assert sorted(map(tuple, ngram_join.linked_classes(docs).collect()), key=repr) == want
+
+
 def test_components(spark):
     rng = random.Random(9)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(170)] + [(1000 + i, 1001 + i) for i in range(60)] + [(2000, i) for i in range(2001, 2200)]
