@@ -24,8 +24,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each class of near duplicates: 80 percent of five-word shingles."""
-    return ngram_join.keep_first(docs, percent=80, size=5)
+    """One row of each class of near duplicates (80 percent of five-word shingles), that with the least id."""
+    return ngram_join.keep_first(docs, single=True, percent=80, size=5)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
