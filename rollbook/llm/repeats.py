@@ -127,6 +127,21 @@ def _batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
+def _numbers(column: pa.Array) -> Iterator[np.ndarray]:
+    """Lists of numbers, row by row, without making objects of them."""
+    flat, cuts = column.flatten().to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+    cuts = cuts - cuts[0]
+    yield from (flat[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True))
+
+
+def _structs(column: pa.Array, *fields: str) -> Iterator[tuple[np.ndarray, ...]]:
+    """Lists of structs, row by row, as an array for each field; a missing list is empty."""
+    flat, rows = column.flatten(), column.value_lengths().fill_null(0).to_numpy()
+    parts = [flat.field(f).to_numpy(zero_copy_only=False) for f in fields]
+    cuts = np.concatenate(([0], np.cumsum(rows)))
+    yield from (tuple(p[a:b] for p in parts) for a, b in zip(cuts[:-1], cuts[1:], strict=True))
+
+
 def _runs(least: int):
     """For mapInArrow over (id, bytes of the text)."""
 
@@ -171,12 +186,19 @@ def _deal(parts: int):
     return run
 
 
+def _among(values: np.ndarray, rising: np.ndarray) -> np.ndarray:
+    """Which values are in a sorted array."""
+    if not len(rising):
+        return np.zeros(len(values), bool)
+    return rising[np.minimum(np.searchsorted(rising, values), len(rising) - 1)] == values
+
+
 def _shared(table: pa.Table) -> pa.Table:
     """Of all hashes of a radix, those that occur twice, for each run that has some."""
     held = [np.frombuffer(x, np.uint64) for x in table.column("hashes").to_pylist()]
     h, n = np.unique(np.concatenate(held), return_counts=True)
     twice = h[n > 1]
-    told = [np.unique(x[np.isin(x, twice)]).tobytes() for x in held]
+    told = [np.unique(x[_among(x, twice)]).tobytes() for x in held]
     return pa.Table.from_arrays([table.column("run").combine_chunks(), table.column("radix").combine_chunks(), pa.array(told, pa.binary())], schema=_PART)
 
 
@@ -188,7 +210,7 @@ def _hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for number, hashes, contexts, shared in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             h, c = np.frombuffer(hashes, np.int64), np.frombuffer(contexts, np.int64)
-            nth = np.flatnonzero(np.isin(h, np.frombuffer(b"".join(shared), np.int64)))
+            nth = np.flatnonzero(_among(h, np.sort(np.frombuffer(b"".join(shared), np.int64))))
             yield _batch(_HELD, np.full(len(nth), number), nth, h[nth], c[nth])
 
 
@@ -207,14 +229,16 @@ def _cut_out(least: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ends, packed, at, asked in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                data = zstandard.ZstdDecompressor().decompress(packed)
-                place = np.array(at, np.int64)[[x["nth"] for x in asked]]
-                left, right = _reaches(place, np.array(ends, np.int64), least)
-                for lo in range(0, len(asked), 4096):
+            ends_, packed_, at_, asked_ = batch.columns
+            asked_ = _structs(asked_, "nth", "hash", "context", "own", "large")
+            for ends, packed, at, (nth, *columns) in zip(_numbers(ends_), packed_, _numbers(at_), asked_, strict=True):
+                data = zstandard.ZstdDecompressor().decompress(packed.as_py())
+                place = at[nth]
+                left, right = _reaches(place, ends, least)
+                for lo in range(0, len(nth), 4096):
                     some = slice(lo, lo + 4096)
-                    texts = [(data[a:p], data[p:b]) for a, p, b in zip(left[some], place[some], right[some], strict=True)]
-                    yield _batch(_CUT, *([x[f] for x in asked[some]] for f in ("hash", "context", "own", "large")), [t[0] for t in texts], [t[1] for t in texts])
+                    texts = [(data[a:p], data[p:b]) for a, p, b in zip(left[some].tolist(), place[some].tolist(), right[some].tolist(), strict=True)]
+                    yield _batch(_CUT, *(c[some] for c in columns), [t[0] for t in texts], [t[1] for t in texts])
 
     return run
 
@@ -367,26 +391,30 @@ _OUT = pa.schema([("id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.
 def _remove(least: int, with_text: bool):
     """For mapInArrow over (ids, ends, bytes, at, spans): a row for each document."""
 
+    def covered(n: int, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Which of n bytes lie in one of the spans."""
+        gone, order = np.zeros(n, bool), np.argsort(first, kind="stable")
+        first, end = first[order], np.maximum.accumulate(end[order]) if len(end) else end
+        opens = np.flatnonzero(np.concatenate(([True], first[1:] > end[:-1]))) if len(first) else []
+        for a, b in zip(first[opens], end[np.append(opens[1:] - 1, len(end) - 1)] if len(first) else [], strict=True):
+            gone[a:b] = True
+        return gone
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, ends, packed, at, spans in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                data, ends = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8), np.array(ends, np.int64)
-                marks = np.zeros(len(data) + 1, np.int32)
-                if spans:
-                    nth, left, right = (np.array([s[f] for s in spans], np.int64) for f in ("nth", "left", "right"))
-                    place = np.array(at, np.int64)[nth]
-                    first, end = _reaches(place, ends, least)
-                    first, end = np.where(left < 0, first, place - left), np.where(left < 0, end, place + right)
-                    ok = end - first >= least
-                    np.add.at(marks, first[ok], 1)
-                    np.add.at(marks, end[ok], -1)
-                gone = np.cumsum(marks[:-1]) > 0
+            ids_, ends_, packed_, at_, spans_ = batch.columns
+            for ids, ends, packed, at, (nth, left, right) in zip(ids_, _numbers(ends_), packed_, _numbers(at_), _structs(spans_, "nth", "left", "right"), strict=True):
+                data, place = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed.as_py()), np.uint8), at[nth]
+                first, end = _reaches(place, ends, least)
+                first, end = np.where(left < 0, first, place - left), np.where(left < 0, end, place + right)
+                ok = end - first >= least
+                gone = covered(len(data), first[ok], end[ok])
                 rows = []
-                for key, a, b in zip(ids, [0, *ends[:-1]], ends, strict=True):
+                for key, a, b in zip(ids.as_py(), [0, *ends[:-1].tolist()], ends.tolist(), strict=True):
                     cut = gone[a:b]
                     kept = data[a:b][~cut].tobytes()
                     runs = int(cut[:1].sum()) + int((cut[1:] & ~cut[:-1]).sum())
-                    rows.append((key, int(b - a), int(cut.sum()), runs, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore") if with_text else None))
+                    rows.append((key, b - a, int(cut.sum()), runs, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore") if with_text else None))
                 yield _batch(_OUT, *zip(*rows, strict=True))
 
     return run
@@ -414,9 +442,10 @@ class Corpus:
         n = self.runs.agg(F.sum(F.size("at"))).first()[0] or 0
         parts = max(1, -(-n // part_anchors))
         pieces = self.runs.select("run", "hashes").mapInArrow(_deal(parts), _PART_DDL)
-        shared = pieces.groupBy("radix").applyInArrow(_shared, _PART_DDL).groupBy("run").agg(F.collect_list("hashes").alias("shared"))
+        shared = pieces.repartition(parts, "radix").groupBy("radix").applyInArrow(_shared, _PART_DDL).groupBy("run").agg(F.collect_list("hashes").alias("shared"))
         held = self.learned(shared, "inner").select("run", "hashes", "contexts", "shared").mapInArrow(_hold, "run long, nth int, hash long, context long")
-        self.held = written(held, "repeats-held")
+        with arrow_rows(docs.sparkSession, 4):  # rows are whole runs
+            self.held = written(held, "repeats-held")
         self.classes = written(
             self.held.groupBy("hash", "context").agg(F.count("*").alias("n"), F.min(F.struct("run", "nth")).alias("first")), "repeats-classes"
         )
@@ -434,6 +463,8 @@ class Corpus:
         )
         lists = asked.groupBy("run").agg(F.collect_list("asked").alias("asked"))
         cut = self.learned(lists, "inner").select("ends", "bytes", "at", "asked").mapInArrow(_cut_out(self.least), _CUT_DDL)
+        with arrow_rows(several.sparkSession, 4):
+            cut = written(cut, "repeats-contexts")
         return cut, not several.where(F.col("contexts") > most).isEmpty()
 
 
@@ -455,7 +486,7 @@ def _reach_by_strings(contexts: DataFrame, least: int) -> DataFrame:
 
 
 def without_repeats(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", least: int = 200, with_text: bool = False, part_anchors: int = 1 << 20, most: int = MOST
+    docs: DataFrame, id: str = "doc_id", text: str = "text", least: int = 200, with_text: bool = False, part_anchors: int = 1 << 18, most: int = MOST
 ) -> DataFrame:
     """One row per document: id, n_bytes, n_removed, n_spans, kept_sha256, and the ``kept`` text if wanted.
 
@@ -470,8 +501,6 @@ def without_repeats(
     """
     corpus = Corpus(docs, id, text, least, part_anchors)
     contexts, large = corpus.contexts(most)
-    if large:
-        contexts = written(contexts, "repeats-contexts")
     found = _solved(contexts.where("NOT large"), _reach, least, _REACH_DDL)
     if large:
         found = found.union(_reach_by_strings(contexts.where("large"), least))
@@ -479,14 +508,14 @@ def without_repeats(
     whole = corpus.classes.where("n > 1").select("hash", "context", F.lit(-1).alias("left"), F.lit(-1).alias("right"))
     reach = written(whole.union(found), "repeats-reach")
     spans = corpus.held.join(reach.hint("merge"), ["hash", "context"]).groupBy("run").agg(F.collect_list(F.struct("nth", "left", "right")).alias("spans"))
-    with arrow_rows(docs.sparkSession, 16):
+    with arrow_rows(docs.sparkSession, 2):
         rows = corpus.learned(spans, "left").select("ids", "ends", "bytes", "at", "spans")
         out = rows.mapInArrow(_remove(least, with_text), "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string")
         out = written(out, "repeats-out")
     return (out if with_text else out.drop("kept")).withColumnRenamed("id", id)
 
 
-def repeat_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", least: int = 200, part_anchors: int = 1 << 20) -> DataFrame:
+def repeat_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", least: int = 200, part_anchors: int = 1 << 18) -> DataFrame:
     """Repeats with all their occurrences: repeat, id, start, length (bytes of the document).
 
     A repeat is a string of ``least`` bytes or more around an anchor that occurs at several places and grows to
@@ -509,15 +538,15 @@ def _occurrences(least: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, ends, at, spans in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                ends = np.array(ends, np.int64)
-                nth, left, right = (np.array([s[f] for s in spans], np.int64) for f in ("nth", "left", "right"))
-                place = np.array(at, np.int64)[nth]
+            ids_, ends_, at_, spans_ = batch.columns
+            for ids, ends, at, (nth, left, right, repeat) in zip(ids_, _numbers(ends_), _numbers(at_), _structs(spans_, "nth", "left", "right", "repeat"), strict=True):
+                place = at[nth]
                 first, end = _reaches(place, ends, least)
                 first, end = np.where(left < 0, first, place - left), np.where(left < 0, end, place + right)
                 doc = np.searchsorted(ends, place, "right")
                 start = first - np.concatenate(([0], ends[:-1]))[doc]
                 ok = np.flatnonzero(end - first >= least)
-                yield _batch(schema, [spans[i]["repeat"] for i in ok], [ids[d] for d in doc[ok]], start[ok], (end - first)[ok])
+                ids = ids.as_py()
+                yield _batch(schema, repeat[ok], [ids[d] for d in doc[ok]], start[ok], (end - first)[ok])
 
     return run
