@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import itertools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -49,6 +50,43 @@ class Side:
     def __init__(self, encode: Callable[[list[str]], list[list[int]]], token_bytes: list[bytes]):
         self.encode, self.bytes = encode, token_bytes
         self.lengths = np.array([len(b) for b in token_bytes], np.int64)
+        self.starts, self.all_bytes = np.cumsum(self.lengths) - self.lengths, np.frombuffer(b"".join(token_bytes), np.uint8)
+
+    def spell(self, ids: np.ndarray) -> np.ndarray:
+        """The bytes of some ids, one after the other."""
+        lengths = self.lengths[ids]
+        return self.all_bytes[np.arange(int(lengths.sum())) + np.repeat(self.starts[ids] - (np.cumsum(lengths) - lengths), lengths)]
+
+
+def flat_ids(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """All ids in a row, and how many each list has."""
+    counts = np.array([len(x) for x in lists], np.int64)
+    return np.fromiter(itertools.chain.from_iterable(lists), np.int64, int(counts.sum())), counts
+
+
+def spelled_alike(texts: list[bytes], a: list[list[int]], b: list[list[int]], sides: tuple[Side, Side]) -> list[bool]:
+    """Whether both sides spell a text."""
+    sizes = np.array([len(t) for t in texts], np.int64)
+    (a_ids, n_a), (b_ids, n_b) = flat_ids(a), flat_ids(b)
+    alike = np.ones(len(texts), bool)
+    for side, ids, n in ((sides[0], a_ids, n_a), (sides[1], b_ids, n_b)):
+        ends = np.concatenate(([0], np.cumsum(side.lengths[ids])))[np.concatenate(([0], np.cumsum(n)))]
+        alike &= np.diff(ends) == sizes
+    wanted = np.flatnonzero(alike)
+    whole = np.frombuffer(b"".join(texts[i] for i in wanted), np.uint8)
+    bounds = np.concatenate(([0], np.cumsum(sizes[wanted])))
+    for side, ids, n in ((sides[0], a_ids, n_a), (sides[1], b_ids, n_b)):
+        wrong = np.concatenate(([0], np.cumsum(side.spell(ids[np.repeat(alike, n)]) != whole)))
+        alike[wanted] &= wrong[bounds[1:]] == wrong[bounds[:-1]]
+        if not alike[wanted].all():  # the other side is then compared text by text
+            return [bool(ok) and b"".join(map(sides[0].bytes.__getitem__, x)) == t == b"".join(map(sides[1].bytes.__getitem__, y)) for ok, t, x, y in zip(alike, texts, a, b, strict=True)]
+    return alike.tolist()
+
+
+def ends_in(ends: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Which of rising numbers are among others that rise."""
+    at = np.searchsorted(other, ends)
+    return other[np.minimum(at, len(other) - 1)] == ends if len(other) else np.zeros(len(ends), bool)
 
 
 def byte_level_alphabet() -> dict[str, int]:
@@ -113,12 +151,12 @@ class Aligned:
     """Groups and records of some texts that both sides spell alike, laid end to end."""
 
     def __init__(self, a: list[list[int]], b: list[list[int]], sides: tuple[Side, Side]):
-        self.n_a, self.n_b = (np.array([len(x) for x in s], np.int64) for s in (a, b))
-        self.a, self.b = (np.array([i for x in s for i in x], np.int64) for s in (a, b))
+        (self.a, self.n_a), (self.b, self.n_b) = flat_ids(a), flat_ids(b)
         a_end, b_end = np.cumsum(sides[0].lengths[self.a]), np.cumsum(sides[1].lengths[self.b])
-        # Tokens of no bytes end where the one before ends; the last of them is the one that closes a group.
-        common = np.intersect1d(a_end, b_end)
-        self.a_group, self.b_group = np.searchsorted(common, a_end), np.searchsorted(common, b_end)
+        # Every token has bytes, so ends rise; a token that ends with one of the other side closes a group.
+        a_closes, b_closes = ends_in(a_end, b_end), ends_in(b_end, a_end)
+        common = a_end[a_closes]
+        self.a_group, self.b_group = (np.cumsum(c) - c for c in (a_closes, b_closes))
         n = len(common)
         self.in_a, self.in_b = np.bincount(self.a_group, minlength=n), np.bincount(self.b_group, minlength=n)
         doc_end = a_end[np.cumsum(self.n_a) - 1] if len(self.n_a) else np.empty(0, np.int64)
@@ -237,7 +275,7 @@ def _encode(sides, parts: int, run_docs: int, run_chars: int):
     def batch_rows(run: Run, keys: list, texts: list, two: tuple[Side, Side]) -> pa.RecordBatch:
         wanted = [i for i, t in enumerate(texts) if t]
         a, b = (s.encode([texts[i] for i in wanted]) for s in two)
-        spelled = [b"".join(map(two[0].bytes.__getitem__, x)) == (" " + texts[i]).encode() == b"".join(map(two[1].bytes.__getitem__, y)) for i, x, y in zip(wanted, a, b, strict=True)]
+        spelled = spelled_alike([(" " + texts[i]).encode() for i in wanted], a, b, two)
         wanted, a, b = ([v for v, ok in zip(x, spelled, strict=True) if ok] for x in (wanted, a, b))
         columns = {c: np.zeros(len(texts), np.int64) for c in ("n_a", "n_b", "n_groups", "n_links")}
         digests = [""] * len(texts)
