@@ -946,17 +946,32 @@ def district_populations(t):
 
 # --- statistics ------------------------------------------------------------------------------------
 
-@query("welch_t", """
+def t_tail(t: str, v: str) -> str:
+    """Two-sided probability of t with v degrees of freedom, by Simpson's rule."""
+    density = f"exp(lgamma(({v}+1)/2)-lgamma({v}/2)-({v}+1)/2*ln(1+pow(h*i,2)/{v}))/sqrt({v}*pi())"
+    return f"""(SELECT greatest(0, 1-2*SUM((CASE WHEN i IN (0,4000) THEN 1 WHEN i%2=1 THEN 4 ELSE 2 END)*h/3*{density}))
+  FROM (SELECT i, least(abs({t}),40)/4000 AS h FROM range(4001) r(i)))"""
+
+
+def f_tail(f: str, a: str, b: str) -> str:
+    """Probability of an F above f, by Simpson's rule over its logarithm."""
+    density = f"exp({a}/2*ln({a})+{b}/2*ln({b})+{a}/2*u-({a}+{b})/2*ln({b}+{a}*exp(u))+lgamma(({a}+{b})/2)-lgamma({a}/2)-lgamma({b}/2))"
+    return f"""(SELECT SUM((CASE WHEN i IN (0,4000) THEN 1 WHEN i%2=1 THEN 4 ELSE 2 END)*h/3*{density})
+  FROM (SELECT i, h, ln({f})+i*h AS u FROM (SELECT i, 30*sqrt(2/{a}+2/{b})/4000 AS h FROM range(4001) r(i))))"""
+
+
+@query("welch_t", f"""
 WITH m AS (SELECT AVG(o_totalprice) FILTER (c_mktsegment='BUILDING') AS mean_1, VAR_SAMP(o_totalprice) FILTER (c_mktsegment='BUILDING') AS var_1, COUNT(*) FILTER (c_mktsegment='BUILDING') AS n_1,
- AVG(o_totalprice) FILTER (c_mktsegment='MACHINERY') AS mean_2, VAR_SAMP(o_totalprice) FILTER (c_mktsegment='MACHINERY') AS var_2, COUNT(*) FILTER (c_mktsegment='MACHINERY') AS n_2 FROM orders JOIN customer ON o_custkey=c_custkey)
-SELECT ROUND(mean_1,3) AS mean_1, n_1, ROUND(mean_2,3) AS mean_2, n_2, ROUND((mean_1-mean_2)/sqrt(var_1/n_1+var_2/n_2),6) AS t,
- ROUND(pow(var_1/n_1+var_2/n_2,2)/(pow(var_1/n_1,2)/(n_1-1)+pow(var_2/n_2,2)/(n_2-1)),3) AS df, ROUND(var_1/var_2,6) AS f_ratio FROM m""")
+ AVG(o_totalprice) FILTER (c_mktsegment='MACHINERY') AS mean_2, VAR_SAMP(o_totalprice) FILTER (c_mktsegment='MACHINERY') AS var_2, COUNT(*) FILTER (c_mktsegment='MACHINERY') AS n_2 FROM orders JOIN customer ON o_custkey=c_custkey),
+w AS (SELECT *, (mean_1-mean_2)/sqrt(var_1/n_1+var_2/n_2) AS t, pow(var_1/n_1+var_2/n_2,2)/(pow(var_1/n_1,2)/(n_1-1)+pow(var_2/n_2,2)/(n_2-1)) AS df, var_1/var_2 AS f, (n_1-1)::DOUBLE AS d1, (n_2-1)::DOUBLE AS d2 FROM m),
+x AS (SELECT *, {t_tail("w.t", "w.df")} AS p, {f_tail("w.f", "w.d1", "w.d2")} AS above FROM w)
+SELECT ROUND(mean_1,3) AS mean_1, n_1, ROUND(mean_2,3) AS mean_2, n_2, ROUND(t,6) AS t, ROUND(df,3) AS df, ROUND(f,6) AS f_ratio, ROUND(p,6) AS p_value, ROUND(2*least(above,1-above),6) AS f_p_value FROM x""")
 def welch_t(t):
     from rollbook.operators.stats import welch_t as test
 
     rows = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
     out = test(rows, "c_mktsegment", "o_totalprice", "BUILDING", "MACHINERY").drop("var_1", "var_2")
-    return rounded(rounded(out, 6, "t", "f_ratio"), 3, "mean_1", "mean_2", "df")
+    return rounded(rounded(out, 6, "t", "f_ratio", "p_value", "f_p_value"), 3, "mean_1", "mean_2", "df")
 
 
 @query("trend", """
@@ -1003,16 +1018,32 @@ def ols_residuals(t):
     return means.withColumn("residual", F.abs(F.round("residual", 3)))
 
 
-@query("ols_nested")
+@query("ols_nested", f"""
+WITH RECURSIVE cells AS (SELECT c_mktsegment AS a, o_orderstatus AS b, o_orderpriority AS c, COUNT(*)::DOUBLE AS n, SUM(o_totalprice)::DOUBLE AS s, VAR_POP(o_totalprice)*COUNT(*) AS within FROM orders JOIN customer ON o_custkey=c_custkey GROUP BY 1,2,3),
+lv AS (SELECT DISTINCT 1 AS f, 'c_mktsegment=' || a AS term FROM cells WHERE a<>'BUILDING' UNION SELECT 2, 'o_orderstatus=' || b FROM cells WHERE b<>'F' UNION SELECT 3, 'o_orderpriority=' || c FROM cells WHERE c<>'1-URGENT'),
+tm AS (SELECT model, row_number() OVER (PARTITION BY model ORDER BY f, term) AS i, term FROM (SELECT 0 AS f, '(intercept)' AS term UNION ALL SELECT * FROM lv), range(1,4) r(model) WHERE f<=model),
+x AS (SELECT model, i, term, a, b, c, n, s, (term IN ('(intercept)', 'c_mktsegment=' || a, 'o_orderstatus=' || b, 'o_orderpriority=' || c))::DOUBLE AS x FROM cells, tm),
+xx AS (SELECT p.model, p.i, q.i AS j, SUM(p.n*p.x*q.x) AS v FROM x p JOIN x q USING (model,a,b,c) GROUP BY ALL),
+xy AS (SELECT model, i, SUM(s*x) AS v FROM x GROUP BY ALL),
+m AS (SELECT model, i, list(v ORDER BY j) AS r, COUNT(*) AS w FROM xx GROUP BY 1,2),
+g(model, k, r) AS (SELECT model, 1, list(m.r || [xy.v] || list_transform(range(1,w+1), lambda z: CASE WHEN z=i THEN 1.0::DOUBLE ELSE 0.0 END) ORDER BY i) FROM m JOIN xy USING (model,i) GROUP BY model
+ UNION ALL SELECT model, k+1, list_transform(r, lambda y, i: CASE WHEN i=k THEN list_transform(y, lambda v: v/r[k][k]) ELSE list_transform(y, lambda v, j: v-y[k]/r[k][k]*r[k][j]) END) FROM g WHERE k<=len(r)),
+e AS (SELECT model, i, term, r[i][len(r)+1] AS coefficient, r[i][len(r)+1+i] AS inv, len(r) AS w FROM g JOIN tm USING (model) WHERE k=len(r)+1),
+fit AS (SELECT model, a, b, c, SUM(x*coefficient) AS u FROM x JOIN e USING (model,i) GROUP BY ALL),
+rest AS (SELECT model, SUM(within+n*pow(s/n-u,2)) AS rss, SUM(n) AS n FROM fit JOIN cells USING (a,b,c) GROUP BY 1),
+o AS (SELECT model, term, coefficient, sqrt(inv*rss/(n-w)) AS std_error, n-w AS v FROM e JOIN rest USING (model)),
+q AS (SELECT *, coefficient/std_error AS t FROM o)
+SELECT term, ROUND(coefficient,2) AS coefficient, ROUND(std_error,3) AS std_error, ROUND(t,4) AS t, ROUND({t_tail("q.t", "q.v")},6) AS p_value, CAST(model AS INTEGER) AS model FROM q""")
 def ols_nested(t):
-    """Three nested models; several factors have no closed form in SQL."""
+    """Three nested models against the normal equations solved by elimination."""
     from rollbook.operators.stats import ols
 
     rows = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
     reference = {"c_mktsegment": "BUILDING", "o_orderstatus": "F", "o_orderpriority": "1-URGENT"}
     names = list(reference)
     parts = [ols(rows, "o_totalprice", names[: i + 1], reference).withColumn("model", F.lit(i + 1)) for i in range(3)]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    out = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return rounded(rounded(rounded(rounded(out, 2, "coefficient"), 3, "std_error"), 4, "t"), 6, "p_value")
 
 
 @query("did_columns", """

@@ -6,17 +6,22 @@ that share enough runs must then share one of their first few. Those are the
 join key, together with the exact keys. A text uses the longest runs its length
 allows, and the other side offers all three sizes. What the join returns is a
 superset of all qualifying pairs, so no match is lost; lengths and run counts
-thin it out in the JVM, and only the rest is scored.
+thin it out, and only the rest is scored. All of it runs in the JVM.
+
+Edit distances are looked for in rounds, the least first, so a text with a close
+choice never meets the many that are further away.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rollbook.functions.similarity import indel_ratio_column, osa_distance_column
+from rollbook.session import written
 
 # Stands for "no run": lets very short texts meet when nothing need be shared.
 NO_RUN = 0
@@ -45,6 +50,9 @@ class Rule:
     score: Callable[[Column, Column], Column]
     accept: Callable[[Column], Column]
     badness: Callable[[Column], Column]
+    perfect: float
+    # Within so many letters both texts may differ in all of them.
+    anything: int = 0
 
 
 def ratio_rule(threshold: float) -> Rule:
@@ -84,6 +92,7 @@ def ratio_rule(threshold: float) -> Rule:
         score=indel_ratio_column,
         accept=lambda s: s >= threshold,
         badness=lambda s: -s,
+        perfect=100.0,
     )
 
 
@@ -100,9 +109,11 @@ def osa_rule(at_most: int) -> Rule:
         feasible=lambda la, lb: F.abs(la - lb) <= at_most,
         # A swap is two edits.
         near=lambda a, b: F.levenshtein(a, b, 2 * at_most) >= 0,
-        score=osa_distance_column,
+        score=lambda a, b: osa_distance_column(a, b, at_most),
         accept=lambda s: s <= at_most,
         badness=lambda s: s.cast("double"),
+        perfect=0,
+        anything=at_most,
     )
 
 
@@ -140,17 +151,18 @@ def _rare_first(texts: DataFrame, frequency: DataFrame, keys: list[str]) -> Data
     return counted.groupBy(*fixed).agg(F.array_sort(F.collect_list(ranked)).alias("_bag"))
 
 
-def _signatures(texts: DataFrame, rule: Rule, keys: list[str], side: str, loose_choices: Column) -> DataFrame:
+def _signatures(texts: DataFrame, rule: Rule, keys: list[str], side: str, loose_choices: Column | None) -> DataFrame:
     """The first runs of each text, one row each, with all runs beside them.
 
-    ``loose_choices`` is how many choices stand at ``NO_RUN``, which is split like any common run.
+    ``loose_choices`` is how many choices stand at ``NO_RUN``, which is split like any common run; without it none does.
     """
     need = rule.least_shared(F.col("_len"), F.col("_q"))
     count = F.size("_bag")
     prefix = F.slice("_bag", 1, F.greatest(F.least(count - need + 1, count), F.lit(1)))
-    none = F.struct(loose_choices.alias("f"), F.lit(NO_RUN).cast("long").alias("run"))
-    loose = _loose(rule)
-    keyed = F.when(loose, F.array_append(prefix, none)).otherwise(prefix)
+    keyed = prefix
+    if loose_choices is not None:
+        none = F.struct(loose_choices.alias("f"), F.lit(NO_RUN).cast("long").alias("run"))
+        keyed = F.when(_loose(rule), F.array_append(prefix, none)).otherwise(prefix)
     rows = texts.select(
         *keys, F.col("_t").alias(f"_t{side}"), F.col("_len").alias(f"_l{side}"),
         F.transform("_bag", lambda r: r["run"]).alias(f"_b{side}"), "_q",
@@ -165,10 +177,11 @@ def _signatures(texts: DataFrame, rule: Rule, keys: list[str], side: str, loose_
     return rows.select("*", F.col("_x.run").alias("_run"), part.alias("_part")).drop("_x")
 
 
-def similar_pairs(left: DataFrame, right: DataFrame, column: str, exact: list[str], rule: Rule) -> DataFrame:
+def similar_pairs(left: DataFrame, right: DataFrame, column: str, exact: list[str], rule: Rule, unlike: bool = True) -> DataFrame:
     """All pairs of distinct texts (within equal exact keys) that the rule accepts.
 
-    Returns the exact keys, ``text``, ``choice`` and ``score``.
+    Returns the exact keys, ``text``, ``choice`` and ``score``. Without ``unlike``, pairs are left out that need
+    not share a letter because both texts are short; there may be as many of them as pairs of short texts.
     """
     def texts(df: DataFrame) -> DataFrame:
         filled = df.where(F.col(column).isNotNull() & (F.col(column) != ""))
@@ -186,7 +199,7 @@ def similar_pairs(left: DataFrame, right: DataFrame, column: str, exact: list[st
     frequency = b.select(F.explode_outer("_bag").alias("_run")).groupBy("_run").agg(
         F.count(F.lit(1)).alias("_f")
     )
-    short = b.where(_loose(rule)).agg(F.count(F.lit(1))).scalar()
+    short = b.where(_loose(rule)).agg(F.count(F.lit(1))).scalar() if unlike and rule.anything else None
     sa = _signatures(_rare_first(a, frequency, exact), rule, exact, "a", short)
     sb = _signatures(_rare_first(b, frequency, exact), rule, exact, "b", short)
     la, lb = F.col("_la"), F.col("_lb")
@@ -206,12 +219,13 @@ def similar_pairs(left: DataFrame, right: DataFrame, column: str, exact: list[st
 
 
 def best_matches(
-    left: DataFrame, right: DataFrame, column: str, exact: list[str], rule: Rule, order: str | None = None
+    left: DataFrame, right: DataFrame, column: str, exact: list[str], rules: list[Rule], order: str | None = None
 ) -> DataFrame:
     """The best choice per distinct text: exact keys, ``text``, ``match``, ``score``.
 
     Texts equal to a choice take it without scoring. Ties go to the choice with
     the lowest ``order`` value, or to the smallest text when no order is given.
+    ``rules`` go from strict to wide; a text that one of them matches is not looked for again.
     """
     def texts(df: DataFrame) -> DataFrame:
         filled = F.col(column).isNotNull() & (F.col(column) != "")
@@ -219,33 +233,55 @@ def best_matches(
 
     wanted, choices = texts(left), texts(right)
     same = wanted.join(choices, [*exact, "text"], "left_semi")
-    rest = wanted.join(choices, [*exact, "text"], "left_anti").withColumnRenamed("text", column)
-    pairs = similar_pairs(rest, right, column, exact, rule)
-    if order:
-        places = right.groupBy(*exact, F.col(column).alias("choice")).agg(F.min(order).alias("_place"))
-        pairs = pairs.join(places, [*exact, "choice"])
-    else:
-        pairs = pairs.withColumn("_place", F.lit(0))
+    rest = wanted.join(choices, [*exact, "text"], "left_anti")
+    place = F.min(order) if order else F.lit(0)
+    placed = right.where(F.col(column).isNotNull() & (F.col(column) != "")).groupBy(*exact, F.col(column).alias("choice")).agg(place.alias("_place"))
+    found, parts = None, []
+    for n, rule in enumerate(rules):
+        if n:
+            rest = rest.join(parts[-1], [*exact, "text"], "left_anti")
+        if len(rules) > 1:
+            rest = written(rest, "fuzzy-rest")
+        found = _best_of(rest, right, placed, column, exact, rule, bool(order))
+        parts.append(written(found, "fuzzy-found") if len(rules) > 1 else found)
+    kind = found.schema["score"].dataType
+    equal = same.select(*exact, "text", F.col("text").alias("match"), F.lit(rules[0].perfect).cast(kind).alias("score"))
+    return reduce(DataFrame.unionByName, parts).unionByName(equal)
+
+
+def _best_of(rest: DataFrame, right: DataFrame, placed: DataFrame, column: str, exact: list[str], rule: Rule, ordered: bool) -> DataFrame:
+    """The best choice by one rule for texts that no stricter rule matches."""
+    pairs = similar_pairs(rest.withColumnRenamed("text", column), right, column, exact, rule, unlike=False)
+    pairs = pairs.join(placed, [*exact, "choice"]) if ordered else pairs.withColumn("_place", F.lit(0))
+    if rule.anything:
+        # Two texts of few letters are this far apart whatever they are, and not nearer, or a stricter rule had matched:
+        # of all such choices the first in order is as good as any.
+        short = placed.where(F.length("choice") <= rule.anything)
+        first = F.min(F.struct("_place", "choice")).alias("_first")
+        asked = rest.where(F.length("text") <= rule.anything)
+        if exact:
+            asked = asked.join(short.groupBy(*exact).agg(first), exact)
+        else:
+            asked = asked.withColumn("_first", short.agg(first).scalar()).where("_first IS NOT NULL")
+        pairs = pairs.unionByName(
+            asked.select(*exact, "text", F.col("_first.choice").alias("choice"), F.lit(rule.anything).cast(pairs.schema["score"].dataType).alias("score"), F.col("_first._place").alias("_place"))
+        )
     rank = F.struct(rule.badness(F.col("score")).alias("a"), F.col("_place").alias("b"), F.col("choice").alias("c"))
     best = pairs.groupBy(*exact, "text").agg(F.min_by(F.struct("choice", "score"), rank).alias("_m"))
-    found = best.select(*exact, "text", F.col("_m.choice").alias("match"), F.col("_m.score").alias("score"))
-    perfect = 100.0 if rule.score is indel_ratio_column else 0
-    equal = same.select(
-        *exact, "text", F.col("text").alias("match"), F.lit(perfect).cast(found.schema["score"].dataType).alias("score")
-    )
-    return found.unionByName(equal)
+    return best.select(*exact, "text", F.col("_m.choice").alias("match"), F.col("_m.score").alias("score"))
 
 
 def best_fuzzy_match(df: DataFrame, column: str, choices: DataFrame, threshold: float = 80.0, out: str | None = None) -> DataFrame:
     """Add the best choice by similarity ratio, null below the threshold."""
-    found = best_matches(df, choices, column, [], ratio_rule(threshold))
+    found = best_matches(df, choices, column, [], [ratio_rule(threshold)])
     renamed = found.select(F.col("text").alias(column), F.col("match").alias(out or f"{column}_match"))
     return df.join(renamed, column, "left")
 
 
 def best_osa_match(df: DataFrame, column: str, choices: DataFrame, at_most: int = 3, out: str | None = None) -> DataFrame:
     """Add the best choice by edit distance with swaps, null beyond the bound."""
-    found = best_matches(df, choices, column, [], osa_rule(at_most))
+    rules = [osa_rule(n) for n in range(1, at_most + 1)] or [osa_rule(0)]
+    found = best_matches(df, choices, column, [], rules)
     renamed = found.select(F.col("text").alias(column), F.col("match").alias(out or f"{column}_match"))
     return df.join(renamed, column, "left")
 
@@ -259,7 +295,7 @@ def fuzzy_join(
     The left text is replaced by its match; unmatched left rows keep null.
     """
     exact = exact_on or []
-    found = best_matches(left, right, fuzzy_on, exact, ratio_rule(threshold)).select(
+    found = best_matches(left, right, fuzzy_on, exact, [ratio_rule(threshold)]).select(
         *exact, F.col("text").alias(fuzzy_on), F.col("match").alias(f"{fuzzy_on}_match")
     )
     matched = left.join(found, [*exact, fuzzy_on], "left").drop(fuzzy_on)

@@ -6,14 +6,15 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(app: str = "rollbook", cores: str = "8") -> SparkSession:
-    """A local session for tests and the bench; clusters bring their own."""
+def local_session(app: str = "rollbook", cores: str = "8", scratch: str | None = None) -> SparkSession:
+    """A local session for tests and the bench; clusters bring their own. ``scratch`` is its shared folder."""
     return (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
+        .config("spark.checkpoint.dir", scratch or tempfile.mkdtemp(prefix="rollbook-"))
         .config("spark.sql.shuffle.partitions", cores if cores.isdigit() else "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
@@ -25,16 +26,19 @@ def local_session(app: str = "rollbook", cores: str = "8") -> SparkSession:
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below the cluster's ``spark.checkpoint.dir``.
+    """A fresh folder below the cluster's ``spark.checkpoint.dir``, which all executors share.
 
-    The cluster names the shared folder. Only a local master may fall back to
-    a folder of this machine; anywhere else a missing setting is an error,
-    because executors could not read what another machine wrote.
+    The setting belongs to the cluster or to whoever builds the session, as ``local_session`` does; a missing one
+    is an error at every master, because executors could not read what another machine wrote.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="rollbook-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """The frame as a table in the shared folder: computed once, and kept when executors are lost."""
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

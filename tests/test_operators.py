@@ -1,5 +1,6 @@
 """Properties of the operators on small random frames."""
 
+import math
 import random
 
 import numpy as np
@@ -184,6 +185,104 @@ def test_points_in_polygons_equal_brute_force(spark, cell):
     assert within_any(point_df, edge_df, "x", "y", cell).count() == len({x for x, _ in want})
 
 
+def _wavy(n, seed=0, dense=0.0):
+    """A closed ring of n edges around the origin; a part of ``dense`` of them runs back and forth in a small place."""
+    rng = random.Random(seed)
+    k = int(n * dense)
+    angles = [2 * math.pi * i / (n - k) for i in range(n - k)]
+    ring = [((5 + math.sin(40 * a) + rng.uniform(-10, 10) / n) * math.cos(a), (5 + math.sin(40 * a)) * math.sin(a)) for a in angles]
+    x, y = ring[-1]
+    return ring + [(x + 0.01 * math.cos(i * 2.4) * i / max(k, 1), y + 0.01 * math.sin(i * 2.4) * i / max(k, 1)) for i in range(k)]
+
+
+def _edges(spark, rings):
+    rows = [(p, n, *a, *b) for p, parts in rings.items() for n, ring in enumerate(parts) for a, b in zip(ring, ring[1:] + ring[:1])]
+    return spark.createDataFrame(rows, "poly_id string, ring int, x1 double, y1 double, x2 double, y2 double")
+
+
+def test_cover_grows_with_the_edges(spark):
+    from rollbook.operators.spatial import cover
+
+    for n in (1000, 100000):
+        found = cover(_edges(spark, {"p": [_wavy(n)]}))
+        assert found.edges.count() < 3 * n and found.inside.count() < n
+        assert found.edges.groupBy("poly_id", "_k", "_cx", "_cy").count().agg(F.max("count")).first()[0] <= 8
+
+
+def test_cover_of_dense_places_holes_and_straight_borders(spark):
+    hole = [(x / 3, y / 3) for x, y in _wavy(60, 2)]
+    grid = [(0.0, 0.0), (4.0, 0.0), (4.0, 2.0), (2.0, 2.0), (2.0, 4.0), (0.0, 4.0)]
+    star = [p for i in range(40) for p in ((0.0, 0.0), (3 * math.cos(i), 3 * math.sin(i)), (3 * math.cos(i + 0.05), 3 * math.sin(i + 0.05)))]
+    rings = {"wavy": [_wavy(400, 1, 0.5), hole], "grid": [grid], "star": [star], "far": [[(x + 900.5, y - 77.1) for x, y in grid]], "flat": [[(1.0, 1.0), (2.0, 1.0)]]}
+    rng = random.Random(3)
+    spots = [(rng.uniform(-6, 6), rng.uniform(-6, 6)) for _ in range(300)] + [(x / 2, y / 2) for x in range(-2, 10) for y in range(-2, 10)]
+    spots += [(x + 900.5, y - 77.1) for x, y in spots[-144:]] + [(_x + 1e-4, _y) for _x, _y in rings["wavy"][0][200:400:5]] + [(1e9, 0.0), (float("nan"), 0.0)]
+    got = {tuple(r) for r in points_in_polygons(spark.createDataFrame(spots, "x double, y double"), _edges(spark, rings), "x", "y").collect()}
+
+    def inside(x, y, parts):
+        odd = False
+        for ring in parts:
+            for (x1, y1), (x2, y2) in zip(ring, ring[1:] + ring[:1]):
+                if (y1 > y) != (y2 > y) and (x2 - x1) * (y - y1) / (y2 - y1) + x1 > x:
+                    odd = not odd
+        return odd
+
+    want = {(x, y, p) for x, y in spots for p, parts in rings.items() if inside(x, y, parts)}
+    assert got == want and len({p for _, _, p in want}) == 4
+
+
+def test_points_without_polygons(spark):
+    points = spark.createDataFrame([(1.0, 2.0)], "x double, y double")
+    edges = _edges(spark, {"p": [[(0.0, 0.0), (1.0, 0.0)]]})
+    assert points_in_polygons(points, edges.limit(0), "x", "y").columns == ["x", "y", "poly_id"]
+    assert points_in_polygons(points, edges.limit(0), "x", "y").count() == 0 == points_in_polygons(points.limit(0), edges, "x", "y").count()
+
+
+def test_scores_equal_the_plain_functions(spark):
+    from rollbook.functions.similarity import indel_ratio_column, osa_distance_column
+
+    rng = random.Random(7)
+    word = lambda n: "".join(rng.choice("abcé漢🙂 d") for _ in range(n))
+    sizes = [0, 1, 2, 3, 5, 20, 59, 60, 61, 130]
+    rows = [(word(rng.choice(sizes)), word(rng.choice(sizes))) for _ in range(150)]
+    for _ in range(200):
+        a = word(rng.choice([1, 2, 3, 5, 9, 20, 70]))
+        b = list(a)
+        for _ in range(rng.randint(0, 4)):
+            k, kind = rng.randrange(len(b) + 1), rng.random()
+            if kind < 0.4 and k + 1 < len(b):
+                b[k], b[k + 1] = b[k + 1], b[k]
+            elif kind < 0.7:
+                b.insert(k, rng.choice("abx"))
+            else:
+                del b[k : k + 1]
+        rows.append((a, "".join(b)))
+    df = spark.createDataFrame(rows, "a string, b string")
+    a, b = F.col("a"), F.col("b")
+    for r in df.select("a", "b", indel_ratio_column(a, b).alias("r"), osa_distance_column(a, b, 3).alias("d"), osa_distance_column(a, b, 0).alias("e")).collect():
+        assert abs(r.r - indel_ratio(r.a, r.b)) < 1e-9
+        assert r.d == min(4, osa_distance(r.a, r.b)) and r.e == int(r.a != r.b)
+
+
+def test_short_names_take_the_first_of_the_nearest(spark):
+    rng = random.Random(8)
+    names = sorted({"".join(rng.choice("abcdefghij") for _ in range(rng.choice([1, 2, 3, 3, 4, 7]))) for _ in range(250)})
+    choices, asked = names[::2], [*names[1::2], "zzz", "y", "zzzzzzzz", "", None]
+    left = spark.createDataFrame([(t,) for t in asked], "w string")
+    out = Z.best_osa_match(left, "w", spark.createDataFrame([(t,) for t in choices], "w string"), 3, "found")
+    want = {}
+    for t in asked:
+        near = [(osa_distance(t, c), c) for c in choices] if t else []
+        want[t] = min((x for x in near if x[0] <= 3), default=(0, None))[1]
+    assert {r.w: r.found for r in out.collect()} == want
+
+
+def test_best_matches_run_without_python(spark):
+    df = spark.createDataFrame([("abcd", "x"), ("abdc", "x")], "w string, k string")
+    for out in (Z.best_fuzzy_match(df, "w", df.select("w")), Z.best_osa_match(df, "w", df.select("w")), Z.fuzzy_join(df, df, "w", ["k"])):
+        assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_one_to_one(spark):
     rows = [(1, "a", "x"), (1, "b", "y"), (1, "b", "z"), (1, "c", "w"), (1, "d", "w"), (2, "a", "x"), (2, None, "x")]
     out = {r["g"]: r.asDict() for r in A.one_to_one(spark.createDataFrame(rows, "g int, p string, q string"), "p", "q", "g").collect()}
@@ -222,6 +321,55 @@ def test_narrow_range_far_from_zero(spark):
     assert rows.groupBy(_bucket(F.col("x")), _finer(F.col("x"))).count().agg(F.max("count")).first()[0] < 10
 
 
+def test_least_squares_of_many_levels(spark):
+    from rollbook.operators.stats import ols
+
+    units = spark.range(50000).select(F.concat(F.lit("u"), "id").alias("unit"), F.col("id"))
+    rows = units.withColumn("year", F.explode(F.array(*[F.lit(str(y)) for y in (2020, 2021, 2022)])))
+    noise = F.pmod(F.xxhash64("unit", "year"), F.lit(1000)) / 1000.0
+    rows = rows.select("unit", "year", (F.pmod("id", F.lit(97)) + 5 * (F.col("year") == "2022").cast("int") + noise).alias("y"))
+    out = ols(rows, "y", ["unit", "year"], {"unit": "u0", "year": "2020"}, errors_for=["year"])
+    got = {r.term: r for r in out.where("term LIKE 'year=%' OR term IN ('unit=u1', 'unit=u49999', '(intercept)')").collect()}
+    table = rows.where("unit IN ('u0', 'u1', 'u49999')").toPandas().pivot(index="unit", columns="year", values="y")
+    means = {r.year: r.m for r in rows.groupBy("year").agg(F.avg("y").alias("m")).collect()}
+    # All units have all years: differences of means are the solution.
+    assert abs(got["year=2022"].coefficient - (means["2022"] - means["2020"])) < 1e-6
+    assert abs(got["unit=u1"].coefficient - (table.loc["u1"].mean() - table.loc["u0"].mean())) < 1e-6
+    n = 50000
+    sse = rows.withColumn("u", F.avg("y").over(W.Window.partitionBy("unit"))).join(spark.createDataFrame(list(means.items()), "year string, m double"), "year")
+    sse = sse.agg(F.sum(F.pow(F.col("y") - F.col("u") - F.col("m") + F.lit(sum(means.values()) / 3), 2))).first()[0]
+    assert abs(got["year=2021"].std_error - (2 / n * sse / (3 * n - n - 2)) ** 0.5) < 1e-8
+    assert got["unit=u1"].std_error is None and got["(intercept)"].p_value is None and got["year=2022"].p_value < 1e-12
+    assert out.count() == 50000 - 1 + 2 + 1
+
+
+def test_least_squares_at_its_ends(spark):
+    from rollbook.operators.stats import ols
+
+    rows = spark.createDataFrame([("a", "x", 1.0), ("b", "x", 3.0), ("a", "y", 2.0), (None, "y", 9.0), ("a", "x", None)], "f string, g string, y double")
+    out = {r.term: r for r in ols(rows, "y", ["f", "g"], {"f": "a", "g": "x"}).collect()}
+    assert {t: round(r.coefficient, 9) for t, r in out.items()} == {"(intercept)": 1.0, "f=b": 2.0, "g=y": 1.0}
+    assert all(r.std_error is None and r.t is None and r.p_value is None for r in out.values())
+    with pytest.raises(ValueError, match="f=z"):
+        ols(rows, "y", ["f"], {"f": "z"})
+    assert ols(rows.limit(0), "y", ["f"], {"f": "a"}).count() == 0
+
+
+def test_tails_of_t_and_f(spark):
+    from rollbook.functions.special import f_above, f_two_sided, t_two_sided
+
+    # Published tables of the t and F distributions.
+    table = [(12.706, 1.0, 0.05), (4.303, 2.0, 0.05), (2.228, 10.0, 0.05), (3.169, 10.0, 0.01), (1.984, 100.0, 0.05), (1.96, 1e7, 0.05), (0.0, 5.0, 1.0)]
+    df = spark.createDataFrame(table, "t double, n double, p double")
+    for r in df.select("p", t_two_sided(F.col("t"), F.col("n")).alias("q"), t_two_sided(-F.col("t"), F.col("n")).alias("r")).collect():
+        assert abs(r.q - r.p) < 6e-5 and r.q == r.r
+    one = spark.range(1).select(
+        f_above(F.lit(4.96), F.lit(1), F.lit(10)).alias("a"), f_above(F.lit(3.33), F.lit(5), F.lit(10)).alias("b"), f_two_sided(F.lit(1.0), F.lit(9), F.lit(9)).alias("c"),
+        t_two_sided(F.lit(None).cast("double"), F.lit(3)).alias("d"), t_two_sided(F.lit(1.0), F.lit(0)).alias("e"), t_two_sided(F.lit(float("inf")), F.lit(3)).alias("f"),
+    ).first()
+    assert abs(one.a - 0.05) < 2e-4 and abs(one.b - 0.05) < 2e-4 and abs(one.c - 1) < 1e-12 and one.d is None and one.e is None and one.f == 0
+
+
 def test_welch_t_without_variance(spark):
     from rollbook.operators.stats import welch_t
 
