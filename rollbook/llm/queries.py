@@ -162,20 +162,40 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 
 def _license_sql() -> str:
     """The scan in SQL: sentences cut and named, then one subquery per rule."""
-    named = " ".join(f"WHEN regexp_matches(x, '{phrase}') THEN '{name}'" for name, phrase in licenses.SENTENCES)
-    state = "SELECT rid, doc_id, coalesce(seq, '') AS seq, coalesce(seq, '') AS rest, []::VARCHAR[] AS found FROM d LEFT JOIN q USING (rid)"
+    text = lambda x: "'" + x.replace("'", "''") + "'"
+    white = licenses.WHITE
+    candidates = ", ".join(f"{{'rank': {i}, 'name': '{name}', 'm': regexp_extract(x, {text(phrase)}, 0)}}" for i, (name, phrase) in enumerate(licenses.SENTENCES))
+    state = "SELECT rid, coalesce(seq, '') AS rest, []::VARCHAR[] AS found FROM d LEFT JOIN q USING (rid)"
     for name, ids in licenses.RULES:
         part = "".join(f" {i} " for i in ids.split())
-        state = f"""SELECT rid, doc_id, seq, replace(rest, '{part}', '') AS rest,
+        state = f"""SELECT rid, replace(rest, '{part}', '') AS rest,
             CASE WHEN contains(rest, '{part}') AND NOT list_contains(found, '{name}') THEN list_append(found, '{name}') ELSE found END AS found FROM ({state})"""
+    replaced = "coalesce(text, '')"
+    for pattern, by in ((licenses.COMMENT, "''"), (licenses.COMMENT_END, "''"), (licenses.TAG_LINE, r"chr(10) || chr(10) || '\1' || chr(10) || chr(10)"),
+                        (licenses.BLANK_LINES, "chr(1)"), (licenses.WRAP, "' '"), (f"([.!?]){white}+", r"'\1' || chr(1)")):
+        replaced = f"regexp_replace({replaced}, {text(pattern)}, {by}, 'g')"
+    known = ", ".join(f"'{n.lower()}': '{n}'" for n in licenses.SPDX)
+    tag = licenses.TAG
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
-c AS (SELECT rid, string_split(lower(regexp_replace(regexp_replace(text, '([^.;:!?\s])[ \t\r]*\n[ \t]*([a-z("])', '\1 \2', 'g'), '([.;:!?])\s+', '\1' || chr(10), 'g')), chr(10)) AS parts
-    FROM d WHERE regexp_matches(lower(text), '{licenses.HINT}')),
-u AS (SELECT rid, unnest(range(len(parts))) AS i, trim(regexp_replace(unnest(parts), '\s+', ' ', 'g'), ' ' || chr(10) || chr(9)) AS x FROM c),
-n AS (SELECT rid, i, CASE {named} END AS id FROM u WHERE regexp_matches(x, '{licenses.HINT}')),
-q AS (SELECT rid, string_agg(' ' || id || ' ', '' ORDER BY i) AS seq FROM n WHERE id IS NOT NULL GROUP BY rid)
-SELECT doc_id, trim(replace(seq, '  ', ' ')) AS sentence_ids, array_to_string(found, ',') AS licenses, trim(regexp_replace(rest, ' +', ' ', 'g')) AS unmatched FROM ({state})"""
+c AS (SELECT rid, string_split(lower({replaced}), chr(1)) AS parts FROM d WHERE regexp_matches(lower(text), '{licenses.HINT}')),
+u AS (SELECT rid, unnest(range(len(parts))) AS i, trim(regexp_replace(unnest(parts), '{white}+', ' ', 'g'), ' ') AS x FROM c),
+f AS (SELECT rid, i, x, list_transform(list_filter([{candidates}], lambda c: c.m <> ''), lambda c: {{'s': strpos(x, c.m), 'rank': c.rank, 'n': length(c.m), 'name': c.name}}) AS p
+    FROM u WHERE regexp_matches(x, '{licenses.HINT}') AND NOT starts_with(x, '{tag}')),
+a AS (SELECT rid, i, x, list_filter(p, lambda c: len(list_filter(p, lambda e: e.rank < c.rank AND e.s < c.s + c.n AND c.s < e.s + e.n)) = 0) AS p FROM f),
+o AS (SELECT rid, i, x, unnest(CASE WHEN len(list_filter(p, lambda c: c.name <> '{licenses.FALLBACK}')) > 0 THEN list_filter(p, lambda c: c.name <> '{licenses.FALLBACK}') ELSE p END) AS c FROM a),
+n AS (SELECT rid, i, c.s AS j, c.rank AS k, c.name AS id FROM o WHERE NOT regexp_matches(substr(x, 1, c.s - 1), {text(licenses.DENIED)})),
+g AS (SELECT rid, i, string_split(regexp_replace(regexp_replace(regexp_replace(substr(x, {len(tag) + 1}), '^ ?:', ''), ' with [^ ()]+', '', 'g'), '[()*/,;"'']|-->', ' ', 'g'), ' ') AS w
+    FROM u WHERE starts_with(x, '{tag}')),
+t AS (SELECT rid, i, j, regexp_replace(regexp_replace(w, '\+$', '-or-later'), '-only$', '') AS id FROM (SELECT rid, i, unnest(range(len(w))) AS j, unnest(w) AS w FROM g) WHERE w NOT IN ('', 'and', 'or')),
+m AS (SELECT rid, i, j, id, map {{{known}}}[id] AS name FROM t),
+b AS (SELECT rid, list(name ORDER BY i, j) FILTER (name IS NOT NULL) AS names, string_agg('spdx:' || id, ' ' ORDER BY i, j) FILTER (name IS NULL) AS unknown FROM m GROUP BY rid),
+q AS (SELECT rid, string_agg(' ' || id || ' ', '' ORDER BY i, j, k) AS seq FROM n GROUP BY rid),
+w AS (SELECT rid, string_agg(id, ' ' ORDER BY i, j, k) AS ids FROM (SELECT rid, i, j, k, id FROM n UNION ALL SELECT rid, i, j, 0, 'spdx:' || id FROM t) GROUP BY rid),
+z AS ({state}),
+y AS (SELECT rid, rest, found, list_concat(found, coalesce(names, [])) AS names, unknown FROM z LEFT JOIN b USING (rid))
+SELECT doc_id, coalesce(ids, '') AS sentence_ids, array_to_string(list_filter(names, lambda v, i: list_position(names, v) = i), ',') AS licenses,
+    trim(regexp_replace(rest || ' ' || coalesce(unknown, ''), ' +', ' ', 'g')) AS unmatched FROM d JOIN y USING (rid) LEFT JOIN w USING (rid)"""
 
 
 @query("op9_license_rules", _license_sql())
