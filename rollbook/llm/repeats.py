@@ -113,7 +113,8 @@ def anchors(data: np.ndarray, ends: np.ndarray, least: int) -> tuple[np.ndarray,
         sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_WORDS[data[base:top]] * up[: top - base], dtype=np.uint64)))
         context = (sums[right - base] - sums[left - base]) * down[left - base]
         context = mix(mix(context + (place - left).astype(np.uint64)) + (right - place).astype(np.uint64) * _ODD)
-        found.append((place, h[at], context))
+        # Anchors have small hashes; mixed once more they spread over all values.
+        found.append((place, mix(h[at] + _ODD), context))
     place, h, context = (np.concatenate(x) for x in zip(*found, strict=True))
     place, first = np.unique(place, return_index=True)
     return place, h[first], context[first]
