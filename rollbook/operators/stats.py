@@ -97,6 +97,8 @@ def _solve(terms: DataFrame, pairs: DataFrame, sides: int) -> DataFrame:
             numbers(lambda k: F.sum(value("p", k) * value("q", k))).alias("pq"), numbers(lambda k: F.sum(value("r", k) * value("r", k) / F.col("d"))).alias("rr"),
             numbers(lambda k: F.sum(value("r", k) * value("q", k) / F.col("d"))).alias("rq"), numbers(lambda k: F.sum(value("q", k) * value("q", k) / F.col("d"))).alias("qq"),
         ).first()
+        if sums.rr[0] is None:  # no term at all
+            return now
         first = first or list(sums.rr)
         open_ = [rr > SMALL * SMALL * start and pq > 0 for rr, pq, start in zip(sums.rr, sums.pq, first)]
         if not any(open_):
