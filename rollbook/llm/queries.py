@@ -36,8 +36,7 @@ _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _LINES = f"""
 row_of AS (SELECT row_number() OVER () AS rid, * FROM documents),
 raw AS (SELECT rid, doc_id, source, text, unnest(string_split(coalesce(text, ''), chr(10))) AS x FROM row_of),
-line AS (SELECT rid, doc_id, source, text, x AS raw, {_NORMAL} AS x FROM raw),
-family AS (SELECT rid, max(struct_pack(n := length(x), line := x)).line AS family FROM line GROUP BY rid)"""
+line AS (SELECT rid, doc_id, source, text, x AS raw, {_NORMAL} AS x FROM raw)"""
 
 QUALITY = f"""
 WITH {_LINES},
@@ -48,9 +47,7 @@ again AS (SELECT rid, i, lead(i) OVER (PARTITION BY rid ORDER BY i) AS j FROM (
     SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS c FROM gram WHERE n = 5) WHERE c > 1),
 repeats AS (SELECT rid, sum(least(5, coalesce(j - i, 5))) AS r FROM again GROUP BY rid),
 dups AS (SELECT rid, count(*) - count(DISTINCT raw) AS d FROM line WHERE x <> '' GROUP BY rid),
-held AS (SELECT DISTINCT source, x, family, text FROM line JOIN family USING (rid) WHERE x <> ''),
-limits AS (SELECT source, x FROM held GROUP BY source, x
-    HAVING count(DISTINCT family) > 20 AND 2 * count(DISTINCT family) >= count(DISTINCT text)),
+limits AS (SELECT source, x FROM line WHERE x <> '' GROUP BY source, x HAVING count(DISTINCT text) > 20),
 lost AS (SELECT rid, sum(len(regexp_extract_all(line.x, '[^\x20\x09-\x0D]+'))) AS w FROM line JOIN limits
     ON line.x = limits.x AND line.source IS NOT DISTINCT FROM limits.source GROUP BY rid),
 base AS (SELECT doc_id, rid, len({_WORDS}) AS n_words,
@@ -72,14 +69,18 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-SPREAD = f"""
-WITH {_LINES},
-held AS (SELECT DISTINCT source, x, family, text FROM line JOIN family USING (rid) WHERE x <> ''),
-spread AS (SELECT x FROM held GROUP BY x HAVING count(DISTINCT coalesce(source, chr(0))) >= 10
-    AND count(DISTINCT family) >= 10 AND 2 * count(DISTINCT family) >= count(DISTINCT text)),
+SPREAD = """
+WITH """ + _LINES.strip() + """,
+wide AS (SELECT x FROM line WHERE x <> '' GROUP BY x HAVING count(DISTINCT coalesce('s' || source, '')) >= 10),
+held AS (SELECT DISTINCT doc_id, text, x, length(x) AS n, x IN (SELECT x FROM wide) AS w FROM line WHERE x <> ''),
+sides AS (SELECT max({'n': n, 'x': x}) FILTER (NOT w) AS own, coalesce(sum(n) FILTER (NOT w), 0) AS own_chars, sum(n) FILTER (w) AS wide_chars,
+    list({'n': n, 'x': x} ORDER BY n DESC, x DESC) FILTER (w) AS shared FROM held GROUP BY doc_id, text HAVING bool_or(w)),
+judged AS (SELECT own.x AS own, own_chars, wide_chars, shared[1].x AS first, shared[2].x AS second, unnest(shared) AS s FROM sides),
+family AS (SELECT s.x AS x, coalesce(CASE WHEN 4 * own_chars >= wide_chars - s.n THEN own END, CASE WHEN s.x = first THEN second ELSE first END, own, '') AS family FROM judged),
+spread AS (SELECT x FROM family GROUP BY x HAVING count(DISTINCT family) >= 10),
 place AS (SELECT rid, doc_id, text, unnest(string_split(text, chr(10))) AS x, unnest(range(len(string_split(text, chr(10))))) AS i FROM row_of WHERE text IS NOT NULL),
 marked AS (SELECT p.rid, p.i, p.x, spread.x IS NOT NULL AS gone FROM
-    (SELECT rid, i, x AS raw, {_NORMAL} AS n, x FROM place) p LEFT JOIN spread ON p.n = spread.x),
+    (SELECT rid, i, x AS raw, """ + _NORMAL + """ AS n, x FROM place) p LEFT JOIN spread ON p.n = spread.x),
 built AS (SELECT rid, count(*) FILTER (gone) AS n_removed, coalesce(string_agg(x, chr(10) ORDER BY i) FILTER (NOT gone), '') AS text FROM marked GROUP BY rid)
 SELECT row_of.doc_id, built.text, coalesce(n_removed, 0) AS n_removed FROM row_of LEFT JOIN built USING (rid)"""
 

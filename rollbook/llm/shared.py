@@ -18,11 +18,25 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     """The frame as a table in the shared folder.
 
     Cuts the lineage in a way that outlives lost executors, and gives a join a plain
-    scan on that side, so that adaptive execution can split a hot key.
+    scan on that side, so that adaptive execution can split a hot key. What was shuffled
+    for it is let go once the table is there.
     """
-    path = shared_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, key = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    path, before = shared_folder(spark, purpose), spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(key, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a ``written`` table that nothing will read again."""
+    spark = table.sparkSession
+    for file in {f.rpartition("/")[0] for f in table.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(file)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 @contextlib.contextmanager

@@ -130,24 +130,11 @@ def test_one_row_of_each_class_stays(spark):
     assert got == [(1, "a b c d e"), (4, "k l m n o"), (5, ""), (5, ""), (6, ""), (None, ""), (None, "p q r s")]
 
 
-def test_signatures_follow_any_order_of_shingles():
-    rng = np.random.default_rng(2)
-    levels = rng.integers(0, 4, ngram_join.SLOTS).astype(np.uint8)
-    for n in [*range(1, 40), 200, 1000]:
-        base = np.unique(rng.integers(1, 2**63, n, dtype=np.uint64))
-        other = np.unique(np.concatenate((rng.permutation(base)[n // 12 :], rng.integers(1, 2**63, n // 12, dtype=np.uint64))))
-        both = len(np.intersect1d(base, other))
-        if both < n and 100 * both >= 80 * (2 * n - both):
-            assert np.intersect1d(ngram_join.signatures(base, 80, levels), ngram_join.signatures(other, 80, levels)).size
-        assert len(ngram_join.signatures(base, 80, levels)) <= n // 5 + 1
-
-
-def test_frequent_shingles_come_last(spark):
-    texts = [f"the same long passage of words that all texts share own{i} mine{i} alone{i}" for i in range(300)]
-    levels = ngram_join.frequency_levels(spark.createDataFrame([(t.encode(),) for t in texts], "text binary"), 3)
-    (tokens,) = shingle_sets([texts[0].encode()], 3)
-    level = sorted(levels[(tokens & np.uint64(ngram_join.SLOTS - 1)).astype(np.int64)])
-    assert level[:3] == [6, 6, 6] and level[3:] == [round(6 * np.log2(301))] * (len(level) - 3)
+@pytest.mark.parametrize("percent", [60, 80, 90])
+def test_linked_sizes_share_a_range(spark, percent):
+    n = spark.range(1, 3000).select(F.col("id").alias("n"), ngram_join._ranges(F.col("id"), percent).alias("r"))
+    ranges = {x.n: set(x.r) for x in n.collect()}
+    assert all(ranges[a] & ranges[b] for a in range(1, 3000, 7) for b in range(a, min(2999, a * 100 // percent) + 1))
 
 
 def test_rows_without_an_id_are_fetched_once(spark):
