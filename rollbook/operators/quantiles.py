@@ -1,10 +1,11 @@
 """Exact quantiles and moments that never hold a group in one task.
 
 Equal values are counted first, in the only pass over the rows. Values then
-fall into buckets by order of magnitude, and those into finer ones. Bucket
-counts tell which buckets hold the wanted ranks, and only the values of those
-are ordered. A group has at most some millions of buckets, a bucket about a
-million finer ones, and a finer one some millions of values, whatever the data.
+fall into buckets by order of magnitude. Bucket counts tell which buckets hold
+the wanted ranks, and only the values of those are ordered; a bucket of many
+values is first cut into finer ones in the same way. A group has at most some
+millions of buckets, a bucket about a million finer ones, and a finer one some
+millions of values, whatever the data.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 PER_DOUBLING = 1024
 FINER = 1 << 20
 SHIFT = 1100
+# Values of a bucket that are ordered as they are.
+MANY = 200_000
 # Buckets of infinite and of missing values.
 INFINITE = 4000 * PER_DOUBLING
 NO_VALUE = -(1 << 62)
@@ -54,22 +57,26 @@ def _near(b: Column) -> Column:
     return F.when(none, 0.0).otherwise(F.signum(b.cast("double")) * size)
 
 
-def distribution(counted: DataFrame, by: list[str], probs: dict[str, float]) -> DataFrame:
+def distribution(counted: DataFrame, by: list[str], probs: dict[str, float], many: int = MANY) -> DataFrame:
     """Per group of counted values: ``n``, ``mean``, ``std`` and a column per probability.
 
     Quantiles interpolate linearly between the two nearest ranks. Groups
-    without any value keep a row with ``n`` 0.
+    without any value keep a row with ``n`` 0. Only buckets of more than ``many`` values are cut finer.
     """
-    placed = counted.withColumns({"_b": _bucket(F.col("_v")), "_f": _finer(F.col("_v"))})
-    off = F.col("_v") - _near(F.col("_b"))
+    placed = counted.withColumn("_b", _bucket(F.col("_v")))
+    near = _near(F.col("_b"))
+    # Within a bucket values are measured by how far they are from the near one, in its own size: no square overflows.
+    unit = F.when(near == 0, 1.0).otherwise(near)
+    off = (F.col("_v") - near) / unit
     some = F.when(F.col("_v").isNotNull(), F.col("_c")).otherwise(0)
     sizes = placed.groupBy(*by, "_b").agg(
-        F.sum(some).alias("_bc"), F.sum(off * F.col("_c")).alias("_s1"), F.sum(off * off * F.col("_c")).alias("_s2")
+        F.sum(some).alias("_bc"), F.sum(off * F.col("_c")).alias("_s1"), F.sum(off * off * F.col("_c")).alias("_s2"), F.count(F.lit(1)).alias("_values")
     )
     # A group has at most one row per bucket here, however many rows it had.
     in_order = Window.partitionBy(*by).orderBy("_b")
     whole = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    local_mean = _near(F.col("_b")) + F.try_divide(F.col("_s1"), F.col("_bc"))
+    sizes = sizes.withColumn("_g", F.coalesce(F.nullif(F.max(F.abs(near)).over(whole), F.lit(0.0)), F.lit(1.0)))
+    local_mean = near / F.col("_g") + unit / F.col("_g") * F.try_divide(F.col("_s1"), F.col("_bc"))
     starts = sizes.withColumns(
         {
             "_start": F.sum("_bc").over(in_order) - F.col("_bc"),
@@ -77,26 +84,31 @@ def distribution(counted: DataFrame, by: list[str], probs: dict[str, float]) ->
             "_mean": F.try_divide(F.sum(F.col("_bc") * local_mean).over(whole), F.sum("_bc").over(whole)),
         }
     )
-    within = F.col("_s2") - F.try_divide(F.pow("_s1", F.lit(2)), F.col("_bc"))
+    within = (F.col("_s2") - F.try_divide(F.pow("_s1", F.lit(2)), F.col("_bc"))) * F.pow(unit / F.col("_g"), 2)
     between = F.col("_bc") * F.pow(local_mean - F.col("_mean"), 2)
     starts = starts.withColumn("_dev", F.sum(F.greatest(within, F.lit(0.0)) + between).over(whole))
 
     place = {name: F.lit(float(p)) * (F.col("_n") - 1) for name, p in probs.items()}
     ranks = F.array(*[rank for at in place.values() for rank in (F.floor(at), F.ceil(at))])
     holds = F.exists(ranks, lambda r: (r >= F.col("_start")) & (r < F.col("_start") + F.col("_bc")))
-    wanted = starts.where(holds | (F.col("_n") == 0)).select(*by, "_b", "_start", "_n", "_mean", "_dev")
+    wanted = starts.where(holds | (F.col("_n") == 0)).select(
+        *by, "_b", "_start", "_n", (F.col("_mean") * F.col("_g")).alias("_mean"), "_dev", "_g", "_values"
+    )
+    few = placed.join(wanted.where(F.col("_values") <= many).drop("_values"), [*by, "_b"]).withColumn("_f", F.lit(-1).cast("long"))
 
-    # The same once more inside the wanted buckets.
-    finer = placed.groupBy(*by, "_b", "_f").agg(F.sum(some).alias("_fc")).join(wanted, [*by, "_b"])
+    # The same once more inside the wanted buckets that hold many values.
+    dense = wanted.where(F.col("_values") > many).drop("_values")
+    cut = placed.join(dense, [*by, "_b"]).withColumn("_f", _finer(F.col("_v")))
+    shared = ["_start", "_n", "_mean", "_dev", "_g"]
+    finer = cut.groupBy(*by, "_b", "_f").agg(F.sum(some).alias("_fc"), *[F.first(c).alias(c) for c in shared])
     rising = Window.partitionBy(*by, "_b").orderBy("_f")
     begun = finer.withColumn("_start", F.col("_start") + F.sum("_fc").over(rising) - F.col("_fc"))
     holds = F.exists(ranks, lambda r: (r >= F.col("_start")) & (r < F.col("_start") + F.col("_fc")))
     chosen = begun.where(holds | (F.col("_n") == 0)).drop("_fc")
+    rest = cut.drop(*shared).join(chosen, [*by, "_b", "_f"])
 
     ordered = Window.partitionBy(*by, "_b", "_f").orderBy("_v")
-    fine = placed.join(chosen, [*by, "_b", "_f"]).withColumn(
-        "_last", F.col("_start") + F.sum("_c").over(ordered)
-    )
+    fine = few.unionByName(rest).withColumn("_last", F.col("_start") + F.sum("_c").over(ordered))
 
     def at_rank(rank: Column) -> Column:
         inside = (rank >= F.col("_last") - F.col("_c")) & (rank < F.col("_last"))
@@ -107,7 +119,7 @@ def distribution(counted: DataFrame, by: list[str], probs: dict[str, float]) ->
     }
     picked = fine.groupBy(*by).agg(
         F.coalesce(F.max("_n"), F.lit(0)).alias("n"), F.max("_mean").alias("mean"),
-        F.max(F.sqrt(F.try_divide(F.col("_dev"), F.col("_n") - 1))).alias("std"),
+        F.max(F.sqrt(F.try_divide(F.col("_dev"), F.col("_n") - 1)) * F.col("_g")).alias("std"),
         *[c.alias(f"{name}_{i}") for name, cs in ends.items() for i, c in enumerate(cs)],
     )
     def blend(p: str) -> Column:

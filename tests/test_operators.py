@@ -312,6 +312,25 @@ def test_quantiles_take_infinity_and_skip_nan(spark):
     assert (out["n"], out["low"], out["mid"], out["high"]) == (5, -float("inf"), 2.0, float("inf"))
 
 
+@pytest.mark.parametrize("many", [0, 3, 10**6])
+def test_buckets_of_many_values_are_cut(spark, many):
+    rng = np.random.default_rng(5)
+    rows = [(k, float(x)) for k, n in (("a", 400), ("b", 3), ("c", 90)) for x in rng.normal(1000 if k == "a" else 0, 1, n)] + [("d", None), ("e", 0.0), ("e", 0.0)]
+    probs = {"p": 0.1, "q": 0.5, "r": 0.99}
+    out = {r.g: r for r in distribution(count_values(spark.createDataFrame(rows, "g string, x double"), "x", ["g"]), ["g"], probs, many).collect()}
+    for g in "abc":
+        x = np.array([v for k, v in rows if k == g])
+        assert np.allclose([out[g].p, out[g].q, out[g].r, out[g]["mean"], out[g]["std"]], [*np.quantile(x, [0.1, 0.5, 0.99]), x.mean(), x.std(ddof=1)], rtol=1e-9)
+    assert (out["d"].n, out["d"].p, out["e"].n, out["e"].q, out["e"]["std"]) == (0, None, 2, 0.0, 0.0)
+
+
+def test_moments_of_huge_and_tiny_values(spark):
+    for x in ([1e300, 2e300, 4e300], [1e-300, 3e-300], [-1e308, 1e308, 0.0], [5e-324, 1e308]):
+        out = distribution(count_values(spark.createDataFrame([(v,) for v in x], "x double"), "x", []), [], {"p": 0.5}).first()
+        scaled = np.array(x) / max(abs(v) for v in x)
+        assert np.isclose(out["std"] / max(abs(v) for v in x), scaled.std(ddof=1), rtol=1e-9) and np.isclose(out["mean"] / max(abs(v) for v in x), scaled.mean(), atol=1e-12)
+
+
 def test_narrow_range_far_from_zero(spark):
     from rollbook.operators.quantiles import _bucket, _finer, count_values, distribution
 
