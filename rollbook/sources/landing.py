@@ -139,15 +139,17 @@ def split_new(
     return accepted, missing.unionByName(repeated)
 
 
-def completeness(actual: DataFrame, expected: DataFrame, keys: list[str], type_key: str | None = None) -> DataFrame:
+def completeness(actual: DataFrame, expected: DataFrame, keys: list[str], type_key: str | None = None, counted: str | None = None) -> DataFrame:
     """Loaded against expected counts: ``missing``, ``done`` or ``excess``.
 
-    ``expected`` has the keys and ``count``. A null type counts as 0.
+    ``expected`` has the keys and ``count``. A null type counts as 0. ``actual`` has a row for each record, or
+    counts in the column ``counted``, such as landing keeps them.
     """
     def prepared(df: DataFrame) -> DataFrame:
         return df.fillna(0, [type_key]) if type_key else df
 
-    counts = prepared(actual).groupBy(*keys).agg(F.count(F.lit(1)).alias("loaded"))
+    number = F.sum(counted) if counted else F.count(F.lit(1))
+    counts = prepared(actual).groupBy(*keys).agg(number.alias("loaded"))
     joined = prepared(expected).withColumnRenamed("count", "expected").join(counts, keys, "left").fillna(0, ["loaded"])
     status = (
         F.when(F.col("loaded") > F.col("expected"), "excess")
