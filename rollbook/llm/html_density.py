@@ -30,7 +30,7 @@ ENDS = {
     "td": ({"td", "th"}, {"table"}), "th": ({"td", "th"}, {"table"}), "option": ({"option"}, {"select"}),
 }
 # Elements and words of class, id and role that name what is not article text.
-NOT_TEXT = set("head script style noscript template nav header footer aside form button select textarea iframe svg object canvas dialog menu".split())
+NOT_TEXT = set("head script style noscript template nav header footer aside button select textarea iframe svg object canvas dialog menu".split())
 NOT_TEXT_WORDS = set(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments complementary contentinfo cookie cookies "
     "consent dialog disclaimer discussion disqus footer header masthead menu menubar modal nav navbar navigation newsletter notice notices "
@@ -38,6 +38,10 @@ NOT_TEXT_WORDS = set(
     "sponsor sponsored subscribe toolbar topbar widget widgets alert".split()
 )
 BESIDE = set("has is no show with without".split())
+#: Words that keep their meaning whatever stands below; other named elements, and forms, may be wrappers of the page.
+ALWAYS = set("ad ads advert adverts advertisement advertising comment comments disqus cookie cookies consent popup sponsor sponsored newsletter breadcrumb breadcrumbs".split())
+#: Share of the page's unlinked text that makes a named element a wrapper.
+WRAPPER = 0.85
 _TOKEN = re.compile(
     r"<!--(?:.*?-->|.*\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[/a-zA-Z][^>]*\Z|[^<]+|<", re.S
 )
@@ -47,27 +51,52 @@ _SPLIT = re.compile(r"[^a-z]+")
 
 
 class Node:
-    __slots__ = ("tag", "inside", "parent", "out", "chars", "tags", "link_chars", "link_tags", "density", "score")
+    __slots__ = ("tag", "inside", "parent", "out", "named", "chars", "tags", "link_chars", "link_tags", "density", "score")
 
     def __init__(self, tag: str, parent: Node | None, out: bool):
-        self.tag, self.parent, self.out = tag, parent, out
+        self.tag, self.parent, self.out, self.named = tag, parent, out, False
         #: Nodes and texts in page order.
         self.inside: list[Node | str] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.score = 0.0
 
 
-def names_other(attributes: str, tag: str) -> bool:
-    """Whether class, id or role name something that is not the article, or the element is hidden."""
-    if not attributes or tag in ("html", "body", "article", "main"):
-        return False
+def _other_words(attributes: str) -> set[str]:
+    """Words of class, id and role that name something that is not the article."""
+    words: set[str] = set()
     for found in _NAMES.findall(attributes):
         for token in (found[0] or found[1] or found[2]).split():
-            parts = _SPLIT.split(re.sub(r"([a-z])([A-Z])", r"\1 \2", token).lower())
-            # "has-sidebar" says what stands beside the article.
-            if parts[0] not in BESIDE and not NOT_TEXT_WORDS.isdisjoint(parts):
-                return True
-    return bool(_HIDDEN.search(attributes))
+            parts = [p for p in _SPLIT.split(re.sub(r"([a-z])([A-Z])", r"\1 \2", token).lower()) if p]
+            for i, part in enumerate(parts):
+                # "has-sidebar" and "layout-with-sidebar" say what stands beside the article, "ad-free" what does not.
+                if part in NOT_TEXT_WORDS and BESIDE.isdisjoint(parts[:i]) and parts[i + 1 : i + 2] not in (["free"], ["less"]):
+                    words.add(part)
+    return words
+
+
+def names_other(attributes: str, tag: str) -> str:
+    """Whether the element is hidden or named as something that is not the article: "always", or "maybe" a wrapper, or ""."""
+    if tag == "form":
+        return "always" if attributes and _HIDDEN.search(attributes) else "maybe"
+    if not attributes or tag in ("html", "body", "article", "main"):
+        return ""
+    words = _other_words(attributes)
+    if _HIDDEN.search(attributes) or not ALWAYS.isdisjoint(words):
+        return "always"
+    return "maybe" if words else ""
+
+
+def cut_named(nodes: list[Node]) -> None:
+    """Takes out named elements and forms, but for those that hold nearly all of the page's unlinked text: these are wrappers."""
+    free: dict[int, int] = {}
+    for node in reversed(nodes):
+        if node.out or node.tag == "a":
+            continue
+        free[id(node)] = sum(_size(x) if isinstance(x, str) else free.get(id(x), 0) for x in node.inside)
+    whole = free.get(id(nodes[0]), 0)
+    for node in nodes:
+        wrapper = node.named and free.get(id(node), 0) > WRAPPER * whole
+        node.out = node.out or (node.parent is not None and node.parent.out) or (node.named and not wrapper)
 
 
 def parse(page: str) -> tuple[Node, list[Node]]:
@@ -109,7 +138,9 @@ def parse(page: str) -> tuple[Node, list[Node]]:
             if open_[-1].tag == "option":
                 open_.pop()
         parent = open_[-1]
-        node = Node(name, parent, parent.out or name in NOT_TEXT or names_other(found[3], name))
+        other = names_other(found[3], name)
+        node = Node(name, parent, parent.out or name in NOT_TEXT or other == "always")
+        node.named = other == "maybe"
         parent.inside.append(node)
         nodes.append(node)
         if name in RAW:
@@ -123,6 +154,7 @@ def parse(page: str) -> tuple[Node, list[Node]]:
             open_.append(node)
         elif name not in VOID and name in BLOCK:
             open_.append(node)  # a slash at the end of an ordinary start tag means nothing
+    cut_named(nodes)
     return root, nodes
 
 
