@@ -183,15 +183,29 @@ def located(t):
     return VO.geocoded_enrollments(people_rows, codes, placed_institutes(t))
 
 
-LAMBERT = """d0 AS (SELECT e.*, k.latitude AS student_lat, k.longitude AS student_long, r.latitude AS institute_lat, r.longitude AS institute_long FROM enrolled e
+def vincenty(source: str, lat1: str, lon1: str, lat2: str, lon2: str, to: str, out: str) -> str:
+    """CTEs that add kilometres along the ellipsoid to a table, by eight steps of the inverse iteration."""
+    f = "(1/298.257223563)"
+    parts = f"""sqrt(pow(cu2*sin(lam),2)+pow(cu1*su2-su1*cu2*cos(lam),2)) AS ss, su1*su2+cu1*cu2*cos(lam) AS cs"""
+    more = "COALESCE(cu1*cu2*sin(lam)/NULLIF(ss,0),0) AS sa"
+    last = f"COALESCE(cs-2*su1*su2/NULLIF(1-sa*sa,0),0) AS cm, {f}/16*(1-sa*sa)*(4+{f}*(4-3*(1-sa*sa))) AS k"
+    step = lambda n: f"(SELECT *, {last} FROM (SELECT *, {more} FROM (SELECT *, {parts} FROM g{n})))"
+    ctes = [f"""g0 AS MATERIALIZED (SELECT *, sin(a1) AS su1, cos(a1) AS cu1, sin(a2) AS su2, cos(a2) AS cu2, dl AS lam FROM (SELECT *, atan((1-{f})*tan(radians({lat1}))) AS a1, atan((1-{f})*tan(radians({lat2}))) AS a2,
+ abs(atan2(sin(radians({lon2})-radians({lon1})),cos(radians({lon2})-radians({lon1})))) AS dl FROM {source}))"""]
+    for n in range(8):
+        ctes.append(f"g{n + 1} AS MATERIALIZED (SELECT * EXCLUDE (lam, ss, cs, sa, cm, k), dl+(1-k)*{f}*sa*(atan2(ss,cs)+k*ss*(cm+k*cs*(2*cm*cm-1))) AS lam FROM {step(n)})")
+    ctes.append(f"""h AS MATERIALIZED (SELECT *, (1-sa*sa)*(1/pow(1-{f},2)-1) AS u FROM {step(8)}),
+h2 AS MATERIALIZED (SELECT *, 1+u/16384*(4096+u*(u*(320-175*u)-768)) AS gr, u/1024*(256+u*(u*(74-47*u)-128)) AS be FROM h),
+{to} AS (SELECT * EXCLUDE (a1, a2, su1, cu1, su2, cu2, dl, lam, ss, cs, sa, cm, k, u, gr, be), 6378.137*(1-{f})*gr*(atan2(ss,cs)-be*ss*(cm+be/4*(cs*(2*cm*cm-1)-be/6*cm*(4*ss*ss-3)*(4*cm*cm-3)))) AS {out} FROM h2)""")
+    return ",\n".join(ctes)
+
+
+ALONG = """d0 AS (SELECT e.*, k.latitude AS student_lat, k.longitude AS student_long, r.latitude AS institute_lat, r.longitude AS institute_long FROM enrolled e
  LEFT JOIN known k USING (address) LEFT JOIN (SELECT DISTINCT sams_code, latitude, longitude FROM inst JOIN raw_addr ON ncvtmis_code='N' || l_suppkey WHERE inst.module='ITI') r USING (sams_code) WHERE e.module='ITI'),
-d1 AS (SELECT *, atan((1-1/298.257223563)*tan(radians(student_lat))) AS b1, atan((1-1/298.257223563)*tan(radians(institute_lat))) AS b2, radians(institute_long)-radians(student_long) AS dl FROM d0),
-d2 AS (SELECT *, 2*asin(sqrt(pow(sin((b2-b1)/2),2)+cos(b1)*cos(b2)*pow(sin(dl/2),2))) AS ang, (b1+b2)/2 AS p, (b2-b1)/2 AS q FROM d1),
-located AS (SELECT *, 6378.137*(ang-(1/298.257223563)/2*(COALESCE((ang-sin(ang))*pow(sin(p),2)*pow(cos(q),2)/NULLIF(pow(cos(ang/2),2),0),0)
- +COALESCE((ang+sin(ang))*pow(cos(p),2)*pow(sin(q),2)/NULLIF(pow(sin(ang/2),2),0),0))) AS distance FROM d2)"""
+""" + vincenty("d0", "student_lat", "student_long", "institute_lat", "institute_long", "located", "distance")
 
 
-@query("geocoded_iti_enrollment", _with(PLACES + ",\n" + LAMBERT, """
+@query("geocoded_iti_enrollment", _with(PLACES + ",\n" + ALONG, """
 SELECT barcode, ROUND(student_lat,6) AS student_lat, ROUND(institute_long,6) AS institute_long, ROUND(distance,3) AS distance FROM located"""))
 def geocoded_iti_enrollment(t):
     return located(t).select("barcode", F.round("student_lat", 6).alias("student_lat"), F.round("institute_long", 6).alias("institute_long"), F.round("distance", 3).alias("distance"))
@@ -207,10 +221,8 @@ def geocoded_diploma_enrollment(t):
 
 @query("distance", """
 WITH d0 AS (SELECT c_custkey, s_suppkey, 18+c_acctbal/400 AS la, 60+c_nationkey*3 AS lo, s_acctbal/150 AS lb, 10-s_nationkey*7 AS lp FROM customer JOIN supplier ON c_nationkey=s_nationkey),
-d1 AS (SELECT *, atan((1-1/298.257223563)*tan(radians(la))) AS b1, atan((1-1/298.257223563)*tan(radians(lb))) AS b2, radians(lp)-radians(lo) AS dl FROM d0),
-d2 AS (SELECT *, 2*asin(sqrt(least(pow(sin((b2-b1)/2),2)+cos(b1)*cos(b2)*pow(sin(dl/2),2),1.0))) AS ang, (b1+b2)/2 AS p, (b2-b1)/2 AS q FROM d1)
-SELECT c_custkey, s_suppkey, ROUND(6378.137*(ang-(1/298.257223563)/2*(COALESCE((ang-sin(ang))*pow(sin(p),2)*pow(cos(q),2)/NULLIF(pow(cos(ang/2),2),0),0)
- +COALESCE((ang+sin(ang))*pow(cos(p),2)*pow(sin(q),2)/NULLIF(pow(sin(ang/2),2),0),0))),3) AS km FROM d2""")
+""" + vincenty("d0", "la", "lo", "lb", "lp", "d1", "km") + """
+SELECT c_custkey, s_suppkey, ROUND(km,3) AS km FROM d1""")
 def distance(t):
     pairs = t.customer.join(t.supplier, F.col("c_nationkey") == F.col("s_nationkey"))
     km = distance_km(18 + F.col("c_acctbal") / 400, 60 + F.col("c_nationkey") * 3, F.col("s_acctbal") / 150, 10 - F.col("s_nationkey") * 7)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from queries import standins as S
 from queries.base import described_once, query
-from queries.datasets import LAMBERT, MATCHED, PLACES, TRAINEES, UNIQUE_KEYS, _with, located, matched, trainees
+from queries.datasets import ALONG, MATCHED, PLACES, TRAINEES, UNIQUE_KEYS, _with, located, matched, trainees
 from rollbook.functions import payload as Y, text as X
 from rollbook.operators import aggregate as A
 from rollbook.plans import demand_tables as DM, district_tables as DT, enrollment_tables as ET, higher as H, identity as ID
@@ -175,7 +175,7 @@ def top_10_itis_by_trades(t):
     return ET.top_institutes_by_courses(ET.in_year(S.strength(t, "ITI")), ET.in_year(iti(t)), "trade", "Num. trades")
 
 
-@query("student_locations_2023", _with(PLACES + ",\n" + LAMBERT, """
+@query("student_locations_2023", _with(PLACES + ",\n" + ALONG, """
 SELECT ROUND(student_long,6) AS student_long, ROUND(student_lat,6) AS student_lat, COUNT(DISTINCT aadhar_no) AS "Num. students" FROM located WHERE academic_year=2023 AND student_lat IS NOT NULL GROUP BY 1,2"""))
 def student_locations(t):
     return rounded(ET.student_locations(ET.in_year(located(t))), 6, "student_long", "student_lat")
@@ -190,7 +190,7 @@ def boxes(t):
     return t.nation.select(F.col("n_name").alias("poly_id"), F.lit(0).alias("ring"), F.inline(sides))
 
 
-@query("itis_inside_blocks_2023", _with(PLACES + ",\n" + LAMBERT, """
+@query("itis_inside_blocks_2023", _with(PLACES + ",\n" + ALONG, """
 SELECT type_of_institute, reported_institute, n AS "Num. students", ROUND(x,6) AS institute_long, ROUND(y,6) AS institute_lat FROM
  (SELECT type_of_institute, reported_institute, COUNT(DISTINCT aadhar_no) AS n, MIN(institute_long) AS x, MIN(institute_lat) AS y FROM located WHERE academic_year=2023 GROUP BY 1,2)
 WHERE EXISTS (SELECT 1 FROM nation WHERE x >= 82+n_nationkey/5.0::DOUBLE-0.05 AND x < 82+n_nationkey/5.0::DOUBLE+0.05 AND y >= 17 AND y < 19+n_regionkey/2.0)"""))
@@ -299,7 +299,7 @@ for _year in (2018, 2023):
         return ET.locality_by_gender(iti(t), year)
 
 
-@query("iti_locality_and_distance_2023", _with(PLACES + ",\n" + LAMBERT, """
+@query("iti_locality_and_distance_2023", _with(PLACES + ",\n" + ALONG, """
 SELECT local, round_even(AVG(distance) FILTER (gender='Female'),1) AS "Female", round_even(AVG(distance) FILTER (gender='Male'),1) AS "Male" FROM located WHERE academic_year=2023 GROUP BY 1"""))
 def iti_locality_and_distance(t):
     return ET.locality_and_distance(ET.in_year(located(t)))
@@ -409,7 +409,7 @@ def cutoff_by_trade(t):
     return ET.mean_cutoffs(coarse, "social_category", ["SC", "UR", "Other"])
 
 
-@query("distance_by_type_2023", _with(PLACES + ",\n" + LAMBERT, f"""
+@query("distance_by_type_2023", _with(PLACES + ",\n" + ALONG, f"""
 SELECT 'All' AS "Type", {STATS} FROM (SELECT distance AS v FROM located WHERE academic_year=2023) UNION ALL SELECT type_of_institute, {STATS} FROM (SELECT type_of_institute, distance AS v FROM located WHERE academic_year=2023) GROUP BY 1"""))
 def distance_by_type(t):
     return A.summary_stats_with_all(ET.in_year(located(t)), "distance", "type_of_institute", "Type")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from queries import standins as S, tables as T
 from queries.base import query
-from queries.datasets import LAMBERT, PLACES, _with, located
+from queries.datasets import ALONG, PLACES, _with, located
 from rollbook.functions import payload as Y
 from rollbook.operators import aggregate as A
 from rollbook.plans import demand_tables as DM, enrollment_tables as ET, school_tables as ST, trainees as TR, vocational as VO
@@ -173,7 +173,7 @@ def second_institute_cutoffs(t):
     return ET.institute_cutoffs(ET.in_year(S.cutoff_rows(t)), "ITI Supplier#00000001", "10th Pass", ["UR", "SC", "ST"], ["Brand#1", "Brand#11"], "OMC")
 
 
-@query("distance_by_gender_2023", _with(PLACES + ",\n" + LAMBERT, f"""SELECT gender AS "Gender", {T.STATS} FROM (SELECT gender, distance AS v FROM located WHERE academic_year=2023) GROUP BY 1"""))
+@query("distance_by_gender_2023", _with(PLACES + ",\n" + ALONG, f"""SELECT gender AS "Gender", {T.STATS} FROM (SELECT gender, distance AS v FROM located WHERE academic_year=2023) GROUP BY 1"""))
 def distance_by_gender(t):
     return A.summary_stats(ET.in_year(located(t)), "distance", "gender", "Gender")
 

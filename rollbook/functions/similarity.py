@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from rollbook.functions.folds import let
+
 #: Letters that one whole number stands for; a sum of two such numbers fits in 64 bits.
 WORD = 60
 
@@ -41,11 +43,6 @@ def osa_distance(a: str, b: str) -> int:
     return prev[-1]
 
 
-def _let(value: Column, body) -> Column:
-    """``body`` of a value that is computed once, not in every step of a fold."""
-    return F.get(F.transform(F.array(value), body), 0)
-
-
 def letters(text: Column) -> Column:
     return F.when(F.length(text) == 0, F.array().cast("array<string>")).otherwise(
         F.transform(F.sequence(F.lit(1), F.length(text)), lambda i: F.substr(text, i, F.lit(1)))
@@ -63,7 +60,7 @@ def _short_subsequence(pattern: Column, text: Column) -> Column:
     def place(bits: Column) -> Column:
         return F.transform(letters(text), lambda c: F.aggregate(bits, F.lit(0).cast("long"), lambda m, p: F.when(p["c"] == c, m + p["bit"]).otherwise(m)))
 
-    places = _let(_bits(pattern), place)
+    places = let(_bits(pattern), place)
     row = F.aggregate(places, full, lambda v, m: ((v + v.bitwiseAND(m)).bitwiseOR(v.bitwiseAND(F.bitwise_not(m)))).bitwiseAND(full))
     return F.length(pattern) - F.bit_count(row)
 
@@ -79,7 +76,7 @@ def _long_subsequence(pattern: Column, text: Column) -> Column:
             lambda m, p: F.when(p["c"] == c, F.transform(m, lambda x, w: F.when(w == p["w"], x + p["bit"]).otherwise(x))).otherwise(m),
         ))
 
-    places = _let(_bits(pattern), place)
+    places = let(_bits(pattern), place)
 
     def step(v: Column, m: Column) -> Column:
         def word(state: Column, w: Column) -> Column:
@@ -133,5 +130,5 @@ def osa_distance_column(a: Column, b: Column, at_most: int) -> Column:
         rows = F.when(la == 0, F.array().cast("array<int>")).otherwise(F.sequence(F.lit(1), la))
         return F.aggregate(rows, start, row, lambda s: F.get(s["now"], lb - la + at_most))
 
-    end = _let(F.struct(letters(a).alias("a"), letters(b).alias("b")), folded)
+    end = let(F.struct(letters(a).alias("a"), letters(b).alias("b")), folded)
     return F.when(F.abs(la - lb) > at_most, far).otherwise(F.coalesce(end, far))

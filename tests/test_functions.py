@@ -155,3 +155,22 @@ def test_long_texts_stay_whole(values):
 
     assert values(X.roll_tail, ["r" + "x" * 5000]) == ["00" + "x" * 5000]
     assert len(values(C.titled_qualification, ["+2 " + "ab " * 2000])[0]) >= 5999
+
+
+def test_distances_are_the_published_ones(values):
+    from rollbook.functions.geo import distance_km
+
+    # Published lengths of geodesics on WGS-84, in kilometres.
+    cases = [
+        ((40.6, -73.8, 51.6, -0.5), 5551.759400, 1e-6), ((0.0, 0.0, 0.0, 90.0), 10018.754171394, 1e-6), ((0.0, 10.0, 90.0, 77.0), 10001.965729, 1e-6),
+        ((40.0, 0.0, 41.79331020506, 137.84490004377), 10000.0, 1e-6), ((0.0, 0.0, 0.0, 180.0), 20003.931459, 1e-6), ((-30.0, 0.0, 29.9, 179.8), 19989.832827610, 5e-6),
+        ((20.0, 85.0, 20.0, 85.0), 0.0, 1e-9), ((90.0, 0.0, -90.0, 50.0), 20003.931459, 1e-6), ((0.0, 0.0, 0.0, 1.0), 111.319490793, 1e-6), ((10.0, 179.9, 10.0, -179.9), 21.929, 2e-3),
+    ]
+    got = values(distance_km, [c[0] for c in cases], "a double, b double, c double, d double")
+    for x, (where, km, off) in zip(got, cases):
+        assert abs(x - km) <= off, (where, x, km)
+    hard = [(91.0, 0.0, 0.0, 0.0), (None, 0.0, 0.0, 0.0), (0.0, 0.0, 0.0, None), (0.0, 0.0, 0.5, 179.7), (0.0, 0.0, 0.5, 179.5), (0.0, 0.0, 0.0, 179.9), (1e-9, 0.0, -1e-9, 179.99)]
+    out = values(distance_km, hard, "a double, b double, c double, d double")
+    assert out[:3] == [None] * 3 and abs(out[3] - 19944.127421) < 5e-6 and abs(out[4] - 19936.288579) < 5e-6 and all(19980 < x < 20004 for x in out[5:])
+    back = values(distance_km, [(c, d, a, b) for a, b, c, d in hard[3:]], "a double, b double, c double, d double")
+    assert all(abs(x - y) < 1e-6 for x, y in zip(out[3:], back))
