@@ -14,7 +14,10 @@ HSS_OPTION_FIELDS = [
     "OptionNo", "Year", "Phase", "SAMSCode", "ReportedInstitute", "Stream", "InstituteDistrict",
     "InstituteBlock", "TypeofInstitute", "AdmissionStatus",
 ]
-DEG_OPTION_FIELDS = [*HSS_OPTION_FIELDS[:6], "Subject", *HSS_OPTION_FIELDS[6:]]
+DEG_OPTION_FIELDS = [
+    "OptionNo", "Year", "Phase", "SAMSCode", "ReportedInstitute", "Stream", "Subject", "InstituteDistrict",
+    "InstituteBlock", "TypeofInstitute", "AdmissionStatus",
+]
 SUBJECT_FIELDS = ["COMPSubject", "COMPFailMark", "COMPPassMark"]
 # Columns of the HSS enrolments and of the mark datasets, in order.
 HSS_COLUMNS = [
@@ -40,6 +43,7 @@ DEG_OPTION_ORDER = [
     "institute_district", "institute_block", "type_of_institute", "stream", "subject", "option_no",
     "admission_status", "num_applications",
 ]
+# yes/no columns, and columns and fields that the datasets leave out.
 HSS_FLAGS = ["ph", "es", "sports", "national_cadet_corps", "orphan", "compartmental_status"]
 DEG_FLAGS = ["es", "national_cadet_corps", "orphan", "ph", "sports"]
 DEG_DROPPED = ["student_name", "nationality", "contact_no", "national_cadet_corps", "year"]
