@@ -430,7 +430,7 @@ def collapse_share(t):
 SELECT CAST(year(o_orderdate) AS INTEGER) AS yr, COUNT(DISTINCT CASE WHEN o_orderstatus='F' THEN o_custkey END) AS f,
  COUNT(DISTINCT CASE WHEN o_totalprice>250000 THEN o_custkey END) AS big FROM orders GROUP BY 1""")
 def cond_distinct(t):
-    return orders(t).groupBy("yr").agg(*A.distinct_where("o_custkey", f=F.col("o_orderstatus") == "F", big=F.col("o_totalprice") > 250000))
+    return A.distinct_where_by(orders(t), ["yr"], "o_custkey", f=F.col("o_orderstatus") == "F", big=F.col("o_totalprice") > 250000)
 
 
 @query("mean_of_shares", """

@@ -153,6 +153,19 @@ def distinct_where(column: str, **conditions: Column) -> list[Column]:
     return [F.count_distinct(F.when(c, F.col(column))).alias(n) for n, c in conditions.items()]
 
 
+def distinct_where_by(df: DataFrame, keys: list[str], column: str, every: str | None = None, **conditions: Column) -> DataFrame:
+    """Distinct values per group under each condition, and under any row as ``every``, in one pass.
+
+    Rows of a group and value become one with a mark for each condition, before and after they are shuffled, so the
+    rows are read once and not copied for each condition. Groups in which no value meets a condition have 0.
+    """
+    marks = {name: F.coalesce(F.bool_or(c), F.lit(False)) for name, c in conditions.items()}
+    held = with_keys(df, keys).groupBy(*keys, F.col(column).alias("_value")).agg(F.lit(1).alias("_one"), *[m.alias(f"_{n}") for n, m in marks.items()])
+    present = F.col("_value").isNotNull()
+    counts = [F.count_if(F.col(f"_{n}") & present).alias(n) for n in marks]
+    return held.groupBy(*keys).agg(*counts, *([F.count_if(present).alias(every)] if every else []))
+
+
 def any_by(df: DataFrame, keys: list[str], condition: Column, name: str) -> DataFrame:
     return with_keys(df, keys).groupBy(*keys).agg(
         F.coalesce(F.bool_or(condition), F.lit(False)).alias(name)
@@ -291,11 +304,19 @@ def groups_with_several(df: DataFrame, key: str, column: str, condition: Column)
 
 
 def with_total_row(df: DataFrame, label_column: str, label: str = "Total") -> DataFrame:
-    """Append a row that sums every numeric column (sums, also of distinct counts)."""
+    """Append a row that sums every numeric column (sums, also of distinct counts).
+
+    Each row counts once for itself and once for the total, so the frame is computed once. A frame without
+    rows gives a total without numbers.
+    """
     numbers = [c for c, t in df.dtypes if c != label_column and t in ("int", "bigint", "double")]
-    total = df.agg(*[F.sum(c).alias(c) for c in numbers]).withColumn(label_column, F.lit(label))
-    body = df.withColumn(label_column, F.col(label_column).cast("string"))
-    return body.unionByName(total.select(*df.columns))
+    itself = F.struct(F.monotonically_increasing_id().alias("row"), F.col(label_column).cast("string").alias("label"))
+    whole = F.lit(None).cast("struct<row:bigint,label:string>")
+    nothing = df.sparkSession.range(1).select(F.lit(None).cast("struct<row:bigint,label:string>").alias("_of"), *[F.lit(None).cast(df.schema[c].dataType).alias(c) for c in numbers])
+    twice = df.select(F.explode(F.array(itself, whole)).alias("_of"), *numbers).unionByName(nothing)
+    summed = twice.groupBy("_of").agg(*[F.sum(c).alias(c) for c in numbers])
+    named = F.when(F.col("_of").isNull(), F.lit(label)).otherwise(F.col("_of.label")).alias(label_column)
+    return summed.select(named, *numbers).select(*[c for c in df.columns if c == label_column or c in numbers])
 
 
 def repeat_entries(df: DataFrame, unit: str, year: str, by: str) -> DataFrame:

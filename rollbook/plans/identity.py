@@ -202,7 +202,8 @@ def best_rows(options: DataFrame, person: str, year: str, status: str, tie_break
 def students_by_module(df: DataFrame, modules: list[str]) -> DataFrame:
     """Distinct persons per year and module, their sum and the overall distinct count."""
     ided = df.withColumn("_id", I.unified_person_id(F.col("module"), F.col("barcode"), real_id(F.col("aadhar_no"))))
-    per_module = ided.groupBy("academic_year").pivot("module", modules).agg(F.count_distinct("_id")).fillna(0)
+    # One row per year and person, with a mark for each module: everything is counted from these.
+    marks = {m: F.col("module") == m for m in modules} | {"Unique": F.col("module").isin(modules)}
+    counted = A.distinct_where_by(ided, ["academic_year"], "_id", **marks)
     total = sum((F.col(m) for m in modules), F.lit(0))
-    overall = ided.where(F.col("module").isin(modules)).groupBy("academic_year").agg(F.count_distinct("_id").alias("Unique"))
-    return per_module.withColumn("Total", total).join(overall, "academic_year", "left")
+    return counted.select("academic_year", *modules, total.alias("Total"), F.nullif("Unique", F.lit(0)).alias("Unique"))

@@ -283,6 +283,18 @@ def test_best_matches_run_without_python(spark):
         assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
 
 
+def test_distinct_counts_and_totals_read_their_rows_once(spark):
+    rows = [("a", 1, 5), ("a", 1, 50), ("a", 2, 7), ("b", 2, 70), ("b", None, 90), ("c", 3, 1), (None, 4, 99)]
+    df = spark.createDataFrame(rows, "k string, v int, x int")
+    out = A.distinct_where_by(df, ["k"], "v", every="all", big=F.col("x") > 40, odd=F.col("x") % 2 == 1)
+    assert {tuple(r) for r in out.select("k", "big", "odd", "all").collect() if r.k} == {("a", 1, 2, 2), ("b", 1, 0, 1), ("c", 0, 1, 1)}
+    counted = df.where("k is not null").groupBy("k").agg(F.count("v").alias("n"), F.sum("x").alias("s"))
+    table = A.with_total_row(counted, "k")
+    assert {tuple(r) for r in table.collect()} == {("a", 3, 62), ("b", 1, 160), ("c", 1, 1), ("Total", 5, 223)}
+    assert table._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+    assert [tuple(r) for r in A.with_total_row(counted.limit(0), "k").collect()] == [("Total", None, None)]
+
+
 def test_one_to_one(spark):
     rows = [(1, "a", "x"), (1, "b", "y"), (1, "b", "z"), (1, "c", "w"), (1, "d", "w"), (2, "a", "x"), (2, None, "x")]
     out = {r["g"]: r.asDict() for r in A.one_to_one(spark.createDataFrame(rows, "g int, p string, q string"), "p", "q", "g").collect()}
