@@ -174,3 +174,20 @@ def test_distances_are_the_published_ones(values):
     assert out[:3] == [None] * 3 and abs(out[3] - 19944.127421) < 5e-6 and abs(out[4] - 19936.288579) < 5e-6 and all(19980 < x < 20004 for x in out[5:])
     back = values(distance_km, [(c, d, a, b) for a, b, c, d in hard[3:]], "a double, b double, c double, d double")
     assert all(abs(x - y) < 1e-6 for x, y in zip(out[3:], back))
+
+
+def test_distances_of_a_small_table_are_shared_out(spark, tmp_path):
+    import __spark_entry__ as entry_point
+
+    spark.createDataFrame([(i, i % 2, float(i)) for i in range(400)], "c_custkey long, c_nationkey int, c_acctbal double").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(i, i % 2, 10.0 * i) for i in range(20)] + [(20, None, 1.0)], "s_suppkey long, s_nationkey int, s_acctbal double").coalesce(1).write.parquet(f"{tmp_path}/supplier.parquet")
+    out = entry_point.queries()["distance"](spark, str(tmp_path))
+    rows = out.withColumn("task", F.spark_partition_id()).collect()
+    assert len(rows) == 4000 and len({r["task"] for r in rows}) > 1
+    assert {r["task"] for r in rows if r["km"] is None} == set()
+
+
+def test_distances_of_missing_and_unknown_places(values):
+    nan = float("nan")
+    got = values(distance_km, [(None, 1.0, 2.0, 3.0), (1.0, None, 2.0, 3.0), (nan, 1.0, 2.0, 3.0), (1.0, nan, 2.0, 3.0), (0.0, 0.0, 0.0, 180.0)], "a double, b double, c double, d double")
+    assert got[:3] == [None] * 3 and got[3] != got[3] and got[4] == pytest.approx(20003.931, abs=0.001)
