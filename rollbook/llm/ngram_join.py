@@ -275,14 +275,15 @@ def _tokens(size: int):
     """For mapInPandas: the set of each text, where it is the one that was asked for; copies of it once in a task."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sent: set[tuple[int, int, str]] = set()
+        # A set is sent once to each range of its group, and there once to each place it was asked for.
+        goes = ["root", "node", "first", "every"]
+        sent: set[tuple[int, int, int, str]] = set()
         for frame in (f.iloc[lo : lo + ROWS] for f in frames for lo in range(0, len(f), ROWS)):
-            asked = zip(frame["node"], frame["first"], frame["every"], strict=True)
-            frame = frame[[a not in sent for a in asked]].drop_duplicates(["node", "first", "every"])
+            frame = frame[[a not in sent for a in frame[goes].itertuples(index=False, name=None)]].drop_duplicates(goes)
             sets = shingle_sets(list(frame["text"]), size)
             right = [set_key(s) == k for s, k in zip(sets, frame["node"], strict=True)]
             frame = frame.assign(tokens=[s.tobytes() for s in sets])[right]
-            sent.update(zip(frame["node"], frame["first"], frame["every"], strict=True))
+            sent.update(frame[goes].itertuples(index=False, name=None))
             yield frame[["node", "root", "known", "first", "blocks", "every", "tokens"]]
 
     return run

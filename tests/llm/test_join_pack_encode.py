@@ -137,6 +137,17 @@ def test_linked_sizes_share_a_range(spark, percent):
     assert all(ranges[a] & ranges[b] for a in range(1, 3000, 7) for b in range(a, min(2999, a * 100 // percent) + 1))
 
 
+@pytest.mark.parametrize("block", [2_000_000, 200])
+def test_links_between_ranges_are_kept(spark, block):
+    rows = []
+    for n in (62, 254, 1020):
+        base = [f"w{n}x{k}" for k in range(n + 2)]
+        rows += [(len(rows) + k, " ".join([*base, *[f"more{n}x{i}" for i in range(k * n // 62)]])) for k in range(5)]
+    got = ngram_join.linked_classes(spark.createDataFrame(rows, "doc_id long, text string"), block_tokens=block)
+    assert sorted(map(tuple, got.collect()), key=repr) == classes(rows)
+    assert len({r[2] for r in classes(rows)}) == 3
+
+
 def test_rows_without_an_id_are_fetched_once(spark):
     rows = copies(5, 6, 10)
     docs = spark.createDataFrame([(None if k % 3 == 0 else k, t) for k, t in rows] + [(None, rows[0][1])] * 200, "doc_id long, text string").repartition(4)
