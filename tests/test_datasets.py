@@ -88,3 +88,45 @@ def test_overlap(spark):
     overlap = ID.module_overlap(keys)
     assert {r["unique_key"]: r["total_applied"] for r in overlap.collect()} == {"k": 2, "l": 1}
     assert ID.overlap_count(overlap, "applied_diploma", "applied_hss").first()[0] == 1
+
+
+def test_line_items_are_thinned_out_before_they_are_shuffled(spark, tmp_path):
+    import datetime
+    import re
+
+    from queries import base, standins
+
+    day = datetime.date(1998, 5, 1)
+    given = {
+        "region": ("r_regionkey int, r_name string", [(0, "ASIA")]),
+        "nation": ("n_nationkey int, n_name string, n_regionkey int", [(i, f"N{i}", 0) for i in range(25)]),
+        "supplier": ("s_suppkey long, s_name string, s_nationkey int, s_acctbal double", [(i, f"s{i}", i % 25, 100.0 * i) for i in range(100)]),
+        "customer": ("c_custkey long, c_name string, c_nationkey int, c_mktsegment string, c_acctbal double", [(1, "c", 1, "BUILDING", 1.0)]),
+        "part": ("p_partkey long, p_brand string, p_type string, p_size int", [(1, "Brand#11", "PROMO", 3), (2, "Brand#22", "SMALL", 30)]),
+        "orders": (
+            "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate date, o_orderpriority string",
+            [(1, 1, "F", 5e4, day, "1-URGENT"), (2, 1, "O", 5e4, day, "4-NOT SPECIFIED"), (3, 1, "O", 5e4, day, None)]),
+        "lineitem": (
+            "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_tax double,"
+            " l_returnflag string, l_linestatus string, l_shipdate date",
+            [(k, 1 + n % 2, 10 * k + n, n, 5.0, 1.0, 0.0, "R", "F", day) for k in (1, 2, 3) for n in (2, 1)]),
+    }
+    for name, (schema, rows) in given.items():
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    # Suppliers are small enough to be sent to all tasks, what Spark expects of a join with nations is not.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100KB")
+    try:
+        t = base.Tables(spark, str(tmp_path))
+        degree, trades = standins.students(t, "DEG"), standins.institutes(t, "ITI")
+        for df in (degree, trades):
+            # Groups of suppliers, trades and years are no join.
+            assert not re.search(r"hashpartitioning\(l_suppkey#\w+, \d+\)", df._jdf.queryExecution().executedPlan().toString())
+        everyone = standins.students(t)
+        of_degree = lambda df: sorted(map(str, df.where("module = 'DEG'").select(*sorted(df.columns)).collect()))
+        assert of_degree(degree) == of_degree(everyone) and degree.count() == 1
+        first = degree.select("sams_code", "reported_branch_or_trade", "institute_district").first()
+        assert tuple(first) == ("S21", "Brand#22", "N21")
+        whole = sorted(map(str, standins.institutes(t).where("module = 'ITI'").collect()))
+        assert sorted(map(str, trades.collect())) == whole and len(whole) == 3
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
