@@ -130,3 +130,43 @@ def test_line_items_are_thinned_out_before_they_are_shuffled(spark, tmp_path):
         assert sorted(map(str, trades.collect())) == whole and len(whole) == 3
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_items_are_shuffled_without_names_and_unread_columns(spark, tmp_path):
+    """Institutes that share a key add up or stay apart, and the first item is the first of those that have a place."""
+    import datetime
+    import json
+    import re
+
+    from queries import base, standins
+
+    day = datetime.date(2001, 5, 1)
+    given = {
+        "region": ("r_regionkey int, r_name string", [(0, "ASIA")]),
+        "nation": ("n_nationkey int, n_name string, n_regionkey int", [(1, "N1", 0)]),
+        "supplier": ("s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+                     [(1, "s1", 1, 100.0), (1, "s1", 1, 100.0), (2, "s2", 1, 9000.0), (2, "s2", 1, 100.0), (3, "s3", None, 1.0), (None, "s", 1, 1.0)]),
+        "customer": ("c_custkey long, c_name string, c_nationkey int, c_mktsegment string, c_acctbal double", [(1, "c", 1, "BUILDING", 1.0)]),
+        "part": ("p_partkey long, p_brand string, p_type string, p_size int", [(1, "Brand#11", "PROMO", 3), (2, "Brand#22", "SMALL", 30), (None, "Brand#11", "SMALL", 1)]),
+        "orders": (
+            "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate date, o_orderpriority string",
+            [(1, 1, "F", 5e4, day, "1-URGENT"), (2, 1, "O", 5e4, day, "1-URGENT"), (3, 1, "F", 5e4, day, "1-URGENT")]),
+        "lineitem": (
+            "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_tax double,"
+            " l_returnflag string, l_linestatus string, l_shipdate date",
+            [(1, 1, 3, 1, 5.0, 1.0, 0.0, "R", "F", day), (1, None, 1, 2, 5.0, 1.0, 0.0, "R", "F", day), (1, 1, 2, 3, 7.0, 1.0, 0.0, "A", "F", day),
+             (1, 1, 1, 4, 4.0, 1.0, 0.0, "A", "O", day), (2, 2, 1, 1, 5.0, 1.0, 0.0, "R", "F", day), (2, 1, 1, 2, 6.0, 1.0, 0.0, "A", "F", day)]),
+    }
+    for name, (schema, rows) in given.items():
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    t = base.Tables(spark, str(tmp_path))
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    people, trades = standins.students(t, "ITI"), standins.institutes(t, "ITI")
+    assert "l_tax" in plan(people.select("mark_data")) and "l_tax" not in plan(people.select("sams_code", "type_of_institute"))
+    assert re.search(r"hashpartitioning\(l_suppkey#\w+, p_brand#\w+, academic_year#\w+, \d+\)", plan(trades))
+    first = people.orderBy("barcode").select("sams_code", "type_of_institute", "course_period", "compartmental_status").collect()
+    assert [tuple(r) for r in first] == [("S2", "Govt.", "1 Year", "NO"), ("S1", "Pvt.", "2 Years", "YES"), (None, None, "2 Years", "NO")]
+    found = {(r["sams_code"], r["type_of_institute"]): (json.loads(r["strength"]), json.loads(r["cutoff"])[0].get("10thPassUR_F")) for r in trades.collect()}
+    assert found == {
+        ("S1", "Pvt."): ({"Strength_UR": 4, "Strength_Total": 4}, 6),
+        ("S2", "Govt."): ({"Strength_UR": 1, "Strength_Total": 1}, 7), ("S2", "Pvt."): ({"Strength_UR": 1, "Strength_Total": 1}, 7)}
