@@ -6,10 +6,14 @@
    (for its own size class and the next lower one), and sets that can link meet on a signature. Texts that
    only share a passage rarely agree on a whole part, so a frequent passage gathers no group.
 3. Sets that meet, directly or over others, form a group; no link leaves a group. Groups are cut by size, into
-   ranges that double twice: a set is in the range of its size, and in the next if it could link there. Each set
-   is sent to its group, where a prefix tree over one token order finds the links: paths share overlaps, subtrees are
-   left when the lengths that remain cannot reach the likeness, or when all below is linked already.
-4. A group that exceeds a memory bound is dealt into blocks. Some of its sets, the hubs, go to every block and
+   ranges that double twice: a set is in the range of its size, and in the next if it could link there.
+4. Texts that are half alike meet too, so a group may be far from one class. It is parted by sketches, a bit or
+   some for each shingle: a sketch has the parities of the shingles dealt to its bits, so two of them differ in no
+   more bits than their sets do in shingles. Pairs whose sketches differ in more than a link allows are no links; what hangs
+   together by the other pairs stays a group, and sets left alone are sent nowhere.
+5. Each other set is sent to its group, where a prefix tree over one token order finds the links: paths share overlaps,
+   subtrees are left when the lengths that remain cannot reach the likeness, or when all below is linked already.
+6. A group that exceeds a memory bound is dealt into blocks. Some of its sets, the hubs, go to every block and
    join what is alike over all blocks; then only sets outside the largest class so found meet the other blocks.
    So a group of near copies costs about twice its sets, not one task per pair of blocks.
 """
@@ -34,6 +38,9 @@ from rollbook.llm.shingles import mix, shingle_sets
 #: Texts that are in Python at a time.
 ROWS = 256
 
+#: Least and most bits of a sketch; larger sets get one that parts them less well.
+SKETCH_BITS = (64, 1 << 20)
+
 
 def size_classes(largest: int, percent: int) -> list[int]:
     """Lower bounds of classes of set sizes; linked sets lie in one class or in neighbours."""
@@ -94,24 +101,81 @@ def set_key(tokens: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
+def sketch(tokens: np.ndarray, percent: int) -> bytes:
+    """Parities of the tokens, dealt to as many bits as the last range of the set has sizes (a power of two)."""
+    most, bits = len(tokens) * 100 // percent, SKETCH_BITS[0]
+    while bits <= most and bits < SKETCH_BITS[1]:
+        bits *= 4
+    odd = np.bincount((tokens & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def fold(sketches: list[bytes]) -> np.ndarray:
+    """The sketches as rows of words, those of more bits folded to the fewest: parities of joined bits add up."""
+    words = min(map(len, sketches)) // 8
+    return np.stack([np.bitwise_xor.reduce(np.frombuffer(x, dtype=np.uint64).reshape(-1, words), axis=0) for x in sketches])
+
+
+def may_link(sketches: np.ndarray, n: np.ndarray, percent: int, side: np.ndarray | None = None) -> np.ndarray:
+    """For each set the first set that pairs which may be links lead to; with ``side`` (0 or 1) only pairs across sides count.
+
+    A set found is compared only with sets not found yet, so sets that are much alike take a pass or two, not all pairs.
+    """
+    label, gone = np.arange(len(n)), np.zeros(len(n), dtype=bool)
+    side = np.zeros(len(n), dtype=np.int64) if side is None else side + 1
+    across = (0, 2, 1)
+    by_size = np.argsort(n, kind="stable")
+    left = {s: at for s in range(3) if len(at := by_size[side[by_size] == s])}
+    rows, sizes = {s: sketches[at] for s, at in left.items()}, {s: n[at] for s, at in left.items()}
+    found_of = dict.fromkeys(left, 0)
+    for start in by_size.tolist():
+        front = [] if gone[start] else [start]
+        gone[start] = True
+        while front:
+            a = front.pop()
+            s = across[side[a]]
+            if s not in left:
+                continue
+            # Linked sizes p and q have p >= q * percent / 100; those in between lie together.
+            lo = int(np.searchsorted(sizes[s], -(-int(n[a]) * percent // 100), "left"))
+            hi = int(np.searchsorted(sizes[s], int(n[a]) * 100 // percent, "right"))
+            differ = np.bitwise_count(rows[s][lo:hi] ^ sketches[a]).sum(axis=1, dtype=np.int64)
+            # 100 * intersection >= percent * union, in terms of what differs.
+            near = left[s][lo:hi][(100 + percent) * differ <= (100 - percent) * (sizes[s][lo:hi] + n[a])]
+            near = near[~gone[near]]
+            label[near], gone[near] = start, True
+            front.extend(near.tolist())
+            found_of[s] += len(near)
+            if found_of[s] * 4 > len(left[s]):
+                kept = ~gone[left[s]]
+                left[s], sizes[s], rows[s], found_of[s] = left[s][kept], sizes[s][kept], rows[s][kept], 0
+    return label
+
+
 def _sign(percent: int, size: int):
-    """For mapInArrow: id, mark, n_shingles, key, and signatures where the key is new to the task."""
-    schema = pa.schema([("id", pa.int64()), ("mark", pa.int64()), ("n_shingles", pa.int64()), ("key", pa.int64()), ("signatures", pa.list_(pa.int64()))])
+    """For mapInArrow: id, mark, n_shingles, key, and signatures and a sketch where the key is new to the task."""
+    schema = pa.schema([
+        ("id", pa.int64()), ("mark", pa.int64()), ("n_shingles", pa.int64()), ("key", pa.int64()), ("signatures", pa.list_(pa.int64())), ("sketch", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in (b.slice(lo, ROWS) for b in batches for lo in range(0, b.num_rows, ROWS)):
             sets = shingle_sets(batch.column(1).to_pylist(), size)
             keys = [set_key(s) if len(s) else None for s in sets]
-            signed = []
+            signed, sketched = [], []
             for key, tokens in zip(keys, sets, strict=True):
                 if key is None or key in seen:
                     signed.append(None)
+                    sketched.append(None)
                     continue
                 seen.add(key)
                 signed.append(signatures(tokens, percent).view(np.int64))
+                sketched.append(sketch(tokens, percent))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.int64()), pa.array(signed, pa.list_(pa.int64()))],
+                [
+                    batch.column(0), batch.column(2), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.int64()),
+                    pa.array(signed, pa.list_(pa.int64())), pa.array(sketched, pa.binary()),
+                ],
                 schema=schema,
             )
 
@@ -128,16 +192,17 @@ class PrefixTree:
 
     def __init__(self, sets: list[np.ndarray], percent: int):
         self.percent = percent
-        values, inverse, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-        rank = np.empty(len(values), dtype=np.int64)
-        rank[np.argsort(-counts, kind="stable")] = np.arange(len(values))
-        ranks, at = rank[inverse], 0
-        rows = []
-        for s in sets:
-            rows.append(np.sort(ranks[at : at + len(s)]))
-            at += len(s)
+        whole = np.sort(np.concatenate(sets))
+        starts = np.flatnonzero(np.concatenate(([True], whole[1:] != whole[:-1])))
+        values, counts = whole[starts], np.diff(starts, append=len(whole))
+        del whole, starts
+        rank = np.empty(len(values), dtype=np.int32)
+        rank[np.argsort(-counts, kind="stable")] = np.arange(len(values), dtype=np.int32)
+        # Set by set: nothing but the ranks themselves is as long as all sets together.
+        rows = [np.sort(rank[np.searchsorted(values, s)]) for s in sets]
         self.n_tokens = len(values)
-        self.order = sorted(range(len(rows)), key=lambda i: rows[i].astype(">i8").tobytes())
+        del values, counts, rank
+        self.order = sorted(range(len(rows)), key=lambda i: rows[i].astype(">i4").tobytes())
         self.rows = [rows[i] for i in self.order]
         self.parent = list(range(len(rows)))
         self._build()
@@ -251,6 +316,12 @@ def _link(percent: int):
         tree.join(part["known"].to_list())
         return pd.DataFrame({"u": nodes, "v": nodes[tree.classes()]})
 
+    return _for_runs(solve)
+
+
+def _for_runs(solve):
+    """For mapInPandas over rows in order of (root, i, j): ``solve`` of each run of equal ones."""
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         kept: list[pd.DataFrame] = []
         last = None
@@ -271,6 +342,19 @@ def _link(percent: int):
     return run
 
 
+def _part(percent: int):
+    """For mapInPandas over runs of equal (root, i, j): each member with one of those it hangs together with by their sketches."""
+
+    def solve(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.drop_duplicates("member")
+        members, blocks = part["member"].to_numpy(), part["block"].to_numpy()
+        side = None if part["i"].iloc[0] == part["j"].iloc[0] else (blocks == part["j"].iloc[0]).astype(np.int64)
+        label = may_link(fold(list(part["sketch"])), part["n"].to_numpy(), percent, side)
+        return pd.DataFrame({"u": members, "v": members[label]})
+
+    return _for_runs(solve)
+
+
 def _tokens(size: int):
     """For mapInPandas: the set of each text, where it is the one that was asked for; copies of it once in a task."""
 
@@ -320,6 +404,28 @@ def _block(of: str, blocks: str) -> Column:
     return F.pmod(F.xxhash64(of), F.col(blocks)).cast("int")
 
 
+def _parted(members: DataFrame, sketches: DataFrame, percent: int, block_bytes: int) -> DataFrame:
+    """``members`` (node, root, asked_mark, n) with groups parted by their sketches (key, sketch), without sets left alone.
+
+    Groups of more than ``block_bytes`` of sketches are dealt into blocks of half of that, and each block meets each.
+    """
+    sent = sketches.join(members, F.col("key") == F.col("node")).select(F.xxhash64("root", "node").alias("member"), "root", "n", "sketch")
+    sent = written(sent, "join-sketches")
+    # Several tasks may have made the sketch of a set; a group counts it as often, and has smaller blocks then.
+    large = sent.groupBy("root").agg(F.sum(F.length("sketch")).alias("bytes")).where(F.col("bytes") > block_bytes)
+    large = written(large.select("root", F.ceil(F.col("bytes") * 2 / block_bytes).cast("int").alias("blocks")), "join-blocks")
+    dealt = sent.join(large, "root", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("block", _block("member", "blocks"))
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    tasks = met.select("member", "root", "n", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "sketch")
+    grouped = tasks.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j")
+    pairs = written(grouped.mapInPandas(_part(percent), "u long, v long"), "join-parts")
+    parts = pairs.toDF("member", "part") if large.isEmpty() else _merged(pairs).toDF("member", "part")
+    parts = written(parts, "join-parted")
+    parts = parts.join(parts.groupBy("part").agg(F.count("*").alias("sets")).where("sets > 1"), "part")
+    found = members.withColumn("member", F.xxhash64("root", "node")).join(parts, "member")
+    return found.select("node", F.col("part").alias("root"), "asked_mark", "n")
+
+
 def linked_classes(
     docs: DataFrame, id: str = "doc_id", text: str = "text", percent: int = 90, size: int = 3, block_tokens: int = 2_000_000, hubs: int = 16
 ) -> DataFrame:
@@ -344,7 +450,7 @@ def linked_rows(
     marked = docs.select(F.col(id).cast("long").alias("id"), F.encode(F.col(text), "UTF-8").alias("text"), F.xxhash64(F.xxhash64(id), F.xxhash64(text)).alias("mark"))
     with arrow_rows(docs.sparkSession, 512):
         signed = written(
-            marked.mapInArrow(_sign(percent, size), "id long, mark long, n_shingles long, key long, signatures array<long>"), "join-signed"
+            marked.mapInArrow(_sign(percent, size), "id long, mark long, n_shingles long, key long, signatures array<long>, sketch binary"), "join-signed"
         )
     rows = written(signed.drop("signatures"), "join-rows")
     # Rows of a signature meet once; the least node is found and joined back without a further shuffle. Both uses
@@ -360,9 +466,10 @@ def linked_rows(
         F.min("id").alias("id"), F.min("mark").alias("mark"), F.max("n_shingles").alias("n"), F.count("*").alias("rows")
     )
     ranged = groups.join(classes, F.col("node") == F.col("key")).withColumn("range", F.explode(_ranges(F.col("n"), percent)))
-    members = written(
-        ranged.select("node", F.xxhash64("root", "range").alias("root"), F.col("mark").alias("asked_mark"), "n"), "join-members"
+    met_sets = written(
+        ranged.select("node", F.xxhash64("root", "range").alias("root"), F.col("mark").alias("asked_mark"), "n"), "join-met"
     )
+    members = written(_parted(met_sets, rows.where("sketch IS NOT NULL").select("key", "sketch"), percent, block_tokens * 8), "join-members")
     blocks = members.groupBy("root").agg(F.ceil(F.sum("n") / block_tokens).cast("int").alias("blocks"))
     dealt = written(members.join(blocks, "root"), "join-dealt")
     found = _classes_of_groups(marked.select("mark", "text"), dealt, percent, size, block_tokens, hubs)
