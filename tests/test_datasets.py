@@ -170,3 +170,72 @@ def test_items_are_shuffled_without_names_and_unread_columns(spark, tmp_path):
     assert found == {
         ("S1", "Pvt."): ({"Strength_UR": 4, "Strength_Total": 4}, 6),
         ("S2", "Govt."): ({"Strength_UR": 1, "Strength_Total": 1}, 7), ("S2", "Pvt."): ({"Strength_UR": 1, "Strength_Total": 1}, 7)}
+
+
+def test_items_are_thinned_out_by_a_filter_and_shuffled_once(spark, tmp_path):
+    """At a size where nothing is broadcast by itself, a module's items alone are shuffled, as given, and by one plan for all passes."""
+    import datetime
+    import re
+
+    from pyspark.sql import functions as F
+
+    from queries import base, standins
+
+    day = datetime.date(2001, 5, 1)
+    given = {
+        "region": ("r_regionkey int, r_name string", [(0, "ASIA")]),
+        "nation": ("n_nationkey int, n_name string, n_regionkey int", [(1, "N1", 0)]),
+        "supplier": ("s_suppkey long, s_name string, s_nationkey int, s_acctbal double", [(1, "s1", 1, 100.0), (None, "s", 1, 1.0)]),
+        "customer": ("c_custkey long, c_name string, c_nationkey int, c_mktsegment string, c_acctbal double", [(1, "c", 1, "BUILDING", 1.0)]),
+        "part": ("p_partkey long, p_brand string, p_type string, p_size int", [(1, "Brand#11", "PROMO", 3), (2, None, "SMALL", 30), (3, "Brand#22", "SMALL", 3)]),
+        "orders": (
+            "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate date, o_orderpriority string",
+            [(k, 1, "F", 5e4, day, "1-URGENT" if k % 5 == 0 else "5-LOW") for k in range(-100, 100)] + [(5, 1, "F", 5e4, None, "1-URGENT"), (None, 1, "F", 5e4, day, "1-URGENT")]),
+        "lineitem": (
+            "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_tax double,"
+            " l_returnflag string, l_linestatus string, l_shipdate date",
+            [(k, p, s, 1, 5.0, 1.0, 0.0, "R", "F", day) for k in [None, *range(-100, 100)] for p in (1, 2, 3) for s in (1, None)]),
+    }
+    for name, (schema, rows) in given.items():
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        t = base.Tables(spark, str(tmp_path))
+        plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+        people = standins.students(t, "ITI")
+        assert re.search(r"BroadcastHashJoin .*LeftSemi", plan(people)) and not re.search(r"SortMergeJoin .*LeftSemi", plan(people))
+        # Items are shuffled before their institute's name is there.
+        assert re.search(r"Exchange hashpartitioning\(l_orderkey#\w+, \d+\), REPARTITION_BY_COL", plan(people))
+        everyone = standins.students(t).where("module = 'ITI'")
+        of = lambda df: sorted(map(str, df.select(*sorted(df.columns)).collect()))
+        assert of(people) == of(everyone) and people.count() == 42 and people.where("sams_code = 'S1'").count() == 41
+        seats = standins.strength(t, "ITI")
+        one_year = seats.where((F.col("academic_year") == 2023) & (F.col("category") == "Total"))
+        assert re.search(r"ReusedExchange \[l_orderkey#\w+, l_suppkey#\w+, l_returnflag#\w+, p_brand#\w+\]", plan(one_year.join(
+            people.select("sams_code", F.col("reported_branch_or_trade").alias("trade")).distinct(), ["sams_code", "trade"])))
+        totals = lambda df: {(r["trade"], r["academic_year"], r["strength"]) for r in df.where("category = 'Total'").collect()}
+        assert totals(seats) == {("Brand#11", None, 1.0), ("Brand#11", 2023, 200.0)}
+        assert totals(standins.strength(t, "Diploma")) == {(trade, *rest) for trade in (None, "Brand#22") for rest in ((None, 1.0), (2023, 200.0))}
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+
+
+def test_a_filter_of_keys_drops_no_wanted_row(spark):
+    from pyspark.sql import functions as F
+
+    from rollbook.operators import joins as J
+
+    rows = spark.range(-3000, 3000).select(F.col("id").alias("k"), (F.col("id") % 7).alias("v"))
+    wanted = rows.where("k % 10 = 0").select(F.col("k").cast("int").alias("o"))
+    few = J.perhaps_among(rows.union(rows), "k", wanted.union(wanted), "o")
+    kept = few.groupBy("k").count().collect()
+    assert {r["count"] for r in kept} == {2} and {k for k in range(-3000, 3000, 10)} <= {r["k"] for r in kept} and len(kept) < 700
+    assert few.columns == ["k", "v"]
+    old, J.FILTER_WORDS = J.FILTER_WORDS, 1
+    try:  # a filter that is full lets all rows through
+        assert J.perhaps_among(rows, "k", wanted, "o").count() == 6000
+    finally:
+        J.FILTER_WORDS = old
