@@ -207,7 +207,7 @@ def test_items_are_thinned_out_by_a_filter_and_shuffled_once(spark, tmp_path):
         people = standins.students(t, "ITI")
         assert re.search(r"BroadcastHashJoin .*LeftSemi", plan(people)) and not re.search(r"SortMergeJoin .*LeftSemi", plan(people))
         # Items are shuffled before their institute's name is there.
-        assert re.search(r"Exchange hashpartitioning\(l_orderkey#\w+, \d+\), REPARTITION_BY_COL", plan(people))
+        assert re.search(r"Exchange hashpartitioning\(l_orderkey#\w+, \d+\), REPARTITION_BY_NUM", plan(people))
         everyone = standins.students(t).where("module = 'ITI'")
         of = lambda df: sorted(map(str, df.select(*sorted(df.columns)).collect()))
         assert of(people) == of(everyone) and people.count() == 42 and people.where("sams_code = 'S1'").count() == 41
