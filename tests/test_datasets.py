@@ -239,3 +239,29 @@ def test_a_filter_of_keys_drops_no_wanted_row(spark):
         assert J.perhaps_among(rows, "k", wanted, "o").count() == 6000
     finally:
         J.FILTER_WORDS = old
+
+
+def test_a_join_in_tiles_is_a_join(spark):
+    from pyspark.sql import functions as F
+
+    from rollbook.operators import joins as J
+
+    # Keys of many and of few rows, rows that repeat, keys of one side only and no key.
+    left = spark.createDataFrame([(None if i % 9 == 8 else i % 5 // 2, i // 3) for i in range(400)] + [(7, 1)], "a int, x long")
+    right = spark.createDataFrame([(None if i % 4 == 3 else i % 3, i // 2) for i in range(90)] + [(8, 1)], "b int, y long")
+    rows = lambda df: sorted(tuple(r) for r in df.select("a", "x", "b", "y").collect())
+    want = rows(left.join(right, F.col("a") == F.col("b")))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old, J.TILE_ROWS = J.TILE_ROWS, 8
+    try:
+        for name in [None, *settings]:
+            if name:
+                spark.conf.set(name, settings[name])
+            tiled = J.join_in_tiles(left, right, "a", "b", 5)
+            assert tiled.columns == ["a", "x", "b", "y"] and rows(tiled) == want and len(want) > 1000
+            assert len({r["p"] for r in tiled.select(F.spark_partition_id().alias("p")).collect()}) == 5
+        assert rows(J.join_in_tiles(left, right.where("b > 7"), "a", "b", 5)) == rows(J.join_in_tiles(left.where("a > 99"), right, "a", "b", 5)) == []
+    finally:
+        J.TILE_ROWS = old
+        for name in settings:
+            spark.conf.unset(name)

@@ -1,6 +1,7 @@
 """Literal cases of the scalar functions."""
 
 import datetime
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -187,6 +188,22 @@ def test_distances_of_a_small_table_are_shared_out(spark, tmp_path):
     assert {r["task"] for r in rows if r["km"] is None} == set()
 
 
+def test_distances_of_one_nation_are_shared_out_without_broadcast(spark, tmp_path):
+    import __spark_entry__ as entry_point
+
+    spark.createDataFrame([(i // 2, 3, float(i)) for i in range(600)] + [(999, None, 0.0)], "c_custkey long, c_nationkey int, c_acctbal double").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(i, 3, 10.0 * i) for i in range(20)] + [(20, None, 1.0), (21, 4, 1.0)], "s_suppkey long, s_nationkey int, s_acctbal double").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = entry_point.queries()["distance"](spark, str(tmp_path)).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # All pairs of the nation were made by one task.
+    made = Counter(r["task"] for r in rows)
+    assert len(made) > 1 and max(made.values()) < 0.8 * len(rows)
+    assert Counter((r["c_custkey"], r["s_suppkey"]) for r in rows) == {(c, s): 2 for c in range(300) for s in range(20)}
+
+
 def test_distances_of_missing_and_unknown_places(values):
     nan = float("nan")
     got = values(distance_km, [(None, 1.0, 2.0, 3.0), (1.0, None, 2.0, 3.0), (nan, 1.0, 2.0, 3.0), (1.0, nan, 2.0, 3.0), (0.0, 0.0, 0.0, 180.0)], "a double, b double, c double, d double")
